@@ -1,0 +1 @@
+"""Holds no operators: every analysis in scope is a batch query over whole tables."""
