@@ -27,9 +27,9 @@ def padded(number: Column, width: int) -> Column:
     return F.format_string(f"%0{width}d", number)
 
 
-def region_type(suburb: Column, metro_by_chance: Column) -> Column:
+def region_type(suburb: Column, metro_by_chance: Column, central: str = "CBD") -> Column:
     """Central districts are always Metro, the rest by the given condition."""
-    return F.when(suburb.contains("CBD") | metro_by_chance, "Metro").otherwise("Regional")
+    return F.when(suburb.contains(central) | metro_by_chance, "Metro").otherwise("Regional")
 
 
 def map_value(key: Column, mapping: Mapping, default=None) -> Column:

@@ -24,9 +24,9 @@ LITERAL_ITEMS = 256
 
 
 def normalise_weights(df: DataFrame, weight: str, name: str) -> DataFrame:
-    """Append the weight as a share of the column's total."""
-    total = df.agg(F.sum(weight)).scalar()
-    return df.withColumn(name, F.col(weight) / total)
+    """Append the weight as a share of the column's total, as a double."""
+    total = df.agg(F.sum(weight).cast("double")).scalar()
+    return df.withColumn(name, F.col(weight).cast("double") / total)
 
 
 def member_index(df: DataFrame, group: str, member: str) -> DataFrame:

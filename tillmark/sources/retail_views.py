@@ -1,100 +1,122 @@
 """The four retail tables as views over order-processing Parquet tables.
 
 Each view takes only the scans and joins its columns need: store-level work
-never touches ``orders``.
+never touches ``orders``. Schemas are declared, so that opening a table runs no
+job to infer one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from tillmark.functions.money import money, round_ratio
-
-SIGNUP_START = "1994-07-01"
-SIGNUP_SPAN = 910
-EMAIL_HOST = "example.com.au"
-BANNERS = ("North", "North Express", "South", "South Local")
-GROUPS = ("North Group", "South Group")
+from pyspark.sql import DataFrame, SparkSession
+
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+}
+
+# Whole cents come first (rint stays in binary); one conversion to DECIMAL at
+# the end is exact below 2**53 cents and cheaper than decimal arithmetic per row.
+_CENTS = "cast(rint(l_extendedprice * 100) as bigint)"
+_DISCOUNT_CENTS = f"(({_CENTS} * cast(rint(l_discount * 100) as bigint) + 50) div 100)"
+_QUANTITY = "cast(l_quantity as int)"
+
+_LINE_COLUMNS = [
+    "l_orderkey * 10 + l_linenumber AS transaction_id",
+    "l_suppkey AS store_id",
+    "l_partkey AS product_id",
+    "cast(l_shipdate as date) AS transaction_date",
+    f"{_QUANTITY} AS quantity",
+    f"cast((({_CENTS} * 2 + {_QUANTITY}) div ({_QUANTITY} * 2)) / 100D as decimal(18,2))"
+    " AS unit_price",
+    f"cast({_DISCOUNT_CENTS} / 100D as decimal(18,2)) AS discount_amount",
+    f"cast(({_CENTS} - {_DISCOUNT_CENTS}) / 100D as decimal(18,2)) AS amount",
+]
 
 
 def scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
-    nation = scan(spark, folder, "nation").select("n_nationkey", "n_name")
-    people = scan(spark, folder, "customer")
-    name = F.split("c_name", "#")
-    offset = ((F.col("c_custkey") * 7919) % SIGNUP_SPAN).cast("int")
-    return people.join(nation, people.c_nationkey == nation.n_nationkey).select(
-        F.col("c_custkey").alias("customer_id"),
-        name[0].alias("first_name"),
-        name[1].alias("last_name"),
-        F.concat(F.lower("c_name"), F.lit(f"@{EMAIL_HOST}")).alias("email"),
-        F.col("n_name").alias("state"),
-        F.col("c_mktsegment").alias("loyalty_program"),
-        F.date_add(F.lit(SIGNUP_START).cast("date"), offset).alias("signup_date"),
+    nation = scan(spark, folder, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
+    return (
+        scan(spark, folder, "customer")
+        .join(nation, "c_nationkey")
+        .selectExpr(
+            "c_custkey AS customer_id",
+            "split(c_name, '#')[0] AS first_name",
+            "split(c_name, '#')[1] AS last_name",
+            "lower(c_name) || '@example.com.au' AS email",
+            "n_name AS state",
+            "c_mktsegment AS loyalty_program",
+            "date_add(DATE '1994-07-01', cast(c_custkey * 7919 % 910 as int)) AS signup_date",
+        )
     )
 
 
 def stores(spark: SparkSession, folder: str) -> DataFrame:
-    nation = scan(spark, folder, "nation")
-    region = scan(spark, folder, "region")
-    places = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        "n_nationkey", "r_name"
+    region = scan(spark, folder, "region").selectExpr("r_regionkey AS n_regionkey", "r_name")
+    places = (
+        scan(spark, folder, "nation")
+        .join(region, "n_regionkey")
+        .selectExpr("n_nationkey AS s_nationkey", "r_name")
     )
-    shops = scan(spark, folder, "supplier")
-    number = F.col("s_suppkey")
-    south = (number % 4 >= 2) != (number % 25 == 7)
-    return shops.join(places, shops.s_nationkey == places.n_nationkey).select(
-        number.alias("store_id"),
-        F.col("s_name").alias("store_name"),
-        F.element_at(
-            F.array(*[F.lit(banner) for banner in BANNERS]), (number % 4 + 1).cast("int")
-        ).alias("banner"),
-        F.when(south, GROUPS[1]).otherwise(GROUPS[0]).alias("parent_group"),
-        F.col("r_name").alias("state"),
+    return (
+        scan(spark, folder, "supplier")
+        .join(places, "s_nationkey")
+        .selectExpr(
+            "s_suppkey AS store_id",
+            "s_name AS store_name",
+            "CASE s_suppkey % 4 WHEN 0 THEN 'North' WHEN 1 THEN 'North Express'"
+            " WHEN 2 THEN 'South' ELSE 'South Local' END AS banner",
+            "if((s_suppkey % 4 < 2) = (s_suppkey % 25 != 7), 'North Group', 'South Group')"
+            " AS parent_group",
+            "r_name AS state",
+        )
     )
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
-    return scan(spark, folder, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("brand"),
-        F.col("p_retailprice").cast("decimal(8,2)").alias("unit_price"),
+    return scan(spark, folder, "part").selectExpr(
+        "p_partkey AS product_id",
+        "p_name AS product_name",
+        "p_type AS category",
+        "p_brand AS brand",
+        "cast(p_retailprice as decimal(8,2)) AS unit_price",
     )
 
 
 def store_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions without the columns that live on the order."""
-    return scan(spark, folder, "lineitem").select(*_line_columns())
+    return scan(spark, folder, "lineitem").selectExpr(*_LINE_COLUMNS)
 
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions with customer and payment method."""
-    orders = scan(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    lines = scan(spark, folder, "lineitem")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        *_line_columns(),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderpriority").alias("payment_method"),
+    orders = scan(spark, folder, "orders").selectExpr(
+        "o_orderkey AS l_orderkey", "o_custkey", "o_orderpriority"
+    )
+    return (
+        scan(spark, folder, "lineitem")
+        .join(orders, "l_orderkey")
+        .selectExpr(
+            *_LINE_COLUMNS, "o_custkey AS customer_id", "o_orderpriority AS payment_method"
+        )
     )
-
-
-def _line_columns() -> list[Column]:
-    total = money(F.col("l_extendedprice"))
-    discount = money(total * F.col("l_discount").cast("decimal(4,2)"))
-    quantity = F.col("l_quantity").cast("int")
-    return [
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
-        F.col("l_suppkey").alias("store_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_shipdate").cast("date").alias("transaction_date"),
-        quantity.alias("quantity"),
-        round_ratio(total, quantity, 2).alias("unit_price"),
-        discount.alias("discount_amount"),
-        (total - discount).cast("decimal(18,2)").alias("amount"),
-    ]
