@@ -420,17 +420,22 @@ def _orders(spark, folder):
 
 @_register
 def weighted_choice(spark, folder):
-    def choose(stream, weights):
-        return draws.weighted_choice(
-            _draw(stream, "o_orderkey"), list(weights), list(weights.values())
-        )
-
-    return views.scan(spark, folder, "orders").select(
+    choices = {
+        "payment_method": ("payment", contracts.PAYMENT_WEIGHTS),
+        "quantity": ("quantity", contracts.QUANTITY_WEIGHTS),
+        "discount_rate": ("discount", contracts.DISCOUNT_WEIGHTS),
+        "state": ("state", contracts.STATE_WEIGHTS),
+    }
+    # Draws are columns of their own, so that each is computed once, not per branch.
+    drawn = views.scan(spark, folder, "orders").select(
+        "o_orderkey", *[_draw(stream, "o_orderkey").alias(stream) for stream, _ in choices.values()]
+    )
+    return drawn.select(
         "o_orderkey",
-        choose("payment", contracts.PAYMENT_WEIGHTS).alias("payment_method"),
-        choose("quantity", contracts.QUANTITY_WEIGHTS).alias("quantity"),
-        choose("discount", contracts.DISCOUNT_WEIGHTS).alias("discount_rate"),
-        choose("state", contracts.STATE_WEIGHTS).alias("state"),
+        *[
+            draws.weighted_choice(F.col(stream), list(weights), list(weights.values())).alias(name)
+            for name, (stream, weights) in choices.items()
+        ],
     )
 
 
@@ -524,13 +529,17 @@ def price_line(spark, folder):
     listed = views.products(spark, folder).selectExpr(
         "product_id AS l_partkey", "unit_price AS listed"
     )
+    key = ["l_orderkey", "l_linenumber"]
     lines = views.scan(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("int").alias("quantity")
+        *key,
+        "l_partkey",
+        F.col("l_quantity").cast("int").alias("quantity"),
+        _draw("price", *key).alias("price_draw"),
+        _draw("discount", *key).alias("discount_draw"),
     )
-    key = ["l_orderkey", "l_linenumber"]
-    spread = draws.uniform_decimal(_draw("price", *key), *contracts.PRICE_SPREAD)
+    spread = draws.uniform_decimal(F.col("price_draw"), *contracts.PRICE_SPREAD)
     rates = contracts.DISCOUNT_WEIGHTS
-    rate = draws.weighted_choice(_draw("discount", *key), list(rates), list(rates.values()))
+    rate = draws.weighted_choice(F.col("discount_draw"), list(rates), list(rates.values()))
     return (
         lookup(lines, listed, ["l_partkey"])
         .select(
@@ -565,23 +574,22 @@ def contact_details(spark, folder):
         ),
         "customer_id",
     )
-    drawn = {
-        name: _draw(name, "customer_id") for name in ("area", "middle", "end", "range", "code")
-    }
+    streams = ("area", "middle", "end", "range", "code")
+    drawn = people.withColumns({name: _draw(name, "customer_id") for name in streams})
     postcode = F.lit(None)
     for place, ranges in enumerate(contracts.POSTCODE_RANGES.values()):
-        picked = draws.pick_in_ranges(drawn["range"], drawn["code"], ranges)
+        picked = draws.pick_in_ranges(F.col("range"), F.col("code"), ranges)
         postcode = F.when(F.col("place") == place, picked).otherwise(postcode)
-    return people.select(
+    return drawn.select(
         "customer_id",
         text.full_name(F.col("first_name"), F.col("last_name")).alias("customer_name"),
         text.email_address(
             F.col("first_name"), F.col("last_name"), F.col("customer_id"), "example.com.au"
         ).alias("email"),
         text.mobile_number(
-            draws.uniform_int(drawn["area"], 0, 99),
-            draws.uniform_int(drawn["middle"], 0, 999),
-            draws.uniform_int(drawn["end"], 0, 999),
+            draws.uniform_int(F.col("area"), 0, 99),
+            draws.uniform_int(F.col("middle"), 0, 999),
+            draws.uniform_int(F.col("end"), 0, 999),
         ).alias("phone"),
         text.padded(postcode, 4).alias("postcode"),
         text.region_type(

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -75,9 +76,17 @@ def max_length(column: str, length: int) -> RowCheck:
     return RowCheck("max_length", column, F.char_length(column) > length)
 
 
-def fits_numeric(column: str, precision: int, scale: int) -> RowCheck:
-    cast = F.col(column).try_cast(f"decimal({precision},{scale})")
-    return RowCheck("fits_numeric", column, cast.isNull() & F.col(column).isNotNull())
+def fits_numeric(column: str, precision: int, scale: int, text: bool = False) -> RowCheck:
+    """The value must fit NUMERIC(precision, scale) after rounding to its scale.
+
+    Numbers are compared with the smallest value that rounds out of range, which
+    is far cheaper than a failing cast; ``text`` columns must also parse.
+    """
+    if text:
+        cast = F.col(column).try_cast(f"decimal({precision},{scale})")
+        return RowCheck("fits_numeric", column, cast.isNull() & F.col(column).isNotNull())
+    limit = Decimal(10) ** (precision - scale) - Decimal(5).scaleb(-scale - 1)
+    return RowCheck("fits_numeric", column, F.abs(column) >= F.lit(limit))
 
 
 def check_rows(df: DataFrame, table: str, checks: Sequence[RowCheck]) -> DataFrame:
