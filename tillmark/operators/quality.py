@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from tillmark.functions.dates import as_of_date
 from tillmark.functions.money import line_total
+from tillmark.operators.lookup import lookup
+from tillmark.session import cut_lineage
 from tillmark.sources.contracts import BANNERS_BY_GROUP, LINE_TOTAL_TOLERANCE, TABLES, Table
 
 @dataclass(frozen=True)
@@ -185,11 +187,13 @@ def orphan_rows(
 ) -> DataFrame:
     """The rows whose foreign key has no parent.
 
-    NULL keys are taken out before the join, where they would all hash to one
-    task; a frequent key is split by the adaptive skew join.
+    The orphan keys are found first, one row each. The wide rows then only look
+    those keys up: broadcast when they are few, as usual, salted when not. NULL
+    keys never enter a join, where they would all hash to one task.
     """
-    keyed = child.filter(F.col(column).isNotNull())
-    unmatched = keyed.join(_keys(parent, parent_column, column), column, "left_anti")
+    lost = orphan_keys(child, column, parent, parent_column).select(column)
+    lost = cut_lineage(lost.filter(F.col(column).isNotNull()))
+    unmatched = lookup(child.filter(F.col(column).isNotNull()), lost, [column], "left_semi")
     return child.filter(F.col(column).isNull()).unionByName(unmatched)
 
 

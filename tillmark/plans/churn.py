@@ -15,17 +15,10 @@ from tillmark.operators.ranking import spend_tiers
 AsOf = str | datetime.date | Column | None
 
 PROFILE = ["first_name", "last_name", "state", "loyalty_program"]
-ACTIVITY = [
-    "total_transactions",
-    "lifetime_spend",
-    "avg_transaction_value",
-    "last_transaction_date",
-    "days_since_last_purchase",
-]
 
 
-def purchase_summary(transactions: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Purchases per customer id.
+def purchase_totals(transactions: DataFrame) -> DataFrame:
+    """Purchases per customer id, as sums and counts.
 
     One shuffle of partial sums on ``customer_id``: each task sends a customer
     at most once, so a customer with very many purchases stays cheap.
@@ -33,9 +26,21 @@ def purchase_summary(transactions: DataFrame, as_of: AsOf = None) -> DataFrame:
     return transactions.groupBy("customer_id").agg(
         F.count("transaction_id").alias("total_transactions"),
         F.sum("amount").alias("lifetime_spend"),
-        round_ratio(F.sum("amount"), F.count("amount"), 2).alias("avg_transaction_value"),
+        F.count("amount").alias("_amounts"),
         F.max("transaction_date").alias("last_transaction_date"),
-        days_between(F.max("transaction_date"), as_of_date(as_of)).alias(
+    )
+
+
+def with_averages(totals: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """Append what follows from the totals of a customer.
+
+    Kept apart so that plans can rank on the totals and pay for the exact
+    division only on the rows they keep.
+    """
+    return totals.select(
+        *[name for name in totals.columns if name != "_amounts"],
+        round_ratio(F.col("lifetime_spend"), F.col("_amounts"), 2).alias("avg_transaction_value"),
+        days_between(F.col("last_transaction_date"), as_of_date(as_of)).alias(
             "days_since_last_purchase"
         ),
     )
@@ -45,7 +50,7 @@ def customer_activity(
     customers: DataFrame, transactions: DataFrame, as_of: AsOf = None
 ) -> DataFrame:
     """Profile and purchase summary of every customer who ever bought."""
-    summary = purchase_summary(transactions, as_of)
+    summary = with_averages(purchase_totals(transactions), as_of)
     return customers.select("customer_id", *PROFILE).join(summary, "customer_id")
 
 
@@ -58,15 +63,15 @@ def risk_level(days: Column, critical_days: int = 90, high_days: int = 60) -> Co
 def scored_customers(
     customers: DataFrame, transactions: DataFrame, as_of: AsOf = None, tiers: int = 4
 ) -> DataFrame:
-    """Purchase summaries with tier, rank and revenue share among all active customers.
+    """Purchases with tier, rank and revenue share among all active customers.
 
-    Only the summary goes through the ranking; profiles are joined to the few
+    Only the totals go through the ranking; profiles are joined to the few
     rows that are kept afterwards.
     """
-    active = purchase_summary(transactions, as_of).join(
+    active = purchase_totals(transactions).join(
         customers.select("customer_id"), "customer_id", "left_semi"
     )
-    return spend_tiers(active, "lifetime_spend", ["customer_id"], tiers)
+    return with_averages(spend_tiers(active, "lifetime_spend", ["customer_id"], tiers), as_of)
 
 
 def churn_risk(
