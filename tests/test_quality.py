@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import bag
+from pyspark.sql import functions as F
 
 from tillmark.operators import quality as q
 
@@ -141,3 +142,24 @@ def test_row_checks_scan_once(spark, tmp_path, sales):
     plan = q.check_rows(stored, "s", checks)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
     assert "customer_id" not in plan.split("ReadSchema")[1]
+
+
+def test_integrity_suite_covers_the_standing_cases(spark, sales):
+    people = spark.createDataFrame(
+        [(10, "a@x", "NSW", D(2024, 1, 1)), (99, "b@x", "XX", D(2024, 1, 1))],
+        "customer_id int, email string, state string, signup_date date",
+    )
+    frames = {
+        "customers": people,
+        "stores": spark.createDataFrame([(1,)], "store_id int"),
+        "products": spark.createDataFrame([(1,)], "product_id int"),
+        "transactions": sales.withColumns({"store_id": F.lit(1), "product_id": F.lit(2)})
+        .withColumnRenamed("day", "transaction_date"),
+    }
+    report = q.integrity_suite(frames, "2024-01-31", minimum_transactions=4)
+    got = {(r.table, r.check, r.column): r.violations for r in report.collect()}
+    assert len(got) == 20  # transactions: being populated and large enough is one check
+    assert got["customers", "in_domain", "state"] == 1
+    assert got["transactions", "references", "product_id"] == 4
+    assert got["transactions", "not_future", "transaction_date"] == 1
+    assert got["transactions", "volume", "*"] == 0

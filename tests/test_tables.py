@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import bag
+from pyspark.sql import functions as F
 
 from tillmark.operators.quality import check_tables, failures
 from tillmark.sources import contracts, tables
@@ -125,18 +126,40 @@ def test_load_summary(frames):
     assert got["transactions"].total_revenue == Decimal("12.00")
 
 
-def test_bucketed_table_groups_without_a_shuffle(spark, frames):
+def test_saved_months_round_trip_and_prune(spark, frames, tmp_path):
     sold = tables.conform(frames["transactions"], contracts.TRANSACTIONS)
-    tables.save_bucketed(sold, "sales_by_customer", 4)
-    plan = (
-        spark.table("sales_by_customer")
-        .groupBy("customer_id")
-        .sum("amount")
-        ._jdf.queryExecution()
-        .executedPlan()
-        .toString()
+    april = sold.withColumn("transaction_date", F.lit("2024-04-05").cast("date"))
+    tables.save_by_month(sold.unionByName(april), str(tmp_path / "months"))
+    march = tables.read_months(spark, str(tmp_path / "months"), "2024-03-01", "2024-03-31")
+    assert bag(march) == bag(sold)
+    assert tables.read_months(spark, str(tmp_path / "months"), "2024-03-02", "2024-04-30").count() == 3
+    scanned = march._jdf.queryExecution().executedPlan().toString()
+    pruned = scanned.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "transaction_month" in pruned
+
+
+def test_a_month_with_most_rows_is_split(spark, tmp_path):
+    rows = spark.range(40000).select(
+        F.col("id").alias("customer_id"),
+        F.sha2(F.col("id").cast("string"), 512).alias("filler"),
+        F.when(F.col("id") % 10 == 0, F.lit("2024-01-01"))
+        .otherwise(F.lit("2024-02-01"))
+        .cast("date")
+        .alias("transaction_date"),
     )
-    assert "Exchange" not in plan
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(setting, "200k")
+    try:
+        tables.save_by_month(rows.repartition(8), str(tmp_path / "months"))
+    finally:
+        spark.conf.unset(setting)
+    files = list((tmp_path / "months" / "transaction_month=2024-02-01").glob("*.parquet"))
+    assert len(files) > 2
+
+
+def test_probe(frames):
+    got = dict(bag(tables.probe({**frames, "none": frames["stores"].filter("false")})))
+    assert got["stores"] and not got["none"]
 
 
 def test_scalar(spark):

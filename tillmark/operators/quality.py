@@ -20,7 +20,13 @@ from tillmark.functions.dates import as_of_date
 from tillmark.functions.money import line_total
 from tillmark.operators.lookup import lookup
 from tillmark.session import cut_lineage
-from tillmark.sources.contracts import BANNERS_BY_GROUP, LINE_TOTAL_TOLERANCE, TABLES, Table
+from tillmark.sources.contracts import (
+    BANNERS_BY_GROUP,
+    LINE_TOTAL_TOLERANCE,
+    STATES,
+    TABLES,
+    Table,
+)
 
 @dataclass(frozen=True)
 class RowCheck:
@@ -91,25 +97,32 @@ def fits_numeric(column: str, precision: int, scale: int, text: bool = False) ->
     return RowCheck("fits_numeric", column, F.abs(column) >= F.lit(limit))
 
 
-def check_rows(df: DataFrame, table: str, checks: Sequence[RowCheck]) -> DataFrame:
-    """All checks of one table in a single aggregation over a single scan."""
+def check_rows(
+    df: DataFrame, table: str, checks: Sequence[RowCheck], minimum: int | None = None
+) -> DataFrame:
+    """All checks of one table in a single aggregation over a single scan.
+
+    With ``minimum`` the volume is checked by the same scan.
+    """
+    rows = F.count("*")
+    lines = [("volume", "*", _missing(rows, minimum))] if minimum is not None else []
+    lines += [(c.check, c.column, F.count_if(c.violation)) for c in checks]
     counts = df.agg(
-        F.count("*").alias("_rows"),
-        *[F.count_if(c.violation).alias(f"_v{i}") for i, c in enumerate(checks)],
+        rows.alias("_rows"), *[count.alias(f"_v{i}") for i, (*_, count) in enumerate(lines)]
     )
-    lines = F.array(
+    report = F.array(
         *[
             F.struct(
-                F.lit(c.check).alias("check"),
+                F.lit(check).alias("check"),
                 F.lit(table).alias("table"),
-                F.lit(c.column).alias("column"),
+                F.lit(column).alias("column"),
                 F.col("_rows").alias("rows_checked"),
                 F.col(f"_v{i}").alias("violations"),
             )
-            for i, c in enumerate(checks)
+            for i, (check, column, _) in enumerate(lines)
         ]
     )
-    return counts.select(F.inline(lines)).withColumn("passed", F.col("violations") == 0)
+    return counts.select(F.inline(report)).withColumn("passed", F.col("violations") == 0)
 
 
 def violating_rows(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
@@ -122,16 +135,7 @@ def violating_rows(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
 
 def check_volume(df: DataFrame, table: str, minimum: int = 1) -> DataFrame:
     """At least ``minimum`` rows; the violations are the rows that are missing."""
-    rows = F.count("*")
-    return _report(
-        df.agg(
-            rows.alias("rows_checked"),
-            F.greatest(F.lit(minimum) - rows, F.lit(0)).cast("bigint").alias("violations"),
-        ),
-        "volume",
-        table,
-        "*",
-    )
+    return check_rows(df, table, [], minimum)
 
 
 def check_unique(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
@@ -269,8 +273,7 @@ def check_tables(
     for name, frame in frames.items():
         table = TABLES[name]
         minimum = minimum_transactions if name == "transactions" else 1
-        reports.append(check_volume(frame, name, minimum))
-        reports.append(check_rows(frame, name, contract_checks(table, as_of)))
+        reports.append(check_rows(frame, name, contract_checks(table, as_of), minimum))
         for key in (table.primary_key, *table.unique):
             reports.append(check_unique(frame, name, [key]))
         for column, (parent, parent_column) in table.foreign_keys.items():
@@ -293,6 +296,48 @@ def check_tables(
     return all_reports(reports)
 
 
+def integrity_suite(
+    frames: Mapping[str, DataFrame],
+    as_of=None,
+    minimum_transactions: int = 10_000,
+    states: Sequence[str] = STATES,
+) -> DataFrame:
+    """The standing integrity checks of a loaded database, as one report.
+
+    All four tables must be given; columns no check reads may be absent.
+    """
+    sales, customers = frames["transactions"], frames["customers"]
+    sales_checks = [
+        *not_null("customer_id", "store_id", "product_id", "amount", "transaction_date"),
+        *positive("amount", "unit_price", "quantity"),
+        within_line_total(),
+        not_future("transaction_date", as_of),
+    ]
+    reports = [
+        check_rows(sales, "transactions", sales_checks, minimum_transactions),
+        check_rows(customers, "customers", [in_domain("state", states)], 1),
+        check_volume(frames["stores"], "stores"),
+        check_volume(frames["products"], "products"),
+        check_unique(customers, "customers", ["email"]),
+        check_date_order(
+            sales,
+            "transactions",
+            "customer_id",
+            "transaction_date",
+            customers,
+            "customer_id",
+            "signup_date",
+        ),
+    ]
+    for column, (parent, key) in TABLES["transactions"].foreign_keys.items():
+        reports.append(check_references(sales, "transactions", column, frames[parent], key))
+    return all_reports(reports)
+
+
+def _missing(rows: Column, minimum: int) -> Column:
+    return F.greatest(F.lit(minimum) - rows, F.lit(0)).cast("bigint")
+
+
 def _keys(parent: DataFrame, parent_column: str, column: str) -> DataFrame:
     return parent.select(F.col(parent_column).alias(column)).filter(F.col(column).isNotNull())
 

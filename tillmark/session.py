@@ -23,6 +23,8 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        # Recording the call site of every expression doubles the time to build a plan.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **(conf or {}),

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmark.functions.dates import month_start
 from tillmark.operators.quality import check_tables, failures
 from tillmark.sources.contracts import TABLES, Table, conform
 
 DEFAULT_LOCATION = "retail_data"
 CATALOG = "catalog:"
+MONTH = "transaction_month"
 
 
 class FailedChecks(ValueError):
@@ -120,19 +123,32 @@ def load_tables(
             frame.write.mode(mode).parquet(os.path.join(place, name))
 
 
-def save_bucketed(
-    transactions: DataFrame, name: str, buckets: int, key: str = "customer_id"
-) -> None:
-    """Keep transactions hashed on a key, so that grouping and joining on it need no shuffle.
+def save_by_month(transactions: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Keep transactions in one folder per month, ordered by customer inside a file.
 
-    Takes the place of a composite index on customer and date.
+    Takes the place of indexes on date and customer: date filters prune folders,
+    customer filters prune row groups. The rebalance splits a month that holds
+    most of the rows over several tasks and merges small months into one.
     """
+    month = month_start(F.col("transaction_date"))
     (
-        transactions.repartition(buckets, key)
-        .write.mode("overwrite")
-        .bucketBy(buckets, key)
-        .sortBy(key, "transaction_date")
-        .saveAsTable(name)
+        transactions.withColumn(MONTH, month)
+        .hint("rebalance", MONTH)
+        .sortWithinPartitions(MONTH, "customer_id", "transaction_date")
+        .write.mode(mode)
+        .partitionBy(MONTH)
+        .parquet(path)
+    )
+
+
+def read_months(spark: SparkSession, path: str, first: str, last: str) -> DataFrame:
+    """Transactions from ``first`` to ``last`` (both included) of ``save_by_month``."""
+    start, end = F.lit(first).cast("date"), F.lit(last).cast("date")
+    return (
+        spark.read.parquet(path)
+        .filter(F.col(MONTH).between(month_start(start), month_start(end)))
+        .filter(F.col("transaction_date").between(start, end))
+        .drop(MONTH)
     )
 
 
@@ -155,16 +171,24 @@ def load_summary(frames: Mapping[str, DataFrame], amount: str = "amount") -> Dat
                 total.cast("decimal(38,2)").alias("total_revenue"),
             )
         )
-    summary = parts[0]
-    for part in parts[1:]:
-        summary = summary.unionByName(part)
-    return summary
+    return reduce(DataFrame.unionByName, parts)
 
 
 def has_rows(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
+def probe(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """Whether each table has a row, reading no more than one of each."""
+    return reduce(
+        DataFrame.unionByName,
+        [
+            frame.limit(1).agg(F.lit(name).alias("table"), (F.count("*") > 0).alias("has_rows"))
+            for name, frame in frames.items()
+        ],
+    )
+
+
 def scalar(df: DataFrame):
     """The single value of a result that must have exactly one row."""
     rows = df.limit(2).collect()
