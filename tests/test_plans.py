@@ -204,3 +204,19 @@ def test_long_frames_are_complete(spark, days):
         .first()
     )
     assert last.revenue_last_7_days == 14 and last.revenue_last_30_days == 60
+
+
+def test_basket_mean_of_inexact_daily_means(spark):
+    """Daily means of a third of a cent, whose 30-day mean is exactly half a cent."""
+    rows = []
+    for i in range(3):
+        day = D(2024, 1, 1) + datetime.timedelta(days=i)
+        rows += [(1, 3, day, "0.01"), (1, 3, day, "0.00"), (1, 3, day, "0.00")]
+    rows.append((1, 3, D(2024, 1, 4), "0.01"))
+    last = (
+        rolling.rolling_revenue(sales(spark, rows), stores(spark))
+        .filter("state = 'VIC' AND transaction_date = '2024-01-04'")
+        .first()
+    )
+    # 3 x 0.00333333333333 + 0.01 falls short of 0.02, by less than 14 places show
+    assert last.avg_basket_last_30_days == Decimal("0.01")

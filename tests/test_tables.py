@@ -186,3 +186,13 @@ def test_jdbc_options():
         "user": "me",
         "password": "p@ss",
     }
+
+
+def test_jdbc_reads_are_split_on_the_key():
+    assert tables.split_options("id", 1, 1000, 8) == {
+        "partitionColumn": "id",
+        "lowerBound": "1",
+        "upperBound": "1001",
+        "numPartitions": "8",
+    }
+    assert tables.split_options("id", 5, 6, 8)["numPartitions"] == "2"

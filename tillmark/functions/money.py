@@ -21,7 +21,8 @@ def money(value: Column, precision: int = 18) -> Column:
 def round_ratio(numerator: Column, denominator: Column, places: int) -> Column:
     """``round(numerator / denominator, places)``; NULL when the denominator is 0.
 
-    Takes integral or decimal columns.
+    Takes integral columns, or decimals with at most 38 digits left after
+    multiplying by ``2 * 10**places``.
     """
     top, bottom = F.abs(numerator), F.nullif(F.abs(denominator), F.lit(0))
     units = F.call_function("div", top * (2 * 10**places) + bottom, bottom * 2)
@@ -34,7 +35,7 @@ def percent(part: Column, whole: Column, places: int) -> Column:
 
 
 def mean(total: Column, count: Column) -> Column:
-    """``total / count`` to 14 places, for means that are averaged again."""
+    """``total / count`` to 14 places, half up, for means that are averaged again."""
     return total.cast(f"decimal(38,{MEAN_SCALE})") / F.nullif(count, F.lit(0))
 
 

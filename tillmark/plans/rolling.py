@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.functions.money import mean, round_ratio
+from tillmark.functions.money import mean
 from tillmark.operators.lookup import is_small
 from tillmark.operators.spine import calendar_spine, date_bounds
 from tillmark.operators.trailing import change_percent, previous, trailing_rows, trailing_sum
@@ -97,7 +97,8 @@ def rolling_revenue(
         F.round("daily_avg_basket", 2).alias("daily_avg_basket"),
         F.round("_short", 2).alias(f"revenue_last_{short}_days"),
         F.round("_long", 2).alias(f"revenue_last_{long}_days"),
-        round_ratio(F.col("_basket_sum"), F.col("_basket_days"), 2).alias(
+        # Rounding to 14 places first takes back what the daily means lost there.
+        F.round(mean(F.col("_basket_sum"), F.col("_basket_days")), 2).alias(
             f"avg_basket_last_{long}_days"
         ),
         change_percent(F.col("daily_revenue"), F.col("_before")).alias(

@@ -54,29 +54,42 @@ def jdbc_options(location: str) -> dict[str, str] | None:
     return options
 
 
+def split_options(column: str, lowest: int, highest: int, connections: int) -> dict[str, str]:
+    """JDBC options that read ranges of an integer column over several connections."""
+    return {
+        "partitionColumn": column,
+        "lowerBound": str(lowest),
+        "upperBound": str(highest + 1),
+        "numPartitions": str(max(1, min(connections, highest - lowest + 1))),
+    }
+
+
 def read_table(
     spark: SparkSession,
     table: Table,
     location: str | None = None,
-    split: tuple[str, object, object, int] | None = None,
+    connections: int | None = None,
 ) -> DataFrame:
     """One contract table from a location.
 
-    ``split`` = (column, lowest, highest, partitions) reads a database table
-    over several connections; without it JDBC uses a single task.
+    A database table is read in ranges of its primary key, by as many
+    connections as the session has cores unless told otherwise, so that no
+    single task has to pull the whole table.
     """
     place = table_location(location)
     options = jdbc_options(place)
     if options:
+        reader = spark.read.format("jdbc").options(**options)
+        key = table.primary_key
+        ends = (
+            reader.option("query", f"SELECT MIN({key}), MAX({key}) FROM {table.name}")
+            .load()
+            .first()
+        )
         reader = spark.read.format("jdbc").options(**options).option("dbtable", table.name)
-        if split:
-            column, lowest, highest, partitions = split
-            reader = reader.options(
-                partitionColumn=column,
-                lowerBound=str(lowest),
-                upperBound=str(highest),
-                numPartitions=str(partitions),
-            )
+        if ends[0] is not None:
+            wanted = connections or spark.sparkContext.defaultParallelism
+            reader = reader.options(**split_options(key, int(ends[0]), int(ends[1]), wanted))
         found = reader.load()
     elif place.startswith(CATALOG):
         found = spark.table(_catalog_name(place, table.name))
