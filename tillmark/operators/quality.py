@@ -172,7 +172,7 @@ def check_references(
 ) -> DataFrame:
     """Rows whose foreign key has no parent."""
     held = child.groupBy(column).agg(F.count("*").alias("_n"))
-    known = _keys(parent, parent_column, column).withColumn("_known", F.lit(True))
+    known = _keys(parent, parent_column, column).distinct().withColumn("_known", F.lit(True))
     return _report(
         held.join(known, column, "left").agg(
             F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_checked"),
