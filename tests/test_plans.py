@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 from decimal import Decimal
 
 import pytest
@@ -220,3 +221,59 @@ def test_basket_mean_of_inexact_daily_means(spark):
     )
     # 3 x 0.00333333333333 + 0.01 falls short of 0.02, by less than 14 places show
     assert last.avg_basket_last_30_days == Decimal("0.01")
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    """Tables on disk, so that plans show their scans."""
+    people = customers(spark, {i: D(2024, 1, 1 + i) for i in range(1, 9)})
+    sold = sales(
+        spark,
+        [(i % 8 + 1, i % 3 + 1, D(2024, 2, 1) + datetime.timedelta(days=i), i) for i in range(1, 60)],
+    )
+    frames = {"people": people, "sold": sold, "shops": stores(spark)}
+    for name, frame in frames.items():
+        frame.write.parquet(str(tmp_path / name))
+    return {name: spark.read.parquet(str(tmp_path / name)) for name in frames}
+
+
+def test_transactions_are_not_scanned_again(stored):
+    """Ranked and daily tables are read from their written copy."""
+    scan = re.compile(r"ReadSchema: struct<[^>]*amount")
+    assert scan.search(executed(churn.purchase_totals(stored["sold"])))
+    for plan in (
+        executed(churn.churn_risk(stored["people"], stored["sold"], AS_OF)),
+        executed(rolling.rolling_revenue(stored["sold"], stored["shops"])),
+    ):
+        assert not scan.search(plan)
+
+
+def test_scans_read_only_needed_columns(stored):
+    totals = executed(churn.purchase_totals(stored["sold"]))
+    assert "store_id" not in totals.split("ReadSchema")[1]
+    months = executed(cohort.monthly_activity(stored["sold"]))
+    assert months.split("ReadSchema: struct<")[1].startswith("customer_id:int,transaction_date")
+
+
+def test_sums_are_partial_before_the_shuffle(stored):
+    for plan in (
+        executed(churn.purchase_totals(stored["sold"])),
+        executed(rolling.sales_by_state_day(stored["sold"], stored["shops"])),
+    ):
+        assert plan.index("partial_sum") > plan.index("Exchange hashpartitioning")
+        assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_totals_agree(stored):
+    whole = stored["sold"].agg(F.sum("amount")).first()[0]
+    daily = rolling.daily_sales(stored["sold"], stored["shops"])
+    assert daily.agg(F.sum("daily_revenue")).first()[0] == whole
+    assert daily.count() == 2 * 59  # states x days
+    scored = churn.scored_customers(stored["people"], stored["sold"], AS_OF)
+    assert abs(scored.agg(F.sum("pct_of_total_revenue")).first()[0] - 100) < Decimal("0.05")
+    retention = cohort.cohort_retention(stored["people"], stored["sold"])
+    assert retention.filter("retention_pct > 100").count() == 0

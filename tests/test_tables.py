@@ -196,3 +196,21 @@ def test_jdbc_reads_are_split_on_the_key():
         "numPartitions": "8",
     }
     assert tables.split_options("id", 5, 6, 8)["numPartitions"] == "2"
+
+
+def test_created_tables_fill_defaults_and_hold_lengths(spark, frames):
+    spark.sql("CREATE DATABASE IF NOT EXISTS created")
+    tables.create_tables(spark, "catalog:created")
+    tables.create_tables(spark, "catalog:created")  # a refresh
+    spark.sql(
+        "INSERT INTO created.customers "
+        "(customer_id, first_name, last_name, email, state, postcode, signup_date) "
+        "VALUES (5, 'Cy', 'Orr', 'cy@x.au', 'WA', '6000', DATE '2024-01-01')"
+    )
+    row = spark.table("created.customers").first()
+    assert row.loyalty_program == "None" and row.created_at is not None and row.phone is None
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        spark.sql("INSERT INTO created.products VALUES (1, 'x', 'Bakery', 'y', 'far too long', 1)")
+    tables.load_tables(frames, "catalog:created", as_of="2024-12-31")
+    assert spark.table("created.customers").count() == 3
+    assert spark.table("created.transactions").first().discount_amount == 0

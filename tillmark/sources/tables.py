@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tillmark.functions.dates import month_start
 from tillmark.operators.quality import check_tables, failures
-from tillmark.sources.contracts import TABLES, Table, conform
+from tillmark.sources.contracts import NOW, TABLES, Field, Table, conform
 
 DEFAULT_LOCATION = "retail_data"
 CATALOG = "catalog:"
@@ -136,6 +136,20 @@ def load_tables(
             frame.write.mode(mode).parquet(os.path.join(place, name))
 
 
+def create_tables(spark: SparkSession, location: str = CATALOG) -> None:
+    """Drop the four catalog tables, children first, and create them empty.
+
+    Spark enforces the lengths and fills the defaults of such tables; all other
+    rules are left to ``check_tables``.
+    """
+    names = {name: _catalog_name(location, name) for name in TABLES}
+    for name in reversed(names):
+        spark.sql(f"DROP TABLE IF EXISTS {names[name]}")
+    for name, table in TABLES.items():
+        columns = ", ".join(_column_ddl(f) for f in table.fields)
+        spark.sql(f"CREATE TABLE {names[name]} ({columns}) USING parquet")
+
+
 def save_by_month(transactions: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Keep transactions in one folder per month, ordered by customer inside a file.
 
@@ -210,6 +224,14 @@ def scalar(df: DataFrame):
     return rows[0][0]
 
 
+def _column_ddl(f: Field) -> str:
+    kind = f"VARCHAR({f.max_length})" if f.max_length else f.type
+    if f.default is None:
+        return f"{f.name} {kind}"
+    value = "localtimestamp()" if f.default == NOW else repr(f.default)
+    return f"{f.name} {kind} DEFAULT {value}"
+
+
 def _catalog_name(place: str, name: str) -> str:
     schema = place[len(CATALOG) :]
     return f"{schema}.{name}" if schema else name
