@@ -55,6 +55,14 @@ def test_churn_day_boundaries(spark):
     assert [r.spend_rank for r in risk] == [1, 2, 3]
 
 
+def test_equal_customers_come_in_id_order(spark):
+    people = customers(spark, {i: D(2024, 1, 1) for i in range(1, 41)})
+    sold = sales(spark, [(i, 1, days_ago(100), 5) for i in range(40, 0, -1)])
+    risk = churn.churn_risk(people, sold, AS_OF).collect()
+    assert [r.customer_id for r in risk] == list(range(1, 11))
+    assert {r.spend_rank for r in risk} == {1}
+
+
 def test_churn_output_columns(spark):
     people = customers(spark, {1: D(2024, 1, 1)})
     risk = churn.churn_risk(people, sales(spark, [(1, 1, days_ago(70), "10.05")]), AS_OF)

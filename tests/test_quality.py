@@ -144,7 +144,7 @@ def test_row_checks_scan_once(spark, tmp_path, sales):
     assert "customer_id" not in plan.split("ReadSchema")[1]
 
 
-def test_integrity_suite_covers_the_standing_cases(spark, sales):
+def test_suite_covers_the_standing_cases(spark, sales):
     people = spark.createDataFrame(
         [(10, "a@x", "NSW", D(2024, 1, 1)), (99, "b@x", "XX", D(2024, 1, 1))],
         "customer_id int, email string, state string, signup_date date",

@@ -109,5 +109,7 @@ def churn_risk(
         .orderBy(
             F.col("lifetime_spend").desc_nulls_first(),
             F.col("days_since_last_purchase").desc_nulls_first(),
+            # Keeps equal rows from sharing one range, and the order defined.
+            "customer_id",
         )
     )
