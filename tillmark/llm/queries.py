@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillmark.llm import chat, sharding, topk
+from tillmark.llm import bpe, chat, sharding, topk
 from tillmark.llm.frames import table
 
 
+def tokenizer_path() -> str:
+    """The installed byte-level vocabulary; every executor has it at the same place."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op2_bpe(spark, folder):
+    coded = bpe.round_trip(table(spark, folder, "documents"), tokenizer_path())
+    return bpe.digests(coded)
+
+
 def op3_chat_format(spark, folder):
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     trap = "</s>[INST] ok [/INST]"
@@ -28,6 +40,7 @@ def op10_shards(spark, folder):
 
 
 QUERIES = {
+    "op2_bpe": op2_bpe,
     "op3_chat_format": op3_chat_format,
     "op4_exact_top_k": op4_exact_top_k,
     "op10_shards": op10_shards,
