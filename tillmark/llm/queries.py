@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillmark.llm import bpe, chat, sharding, topk
+from tillmark.llm import bpe, chat, decontam, sharding, topk, toxicity
 from tillmark.llm.frames import table
 
 
@@ -35,6 +35,23 @@ def op4_exact_top_k(spark, folder):
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
+def op8_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = toxicity.learn(docs, table(spark, folder, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.is_held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op9_decontamination(spark, folder):
+    return decontam.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
 def op10_shards(spark, folder):
     return sharding.pack_shards(table(spark, folder, "documents"))
 
@@ -43,6 +60,8 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_chat_format": op3_chat_format,
     "op4_exact_top_k": op4_exact_top_k,
+    "op8_toxicity": op8_toxicity,
+    "op9_decontamination": op9_decontamination,
     "op10_shards": op10_shards,
 }
 

@@ -2,13 +2,13 @@
 
 A word is the average of the embeddings of its subwords: its character n-grams (of UTF-8 bytes,
 lower case A-Z) and the word itself, hashed into a table. A window of words is the average of its
-words, and a linear layer with softmax gives its two class scores. Embeddings and layer are trained
+distinct words, and a linear layer with softmax gives its two class scores. Embeddings and layer are trained
 jointly in numpy. A text scores as its most toxic window, so that a few words in a long text count;
 training first teaches all windows of a text its label, then only its most toxic one. Misspelt
 words never seen still share most n-grams with the ones they come from.
 
-The fit uses a bounded sample of labelled rows (``per_class`` of each class, those of smallest
-hash), collected to the driver; scoring covers every row and the whole text. As the layer is linear
+The fit uses a bounded sample of labelled rows (``toxic_rows`` and ``clean_rows``, those of
+smallest hash), collected to the driver; scoring covers every row and the whole text. As the layer is linear
 and the rest are averages, scoring needs one number per table entry, which is what executors get.
 
 Edge cases: null and empty texts score by the bias alone; labels other than 0 and 1 are ignored;
@@ -31,7 +31,7 @@ from tillmark.llm.frames import texts
 
 GRAMS = (3, 4, 5)
 BUCKETS = 1 << 17
-WINDOW = 48
+WINDOW = 20
 
 
 @dataclass
@@ -86,13 +86,25 @@ def logits(batch: list[bytes], model: Model) -> np.ndarray:
     for owner, bucket in subwords:
         total += np.bincount(owner, model.subwords[bucket], minlength=len(total))
         number += np.bincount(owner, minlength=len(total))
-    average = _averages(total / np.maximum(number, 1), window, first[-1])
+    average = _averages(
+        total / np.maximum(number, 1), _once(split, window), window, first[-1]
+    )
     return np.maximum.reduceat(average, first[:-1]) + model.bias
 
 
-def _averages(values: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
+def _averages(values: np.ndarray, weights: np.ndarray, group: np.ndarray, groups: int):
+    """Weighted sums of each window over its number of words, at least WINDOW of them: a short
+    window is filled up with words that say nothing."""
     size = np.bincount(group, minlength=groups)
-    return np.bincount(group, values, minlength=groups) / np.maximum(size, 1)
+    return np.bincount(group, values * weights, minlength=groups) / np.maximum(size, WINDOW)
+
+
+def _once(split: words.Words, window: np.ndarray) -> np.ndarray:
+    """1 for the first of equal words in a window, 0 for the others."""
+    mark = words.mixed(split.hashes() + window.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    weights = np.zeros(len(mark))
+    weights[np.unique(mark, return_index=True)[1]] = 1.0
+    return weights
 
 
 def fit(
@@ -101,20 +113,21 @@ def fit(
     size: int = 8,
     epochs: int = 14,
     warm: int = 4,
-    chunk: int = 128,
-    rate: float = 0.5,
+    chunk: int = 96,
+    rate: float = 2.0,
+    least: int = 10,
+    floor: float = 1e-6,
     seed: int = 7,
 ) -> Model:
     """Train embeddings and layer together, by Adagrad on the softmax loss.
 
-    Both classes weigh the same in training; the bias is then moved to the middle of the gap
-    between the classes' logits on the sample.
+    Both classes weigh the same. ``calibrate`` sets the threshold afterwards.
     """
     rng = np.random.default_rng(seed)
     table = rng.normal(0, 0.1, (BUCKETS, size))
     layer = rng.normal(0, 0.5, (size, 2))
     bias = np.zeros(2)
-    table_speed, layer_speed = 1e-12, np.full(layer.shape, 1e-6)
+    table_speed, layer_speed = np.full(BUCKETS, floor), np.full(layer.shape, 1e-6)
     share = max(toxic.mean(), 1e-9)
     weight = np.where(toxic == 1, 0.5 / share, 0.5 / max(1 - share, 1e-9))
     order = np.argsort([len(t) for t in batch], kind="stable")
@@ -130,10 +143,18 @@ def fit(
         place = renumber[seen[word]]
         owner = np.concatenate([renumber[o[keep[o]]] for o, _ in subwords])
         bucket = np.concatenate([b[keep[o]] for o, b in subwords]).astype(np.int32)
-        prepared.append((own, owner.astype(np.int32), bucket, place, window, first))
+        once = _once(split, window)
+        prepared.append((own, owner.astype(np.int32), bucket, place, once, window, first))
+    # Subwords in few windows stay at zero: they could only be learnt by heart.
+    seen_in = np.zeros(BUCKETS)
+    for _, owner, bucket, word, once, window, first in prepared:
+        per_word = np.bincount(word, once)
+        seen_in += np.bincount(bucket, per_word[owner], minlength=BUCKETS)
+    common = seen_in >= least
+    table *= common[:, None]
     for epoch in range(epochs):
         for c in rng.permutation(len(chunks)):
-            own, owner, bucket, word, window, first = prepared[c]
+            own, owner, bucket, word, once, window, first = prepared[c]
             if not len(word):
                 continue
             difference = layer[:, 1] - layer[:, 0]
@@ -141,7 +162,7 @@ def fit(
             number = np.bincount(owner)
             scores = (table[used] @ difference)[compact]
             per_word = np.bincount(owner, scores) / number
-            z = _averages(per_word[word], window, first[-1]) + bias[1] - bias[0]
+            z = _averages(per_word[word], once, window, first[-1]) + bias[1] - bias[0]
             text = np.repeat(np.arange(len(own)), np.diff(first))
             if epoch < warm:
                 pull = 1.0 / np.diff(first)[text]
@@ -151,46 +172,46 @@ def fit(
                 pull[best] = 1.0
             p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
             g = (p - toxic[own][text]) * pull * weight[own][text] / len(own)
-            sizes = np.maximum(np.bincount(window, minlength=first[-1]), 1)
-            by_word = np.bincount(word, (g / sizes)[window], minlength=len(number))
+            sizes = np.maximum(np.bincount(window, minlength=first[-1]), WINDOW)
+            by_word = np.bincount(word, (g / sizes)[window] * once, minlength=len(number))
             by_bucket = np.bincount(compact, (by_word / number)[owner], minlength=len(used))
             down = by_bucket[:, None] * difference[None, :]
             up = table[used].T @ by_bucket
-            # One step size for the table: words that keep turning up move, rare ones hardly do.
-            table_speed += (down * down).max()
-            table[used] -= rate * down / np.sqrt(table_speed)
+            table_speed[used] += (down * down).mean(axis=1)
+            table[used] -= rate * down / np.sqrt(table_speed[used])[:, None] * common[used, None]
             both = np.column_stack([-up, up])
             layer_speed += both * both
             layer -= 0.1 * rate * both / np.sqrt(layer_speed)
             bias -= 0.05 * np.array([-g.sum(), g.sum()])
-    model = Model((table @ (layer[:, 1] - layer[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
-    z = np.concatenate([logits([batch[i] for i in own], model) for own in chunks])
-    y = toxic[np.concatenate(chunks)]
-    # The threshold with the fewest errors (classes weighing the same), in the middle of its gap.
-    levels = np.sort(z)
+    return Model((table @ (layer[:, 1] - layer[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
+
+
+def calibrate(model: Model, batch: list[bytes], toxic: np.ndarray) -> Model:
+    """Move the bias to the threshold with the fewest errors on rows not used for the fit, the
+    classes weighing the same, and there to the middle of the widest gap."""
+    z = np.concatenate([logits(batch[i : i + 200], model) for i in range(0, len(batch), 200)])
+    clean, bad, levels = np.sort(z[toxic == 0]), np.sort(z[toxic == 1]), np.sort(z)
     middles = (levels[1:] + levels[:-1]) / 2
-    if len(middles):
-        neg, pos = np.sort(z[y == 0]), np.sort(z[y == 1])
-        wrong = np.searchsorted(pos, middles) / len(pos) + 1 - np.searchsorted(neg, middles) / len(neg)
-        good = np.flatnonzero(wrong <= wrong.min() + 1e-12)
-        widest = good[np.argmax(np.diff(levels)[good])]
-        model.bias -= float(middles[widest])
-    return model
+    missed = np.searchsorted(bad, middles) / len(bad)
+    wrong = missed + 1 - np.searchsorted(clean, middles) / len(clean)
+    good = np.flatnonzero(wrong <= wrong.min() + 1e-12)
+    widest = good[np.argmax(np.diff(levels)[good])]
+    return Model(model.subwords, model.bias - float(middles[widest]))
 
 
 def learn(
-    docs: DataFrame, labels: DataFrame, per_class: int = 1500, held_out: int = 5
+    docs: DataFrame, labels: DataFrame, toxic_rows: int = 1800, clean_rows: int = 3000, held_out: int = 5
 ) -> Model:
-    """Fit on at most ``per_class`` labelled texts of each class, none of the held-out rows."""
+    """Fit on at most so many labelled texts of each class, none of the held-out rows."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
         .filter(F.col("toxic").isin(0, 1) & ~is_held_out(F.col("doc_id"), held_out))
         .dropDuplicates(["doc_id"])
     )
     chosen = None
-    for label in (0, 1):
+    for label, most in ((0, clean_rows), (1, toxic_rows)):
         part = known.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id")
-        part = part.limit(per_class)
+        part = part.limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
     rows = [
         (row["text"].encode(), row["toxic"])
@@ -201,7 +222,18 @@ def learn(
     if not len(rows) or toxic.min() == toxic.max():
         odds = 40.0 if len(rows) and toxic.max() == 1 else -40.0
         return Model(np.zeros(BUCKETS, np.float32), odds)
-    return fit([text for text, _ in rows], toxic)
+    # Every fifth row of each class sets the threshold, the others train.
+    order = np.lexsort((np.arange(len(rows)), toxic))
+    checks = np.zeros(len(rows), dtype=bool)
+    checks[order[::5]] = True
+    if len(rows) < 50 or len(np.unique(toxic[checks])) < 2:
+        checks[:] = True
+        train = checks
+    else:
+        train = ~checks
+    batch = [text for text, _ in rows]
+    model = fit([t for t, own in zip(batch, train) if own], toxic[train])
+    return calibrate(model, [t for t, own in zip(batch, checks) if own], toxic[checks])
 
 
 def is_held_out(key, held_out: int = 5):
