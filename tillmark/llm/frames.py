@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,3 +20,42 @@ def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         F.col(key).cast("long").alias("doc_id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
+
+
+def whole_groups(batches, keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """From batches sorted by the keys: tables of complete groups, and where each group begins
+    (with the row count as last entry). Holds one batch and one group at a time."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rest.append(batch)
+        changes = _changes(batch, keys)
+        joined = len(rest) > 1 and any(
+            rest[0].column(k)[rest[0].num_rows - 1] != batch.column(k)[0] for k in keys
+        )
+        if len(changes):
+            cut = int(changes[-1])
+            table = pa.Table.from_batches([*rest[:-1], batch.slice(0, cut)])
+            rest = [batch.slice(cut)]
+        elif joined:
+            table = pa.Table.from_batches(rest[:-1])
+            rest = [batch]
+        else:
+            continue
+        yield table, _bounds(table, keys)
+    if rest:
+        table = pa.Table.from_batches(rest)
+        yield table, _bounds(table, keys)
+
+
+def _changes(rows, keys: list[str]) -> np.ndarray:
+    different = np.zeros(max(rows.num_rows - 1, 0), dtype=bool)
+    for k in keys:
+        values = np.asarray(rows.column(k))
+        different |= values[1:] != values[:-1]
+    return np.flatnonzero(different) + 1
+
+
+def _bounds(table: pa.Table, keys: list[str]) -> np.ndarray:
+    return np.concatenate([[0], _changes(table, keys), [table.num_rows]])

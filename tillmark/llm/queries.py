@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillmark.llm import bpe, chat, decontam, sharding, topk, toxicity
+from tillmark.llm import bpe, chat, decontam, jaccard, sharding, topk, toxicity
 from tillmark.llm.frames import table
 
 
@@ -35,6 +35,10 @@ def op4_exact_top_k(spark, folder):
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
+def op6_ngram_jaccard(spark, folder):
+    return jaccard.link_groups(table(spark, folder, "documents"))
+
+
 def op8_toxicity(spark, folder):
     docs = table(spark, folder, "documents")
     model = toxicity.learn(docs, table(spark, folder, "labels"))
@@ -60,6 +64,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_chat_format": op3_chat_format,
     "op4_exact_top_k": op4_exact_top_k,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_shards": op10_shards,

@@ -187,14 +187,13 @@ def fit(
 
 
 def calibrate(model: Model, batch: list[bytes], toxic: np.ndarray) -> Model:
-    """Move the bias to the threshold with the fewest errors on rows not used for the fit, the
-    classes weighing the same, and there to the middle of the widest gap."""
+    """Move the bias to the threshold with the fewest errors on rows not used for the fit, and
+    there to the middle of the widest gap."""
     z = np.concatenate([logits(batch[i : i + 200], model) for i in range(0, len(batch), 200)])
     clean, bad, levels = np.sort(z[toxic == 0]), np.sort(z[toxic == 1]), np.sort(z)
     middles = (levels[1:] + levels[:-1]) / 2
-    missed = np.searchsorted(bad, middles) / len(bad)
-    wrong = missed + 1 - np.searchsorted(clean, middles) / len(clean)
-    good = np.flatnonzero(wrong <= wrong.min() + 1e-12)
+    wrong = np.searchsorted(bad, middles) + len(clean) - np.searchsorted(clean, middles)
+    good = np.flatnonzero(wrong == wrong.min())
     widest = good[np.argmax(np.diff(levels)[good])]
     return Model(model.subwords, model.bias - float(middles[widest]))
 
