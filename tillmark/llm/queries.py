@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillmark.llm import bpe, chat, decontam, jaccard, sharding, topk, toxicity
+from tillmark.llm import bpe, chat, decontam, jaccard, repeats, sharding, topk, toxicity
 from tillmark.llm.frames import table
 
 
@@ -15,6 +15,17 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op1_suffix_dedup(spark, folder):
+    cut = repeats.without_repeats(table(spark, folder, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_bpe(spark, folder):
     coded = bpe.round_trip(table(spark, folder, "documents"), tokenizer_path())
     return bpe.digests(coded)
@@ -61,6 +72,7 @@ def op10_shards(spark, folder):
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_bpe": op2_bpe,
     "op3_chat_format": op3_chat_format,
     "op4_exact_top_k": op4_exact_top_k,
