@@ -26,12 +26,11 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.frames import texts
+from tillmark.llm.frames import bounded, texts
 
 # Fixed value: the pre-tokenizer pattern of the byte-level vocabulary, as published with it.
 PATTERN = (
@@ -46,7 +45,6 @@ _WORDS = regex.compile(
 _NEVER = np.iinfo(np.int64).max
 RUN_CHARS = 1 << 20
 CACHED_WORDS = 400_000
-BATCH_CHARS = 2 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -215,16 +213,6 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def bounded(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with a bounded amount of text (or one row)."""
-    lengths = np.asarray(pyarrow.compute.binary_length(batch.column(text)).fill_null(0))
-    cells = np.cumsum(lengths) // BATCH_CHARS
-    cuts = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), len(lengths)]
-    for start, end in zip(cuts, cuts[1:]):
-        if end > start:
-            yield batch.slice(start, end - start)
-
-
 def round_trip(
     docs: DataFrame, path: str, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:

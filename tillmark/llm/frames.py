@@ -6,8 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+
+BATCH_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +27,34 @@ def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     )
 
 
+def bounded(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with a bounded amount of text (or one row)."""
+    lengths = np.asarray(pyarrow.compute.binary_length(batch.column(text)).fill_null(0))
+    cells = np.cumsum(lengths) // BATCH_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), len(lengths)]
+    for start, end in zip(cuts, cuts[1:]):
+        if end > start:
+            yield batch.slice(start, end - start)
+
+
+def with_text_column(docs: DataFrame, text: str, name: str, kind: str, compute) -> DataFrame:
+    """All columns of ``docs`` and one more, computed in batches from its texts (null as empty)."""
+
+    def convert(batches):
+        for batch in batches:
+            for part in bounded(batch, text):
+                rows = part.column(text).fill_null("").to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, compute(rows)], names=[*part.schema.names, name]
+                )
+
+    return docs.mapInArrow(convert, StructType([*docs.schema.fields, StructField(name, _parse(kind))]))
+
+
+def _parse(kind: str):
+    return StructType.fromDDL(f"x {kind}")["x"].dataType
+
+
 def whole_groups(batches, keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """From batches sorted by the keys: tables of complete groups, and where each group begins
     (with the row count as last entry). Holds one batch and one group at a time."""

@@ -42,8 +42,7 @@ from pyspark.sql import functions as F
 
 from tillmark.llm import words
 from tillmark.llm.bitsets import bit_table, hit
-from tillmark.llm.bpe import bounded
-from tillmark.llm.frames import texts, whole_groups
+from tillmark.llm.frames import bounded, texts, whole_groups
 from tillmark.llm.graph import components
 from tillmark.session import cut_lineage
 
@@ -413,3 +412,16 @@ def link_groups(
         .otherwise(F.col("doc_id"))
         .alias("component_id"),
     )
+
+
+def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of the smallest id of each component, one row per id; rows with a null id stay
+    unless their set is that of a row with an id."""
+    linked = link_groups(docs, key, text)
+    kept = linked.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("_kept")
+    )
+    counted = cut_lineage(kept.groupBy("_kept").agg(F.count("*").alias("_n")))
+    own = docs.join(counted, F.col(key).eqNullSafe(F.col("_kept")), "left_semi")
+    repeated = counted.filter("_n > 1 and _kept is not null").limit(1).count()
+    return own.dropDuplicates([key, text]) if repeated else own

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillmark.llm import bpe, chat, decontam, jaccard, repeats, sharding, topk, toxicity
+from tillmark.llm import bpe, chat, decontam, jaccard, pii, repeats, sharding, topk, toxicity
 from tillmark.llm.frames import table
 
 
@@ -46,6 +46,20 @@ def op4_exact_top_k(spark, folder):
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
+def op5_pii(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = pii.find(docs, pii.learn(docs))
+    return found.select(
+        "doc_id",
+        "n_email",
+        "n_ip",
+        "n_card",
+        "n_phone",
+        F.sha2("base", 256).alias("base_sha256"),
+        "spans",
+    )
+
+
 def op6_ngram_jaccard(spark, folder):
     return jaccard.link_groups(table(spark, folder, "documents"))
 
@@ -76,6 +90,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_chat_format": op3_chat_format,
     "op4_exact_top_k": op4_exact_top_k,
+    "op5_pii": op5_pii,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,

@@ -39,8 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm import words
-from tillmark.llm.bpe import bounded
-from tillmark.llm.frames import texts, whole_groups
+from tillmark.llm.frames import bounded, texts, whole_groups
 from tillmark.operators.ordering import with_row_number
 from tillmark.session import cut_lineage
 

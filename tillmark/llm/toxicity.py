@@ -26,8 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm import words
-from tillmark.llm.bpe import bounded
-from tillmark.llm.frames import texts
+from tillmark.llm.frames import bounded, texts, with_text_column
 
 GRAMS = (3, 4, 5)
 BUCKETS = 1 << 17
@@ -254,3 +253,15 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 )
 
     return texts(docs, key, text).mapInArrow(convert, "doc_id long, score double")
+
+
+def without_toxic(docs: DataFrame, model: Model, text: str = "text", limit: float = 0.5) -> DataFrame:
+    """The rows whose text scores below ``limit``, with their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def compute(rows: list[str]):
+        z = logits([row.encode() for row in rows], shared.value)
+        return pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))
+
+    scored = with_text_column(docs, text, "_toxicity", "double", compute)
+    return scored.filter(F.col("_toxicity") < limit).drop("_toxicity")
