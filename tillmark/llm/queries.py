@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillmark.llm import bpe, chat, decontam, jaccard, pii, repeats, sharding, topk, toxicity
+from tillmark.llm import bpe, chat, decontam, jaccard, licences, pii, repeats, sharding, topk, toxicity
 from tillmark.llm.frames import table
 
 
@@ -64,6 +64,11 @@ def op6_ngram_jaccard(spark, folder):
     return jaccard.link_groups(table(spark, folder, "documents"))
 
 
+def op7_licences(spark, folder):
+    docs = table(spark, folder, "documents")
+    return licences.per_document(docs, licences.learn(docs))
+
+
 def op8_toxicity(spark, folder):
     docs = table(spark, folder, "documents")
     model = toxicity.learn(docs, table(spark, folder, "labels"))
@@ -92,6 +97,7 @@ QUERIES = {
     "op4_exact_top_k": op4_exact_top_k,
     "op5_pii": op5_pii,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_licences": op7_licences,
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_shards": op10_shards,
