@@ -160,7 +160,7 @@ class Vocabulary:
         fresh = list(words)
         spelled = [w.encode("utf-8", "replace") for w in fresh]
         proposed = [self.propose(w) for w in spelled]
-        counts = np.array([len(p) for p in proposed])
+        counts = np.array([len(p) for p in proposed], dtype=np.int64)
         flat = np.fromiter(chain.from_iterable(proposed), dtype=np.int64, count=counts.sum())
         owner = np.repeat(np.arange(len(fresh)), counts)
         inner = np.flatnonzero(owner[1:] == owner[:-1])
