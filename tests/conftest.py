@@ -40,15 +40,18 @@ def partitions(spark, request):
 
 
 @pytest.fixture
-def small_limits(monkeypatch):
+def small_limits(spark):
     """Treat every dimension as too large to broadcast."""
-    from tillmark.operators import lookup
-
-    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
-    for function in (lookup.is_small, lookup.lookup):
-        defaults = function.__defaults__
-        changed = tuple(0 if value == 200_000 else value for value in defaults)
-        monkeypatch.setattr(function, "__defaults__", changed)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
 
 
 def bag(df):

@@ -8,6 +8,7 @@ import pytest
 from conftest import bag
 from pyspark.sql import functions as F
 
+from tillmark.operators import quality
 from tillmark.plans import churn, cohort, rolling
 
 D = datetime.date
@@ -268,12 +269,50 @@ def test_scans_read_only_needed_columns(stored):
 
 
 def test_sums_are_partial_before_the_shuffle(stored):
-    for plan in (
-        executed(churn.purchase_totals(stored["sold"])),
-        executed(rolling.sales_by_state_day(stored["sold"], stored["shops"])),
+    # Sales go to (store, day), then those sums to (state, day).
+    for plan, shuffles in (
+        (executed(churn.purchase_totals(stored["sold"])), 1),
+        (executed(rolling.sales_by_state_day(stored["sold"], stored["shops"])), 2),
     ):
         assert plan.index("partial_sum") > plan.index("Exchange hashpartitioning")
-        assert plan.count("Exchange hashpartitioning") == 1
+        assert plan.rindex("partial_sum") > plan.rindex("Exchange hashpartitioning")
+        assert plan.count("Exchange hashpartitioning") == shuffles
+
+
+def test_one_shuffle_of_the_sales_for_cohorts_and_dates(stored, small_limits):
+    retention = executed(cohort.cohort_retention(stored["people"], stored["sold"]))
+    assert retention.count("Exchange hashpartitioning(customer_id") == 2  # sales and customers
+    order = quality.check_date_order(
+        stored["sold"], "t", "customer_id", "transaction_date",
+        stored["people"], "customer_id", "signup_date",
+    )
+    assert executed(order).count("Exchange hashpartitioning(customer_id") == 2
+
+
+def test_suite_reads_the_sales_twice(stored, small_limits):
+    frames = {
+        "transactions": stored["sold"].withColumn("product_id", F.lit(1)),
+        "customers": stored["people"], "stores": stored["shops"],
+        "products": stored["shops"].select(F.col("store_id").alias("product_id")),
+    }
+    plan = executed(quality.integrity_suite(frames, AS_OF))
+    assert plan.count("sold]") == 2 or plan.count("/sold") == 2
+
+
+def test_rolling_revenue_is_ordered(stored):
+    rows = rolling.rolling_revenue(stored["sold"], stored["shops"]).collect()
+    places = [(r["state"], r["transaction_date"]) for r in rows]
+    assert places == sorted(places)
+
+
+@pytest.mark.parametrize("broadcast", ["-1", "10m"])
+def test_daily_types_do_not_depend_on_the_stores(spark, stored, broadcast):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    kinds = dict(rolling.daily_sales(stored["sold"], stored["shops"]).dtypes)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    money = dict(stored["sold"].agg(F.sum("amount").alias("s")).dtypes)["s"]
+    assert kinds["daily_revenue"] == money
 
 
 def test_totals_agree(stored):

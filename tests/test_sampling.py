@@ -36,10 +36,9 @@ def exact_sample(draws, weights):
     return sorted(picked)
 
 
-@pytest.mark.parametrize("literal_items", [0, 256])
-def test_weighted_sample_against_brute_force(spark, weights, partitions, literal_items):
+def test_weighted_sample_against_brute_force(spark, weights, partitions):
     draws = wanted(spark, 600, "d")
-    got = s.weighted_sample(draws, "d", ["draw_id"], weights, "item", "weight", literal_items)
+    got = s.weighted_sample(draws, "d", ["draw_id"], weights, "item", "weight")
     assert sorted((r.draw_id, r.item) for r in got.collect()) == exact_sample(draws, weights)
 
 
@@ -48,7 +47,7 @@ def test_item_with_most_of_the_weight(spark):
         F.col("id").alias("item"), F.when(F.col("id") == 7, 5000).otherwise(1).alias("weight")
     )
     draws = wanted(spark, 3000, "d")
-    got = s.weighted_sample(draws, "d", ["draw_id"], table, "item", "weight", literal_items=0)
+    got = s.weighted_sample(draws, "d", ["draw_id"], table, "item", "weight")
     counts = Counter(r.item for r in got.collect())
     assert sum(counts.values()) == 3000 and counts[7] > 2900
 
@@ -131,14 +130,36 @@ def test_normalised_weights_sum_to_one(spark, weights):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-def test_salted_lookup_equals_broadcast(spark, how):
-    facts = spark.range(1000).withColumn("k", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")))
+def test_lookup_of_a_hot_key(spark, how, small_limits):
+    """Most rows are identical and have one key; nothing is broadcast."""
+    key = F.when(F.col("id") % 10 < 7, 1).otherwise(F.col("id"))
+    facts = spark.range(1000).select(key.alias("k"), F.when(key == 1, 0).otherwise(key).alias("f"))
     dimension = spark.range(0, 500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    assert bag(lookup(facts, dimension, ["k"], how, limit=0)) == bag(
-        lookup(facts, dimension, ["k"], how)
-    )
+    own = {row.k: row.v for row in dimension.collect()}
+    rows = [tuple(row) for row in facts.collect()]
+    if how == "left_semi":
+        wanted = [row for row in rows if row[0] in own]
+    else:
+        wanted = [(*row, own.get(row[0])) for row in rows if how == "left" or row[0] in own]
+    assert bag(lookup(facts, dimension, ["k"], how)) == sorted(wanted, key=repr)
 
 
 def test_lookup_keeps_facts_only():
     with pytest.raises(ValueError):
         lookup(None, None, ["k"], "right")
+
+
+@pytest.mark.parametrize("bad", [-5, None])
+def test_weights_below_zero_or_null_raise(spark, bad):
+    table = spark.createDataFrame([(1, 2), (2, bad), (3, 0)], "item bigint, weight int")
+    draws = spark.range(5).selectExpr("id AS draw_id", "id AS d")
+    with pytest.raises(ValueError, match="below 0 or NULL"):
+        s.weighted_sample(draws, "d", ["draw_id"], table, "item", "weight")
+
+
+@pytest.mark.parametrize("items", [3, 300])
+def test_the_item_keeps_its_type(spark, items):
+    table = spark.range(items).selectExpr("id AS item", "1 AS weight")
+    draws = spark.range(5).selectExpr("id AS draw_id", "id AS d")
+    got = s.weighted_sample(draws, "d", ["draw_id"], table, "item", "weight")
+    assert got.schema["item"].dataType.simpleString() == "bigint" and got.count() == 5

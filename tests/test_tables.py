@@ -88,7 +88,10 @@ def test_load_append_and_refresh(spark, frames, tmp_path, place):
     assert bag(back["transactions"]) == bag(written)
     assert tables.has_rows(back["customers"])
 
-    tables.load_tables({"stores": frames["stores"]}, location)
+    with pytest.raises(tables.FailedChecks, match="stores.store_id: new_key"):
+        tables.load_tables({"stores": frames["stores"]}, location)
+    second = frames["stores"].withColumn("store_id", F.lit(2))
+    tables.load_tables({"stores": second}, location)
     assert tables.read_table(spark, contracts.STORES, location).count() == 2
     tables.load_tables(frames, location, mode="overwrite", as_of="2024-12-31")
     assert tables.read_table(spark, contracts.STORES, location).count() == 1
@@ -104,6 +107,45 @@ def test_load_refuses_broken_tables(spark, frames, tmp_path):
     assert tables.read_table(spark, contracts.CUSTOMERS, location).count() == 1
 
 
+def test_append_checks_against_what_is_stored(spark, frames, tmp_path):
+    location = str(tmp_path / "data")
+    sold = frames["transactions"]
+    with pytest.raises(tables.FailedChecks, match="neither given nor stored"):
+        tables.load_tables({"transactions": sold}, location, as_of="2024-12-31")
+    tables.load_tables(frames, location, as_of="2024-12-31")
+    later = sold.withColumn("transaction_id", F.col("transaction_id") + 10)
+    tables.load_tables({"transactions": later}, location, as_of="2024-12-31")
+    assert tables.read_table(spark, contracts.TRANSACTIONS, location).count() == 4
+    orphan = later.withColumns(
+        {"transaction_id": F.col("transaction_id") + 10, "customer_id": F.lit(77)}
+    )
+    with pytest.raises(tables.FailedChecks, match="transactions.customer_id: references"):
+        tables.load_tables({"transactions": orphan}, location, as_of="2024-12-31")
+    with pytest.raises(tables.FailedChecks, match="transactions.transaction_id: new_key"):
+        tables.load_tables({"transactions": later}, location, as_of="2024-12-31")
+
+
+@pytest.mark.parametrize(
+    "column, value", [("amount", 1e12), ("unit_price", 1e9), ("transaction_date", "soon")]
+)
+def test_values_that_do_not_convert_are_named(frames, tmp_path, column, value):
+    broken = {**frames, "transactions": frames["transactions"].withColumn(column, F.lit(value))}
+    with pytest.raises(tables.FailedChecks, match=f"transactions.{column}: castable"):
+        tables.load_tables(broken, str(tmp_path / "data"), as_of="2024-12-31")
+
+
+@pytest.mark.parametrize(
+    "url, jdbc",
+    [
+        ("postgresql:///db", "jdbc:postgresql://localhost/db"),
+        ("postgresql://[::1]:5433/db", "jdbc:postgresql://[::1]:5433/db"),
+        ("postgresql://u@h/db?sslmode=require", "jdbc:postgresql://h/db?sslmode=require"),
+    ],
+)
+def test_database_urls(url, jdbc):
+    assert tables.jdbc_options(url)["url"] == jdbc
+
+
 def test_full_contract_report(spark, frames):
     ready = {
         name: tables.conform(frame, contracts.TABLES[name]) for name, frame in frames.items()

@@ -5,42 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Rows are narrow (a key and a few attributes), so this stays far below the
-# memory of an executor.
-BROADCAST_ROWS = 200_000
-SALTS = 16
-
-
-def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``limit`` rows; stops counting beyond."""
-    return df.limit(limit + 1).count() <= limit
 
 
 def lookup(
-    facts: DataFrame,
-    dimension: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    limit: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    facts: DataFrame, dimension: DataFrame, keys: Sequence[str], how: str = "inner"
 ) -> DataFrame:
-    """Join ``facts`` to a dimension with unique ``keys``, skew or not.
+    """Join ``facts`` to a dimension with unique ``keys``.
 
-    A dimension that is counted and found small is broadcast. A larger one is
-    repeated once per salt and the facts are spread over the salts, so that a
-    key held by a large share of the facts is met by several tasks.
+    Spark broadcasts a dimension below its threshold in bytes, by estimate or as measured at run
+    time. A larger one is met by a shuffle on the keys, whose large partitions adaptive execution
+    splits on the fact side, so that a key with a large share of the facts, identical rows
+    included, is met by several tasks.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"a lookup keeps the fact side: {how}")
-    keys = list(keys)
-    if is_small(dimension, limit):
-        return facts.join(F.broadcast(dimension), keys, how)
-    spread = facts.withColumn(
-        "_salt", F.pmod(F.xxhash64(*[F.col(name) for name in facts.columns]), F.lit(salts))
-    )
-    repeated = dimension.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-    )
-    return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    return facts.join(dimension, list(keys), how)

@@ -30,11 +30,15 @@ from tillmark.sources.contracts import (
 
 @dataclass(frozen=True)
 class RowCheck:
-    """A condition that marks a bad row; NULL conditions pass, as in a CHECK constraint."""
+    """A condition that marks a bad row; NULL conditions pass, as in a CHECK constraint.
+
+    With ``among`` only the rows that meet it count as checked.
+    """
 
     check: str
     column: str
     violation: Column
+    among: Column | None = None
 
 
 def not_null(*columns: str) -> list[RowCheck]:
@@ -105,10 +109,19 @@ def check_rows(
     With ``minimum`` the volume is checked by the same scan.
     """
     rows = F.count("*")
-    lines = [("volume", "*", _missing(rows, minimum))] if minimum is not None else []
-    lines += [(c.check, c.column, F.count_if(c.violation)) for c in checks]
+    lines = [("volume", "*", _missing(rows, minimum), rows)] if minimum is not None else []
+    lines += [
+        (
+            c.check,
+            c.column,
+            F.count_if(c.violation),
+            rows if c.among is None else F.count_if(c.among),
+        )
+        for c in checks
+    ]
     counts = df.agg(
-        rows.alias("_rows"), *[count.alias(f"_v{i}") for i, (*_, count) in enumerate(lines)]
+        *[line[2].alias(f"_v{i}") for i, line in enumerate(lines)],
+        *[line[3].alias(f"_r{i}") for i, line in enumerate(lines)],
     )
     report = F.array(
         *[
@@ -116,10 +129,10 @@ def check_rows(
                 F.lit(check).alias("check"),
                 F.lit(table).alias("table"),
                 F.lit(column).alias("column"),
-                F.col("_rows").alias("rows_checked"),
+                F.col(f"_r{i}").alias("rows_checked"),
                 F.col(f"_v{i}").alias("violations"),
             )
-            for i, (check, column, _) in enumerate(lines)
+            for i, (check, column, *_) in enumerate(lines)
         ]
     )
     return counts.select(F.inline(report)).withColumn("passed", F.col("violations") == 0)
@@ -154,6 +167,21 @@ def check_unique(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def check_new_keys(df: DataFrame, table: str, key: str, stored: DataFrame) -> DataFrame:
+    """Rows whose key is in the stored table already."""
+    held = df.groupBy(key).agg(F.count("*").alias("_n"))
+    old = stored.select(key).distinct().withColumn("_old", F.lit(True))
+    return _report(
+        held.join(old, key, "left").agg(
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_checked"),
+            F.coalesce(F.sum(F.when(F.col("_old"), F.col("_n"))), F.lit(0)).alias("violations"),
+        ),
+        "new_key",
+        table,
+        key,
+    )
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their row counts."""
     return df.groupBy(*keys).agg(F.count("*").alias("row_count")).filter("row_count > 1")
@@ -210,15 +238,16 @@ def check_date_order(
     parent_column: str,
     parent_date: str,
 ) -> DataFrame:
-    """Rows dated before their parent's date, among rows that have a parent."""
-    held = child.groupBy(column, child_date).agg(F.count("*").alias("_n"))
+    """Rows dated before their parent's date, among rows that have a parent.
+
+    One shuffle of the child at most; a parent with many children is split by adaptive execution.
+    """
     dated = parent.select(F.col(parent_column).alias(column), F.col(parent_date).alias("_start"))
     early = F.col(child_date) < F.col("_start")
     return _report(
-        held.join(dated, column).agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_checked"),
-            F.coalesce(F.sum(F.when(early, F.col("_n"))), F.lit(0)).alias("violations"),
-        ),
+        child.select(column, child_date)
+        .join(dated, column)
+        .agg(F.count("*").alias("rows_checked"), F.count_if(early).alias("violations")),
         "date_order",
         table,
         f"{child_date}, {parent_date}",
@@ -262,13 +291,80 @@ def contract_checks(table: Table, as_of=None) -> list[RowCheck]:
     return checks
 
 
+def check_key_references(
+    child: DataFrame, table: str, parents: Mapping[str, tuple[DataFrame, str]]
+) -> DataFrame:
+    """``check_references`` of several short-keyed columns in one scan of the child.
+
+    ``parents`` maps a column to its parent and the parent's key. Keys are counted per task
+    before the shuffle, so only distinct keys are shuffled.
+    """
+    columns = list(parents)
+    held = child.groupingSets([[c] for c in columns], *columns).agg(
+        F.count("*").alias("_n"), *[F.grouping(c).alias(f"_g_{c}") for c in columns]
+    )
+    name, key = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for column in columns:
+        own = F.col(f"_g_{column}") == 0
+        name = F.when(own, column).otherwise(name)
+        key = F.when(own, F.col(column).cast("string")).otherwise(key)
+    known = reduce(
+        DataFrame.unionByName,
+        [
+            parent.select(F.lit(column).alias("column"), F.col(own).cast("string").alias("_key"))
+            for column, (parent, own) in parents.items()
+        ],
+    ).distinct()
+    counts = (
+        held.select(name.alias("column"), key.alias("_key"), "_n")
+        .join(known.withColumn("_known", F.lit(True)), ["column", "_key"], "left")
+        .groupBy("column")
+        .agg(
+            F.sum("_n").alias("_rows"),
+            F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0)).alias("_bad"),
+        )
+    )
+    # One line for each column, also when the child has no rows.
+    lines = F.array(*[F.lit(c) for c in columns])
+    totals = counts.agg(
+        F.map_from_entries(F.collect_list(F.struct("column", F.struct("_rows", "_bad")))).alias("m")
+    )
+    zero = F.lit(0).cast("bigint")
+    found = totals.select("m", F.explode(lines).alias("column"))
+    return found.select(
+        F.lit("references").alias("check"),
+        F.lit(table).alias("table"),
+        "column",
+        F.coalesce(F.col("m")[F.col("column")]["_rows"], zero).alias("rows_checked"),
+        F.coalesce(F.col("m")[F.col("column")]["_bad"], zero).alias("violations"),
+    ).withColumn("passed", F.col("violations") == 0)
+
+
+def castable(table: Table, df: DataFrame) -> list[RowCheck]:
+    """For each column of a contract that ``df`` has: its values convert to the declared type."""
+    return [
+        RowCheck(
+            "castable",
+            f.name,
+            F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.type).isNull(),
+        )
+        for f in table.fields
+        if f.name in df.columns
+    ]
+
+
 def check_tables(
-    frames: Mapping[str, DataFrame], as_of=None, minimum_transactions: int = 1
+    frames: Mapping[str, DataFrame],
+    as_of=None,
+    minimum_transactions: int = 1,
+    stored: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Every contract check of the given tables, in one report.
 
-    References are checked against the parents that are given.
+    References are checked against the parents that are given, together with the rows that are
+    ``stored`` already; new keys must also differ from the stored ones.
     """
+    stored = stored or {}
     reports = []
     for name, frame in frames.items():
         table = TABLES[name]
@@ -277,10 +373,13 @@ def check_tables(
         for key in (table.primary_key, *table.unique):
             reports.append(check_unique(frame, name, [key]))
         for column, (parent, parent_column) in table.foreign_keys.items():
-            if parent in frames:
-                reports.append(
-                    check_references(frame, name, column, frames[parent], parent_column)
-                )
+            known = [t[parent].select(parent_column) for t in (frames, stored) if parent in t]
+            if known:
+                parents = reduce(DataFrame.union, known)
+                reports.append(check_references(frame, name, column, parents, parent_column))
+        if name in stored:
+            for key in (table.primary_key, *table.unique):
+                reports.append(check_new_keys(frame, name, key, stored[name]))
     if "transactions" in frames and "customers" in frames:
         reports.append(
             check_date_order(
@@ -304,7 +403,9 @@ def integrity_suite(
 ) -> DataFrame:
     """The standing integrity checks of a loaded database, as one report.
 
-    All four tables must be given; columns no check reads may be absent.
+    All four tables must be given; columns no check reads may be absent. The transactions are
+    scanned twice: once next to their customers, for every check on rows, customers and dates, and
+    once for the distinct keys of stores and products.
     """
     sales, customers = frames["transactions"], frames["customers"]
     sales_checks = [
@@ -313,25 +414,35 @@ def integrity_suite(
         within_line_total(),
         not_future("transaction_date", as_of),
     ]
-    reports = [
-        check_rows(sales, "transactions", sales_checks, minimum_transactions),
-        check_rows(customers, "customers", [in_domain("state", states)], 1),
-        check_volume(frames["stores"], "stores"),
-        check_volume(frames["products"], "products"),
-        check_unique(customers, "customers", ["email"]),
-        check_date_order(
-            sales,
-            "transactions",
-            "customer_id",
-            "transaction_date",
-            customers,
-            "customer_id",
-            "signup_date",
+    read = ["customer_id", "store_id", "product_id", "amount", "transaction_date"]
+    signups = customers.groupBy("customer_id").agg(F.min("signup_date").alias("_signup"))
+    dated = sales.select(*read, "unit_price", "quantity").join(
+        signups.withColumn("_known", F.lit(True)), "customer_id", "left"
+    )
+    sales_checks += [
+        RowCheck("references", "customer_id", F.col("_known").isNull()),
+        RowCheck(
+            "date_order",
+            "transaction_date, signup_date",
+            F.col("transaction_date") < F.col("_signup"),
+            F.col("_known").isNotNull(),
         ),
     ]
-    for column, (parent, key) in TABLES["transactions"].foreign_keys.items():
-        reports.append(check_references(sales, "transactions", column, frames[parent], key))
-    return all_reports(reports)
+    others = {
+        column: (frames[parent], key)
+        for column, (parent, key) in TABLES["transactions"].foreign_keys.items()
+        if column != "customer_id"
+    }
+    return all_reports(
+        [
+            check_rows(dated, "transactions", sales_checks, minimum_transactions),
+            check_rows(customers, "customers", [in_domain("state", states)], 1),
+            check_volume(frames["stores"], "stores"),
+            check_volume(frames["products"], "products"),
+            check_unique(customers, "customers", ["email"]),
+            check_key_references(sales, "transactions", others),
+        ]
+    )
 
 
 def _missing(rows: Column, minimum: int) -> Column:

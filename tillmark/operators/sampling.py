@@ -13,15 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmark.functions.draws import DRAW_SPACE, happens, weighted_choice
+from tillmark.functions.draws import DRAW_SPACE, happens
 from tillmark.functions.text import map_value
 from tillmark.operators.lookup import lookup
 from tillmark.operators.ordering import with_last_seen, with_row_number, with_running_total
 from tillmark.operators.ranking import with_ranks
 
-# Up to this many items, counted first, the choice is a literal CASE expression.
-LITERAL_ITEMS = 256
-
 
 def normalise_weights(df: DataFrame, weight: str, name: str) -> DataFrame:
     """Append the weight as a share of the column's total, as a double."""
@@ -102,28 +99,21 @@ def weighted_sample(
     table: DataFrame,
     item: str,
     weight: str,
-    literal_items: int = LITERAL_ITEMS,
 ) -> DataFrame:
     """Append to each draw an item, with replacement, in proportion to its weight.
 
     ``weight`` is DECIMAL or integral, ``item`` unique, ``key`` identifies a draw.
-    A short table becomes a literal expression. Otherwise the items' weights are
+    Weights below 0 or NULL raise; those of 0 are never drawn. The weights are
     laid end to end, draws are placed on the same line, and both are sorted
     together: each draw takes the item that starts last before it. No pairs of
     items and draws are formed, and an item with most of the weight has its
     draws spread over many ranges.
     """
     units = _whole_units(table, item, weight)
-    short = units.orderBy(item).limit(literal_items + 1).collect()
-    if len(short) <= literal_items:
-        chosen = weighted_choice(
-            F.col(draw), [row[item] for row in short], [row["_units"] for row in short]
-        )
-        return draws.withColumn(item, chosen)
-
+    length = _total_weight(units, weight)
+    units = units.filter("_units > 0")
     line = with_running_total(units, [F.col(item)], "_units", "_end")
     starts = line.select((F.col("_end") - F.col("_units")).alias("_at"), item)
-    length = units.agg(F.sum("_units")).scalar()
     at = F.call_function("div", F.col(draw).cast("decimal(38,0)") * length, F.lit(DRAW_SPACE))
     points = draws.withColumn("_at", at.cast(starts.schema["_at"].dataType))
     both = starts.withColumn("_point", F.lit(0)).unionByName(
@@ -174,11 +164,23 @@ def next_keys(
     return numbered.withColumn(key, highest + F.col("_number")).drop("_number")
 
 
+def _total_weight(units: DataFrame, weight: str) -> Decimal:
+    """The sum of the units; raises when a weight is below 0 or NULL, or none is left."""
+    total, wrong = units.agg(
+        F.sum("_units"), F.count_if(F.col("_units").isNull() | (F.col("_units") < 0))
+    ).first()
+    if wrong:
+        raise ValueError(f"{wrong} weights in {weight} are below 0 or NULL")
+    if not total:
+        raise ValueError(f"no weight in {weight} is above 0")
+    return total
+
+
 def _whole_units(table: DataFrame, item: str, weight: str) -> DataFrame:
-    """Positive weights as integers of the weight's smallest unit."""
+    """Weights as integers of the weight's smallest unit."""
     kind = table.schema[weight].dataType
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         raise TypeError(f"cast {weight} to DECIMAL first")
     scale = kind.scale if isinstance(kind, T.DecimalType) else 0
     units = (F.col(weight) * F.lit(10**scale)).cast("decimal(20,0)")
-    return table.select(item, units.alias("_units")).filter("_units > 0")
+    return table.select(item, units.alias("_units"))

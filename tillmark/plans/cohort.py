@@ -47,12 +47,18 @@ def cohort_retention(customers: DataFrame, transactions: DataFrame) -> DataFrame
 
     A customer belongs to one cohort and appears once per month, so active
     customers are plain counts; the cohort size is joined to the finished
-    counts, not to the customers.
+    counts, not to the customers. The months of a customer (a set bounded by
+    the calendar) are gathered by the one shuffle of the transactions, whose
+    partitioning the join reuses.
     """
     cohort, activity = F.col("cohort_month"), F.col("activity_month")
+    bought = transactions.groupBy("customer_id").agg(
+        F.collect_set(month_start(F.col("transaction_date"))).alias("_months")
+    )
     active = (
         _with_cohort(customers)
-        .join(monthly_activity(transactions), "customer_id")
+        .join(bought, "customer_id")
+        .select("cohort_month", F.explode("_months").alias("activity_month"))
         .filter(activity >= cohort)
         .groupBy(cohort, month_number(cohort, activity).alias("month_number"))
         .agg(F.count("*").alias("active_customers"))

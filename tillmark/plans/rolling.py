@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.money import mean
-from tillmark.operators.lookup import is_small
+from tillmark.operators.lookup import lookup
 from tillmark.operators.spine import calendar_spine, date_bounds
 from tillmark.operators.trailing import change_percent, previous, trailing_rows, trailing_sum
 from tillmark.session import cut_lineage
@@ -21,28 +21,23 @@ DAY = "transaction_date"
 def sales_by_state_day(transactions: DataFrame, stores: DataFrame) -> DataFrame:
     """Sums per state and day with sales; unknown stores end up under a NULL state.
 
-    With few stores the state is looked up map-side and the partial sums that
-    are shuffled number states x days. With many, sums per store and day are
-    built first, so that only those, not the transactions, meet the stores.
+    Sums per store and day are built first, so that only those, not the
+    transactions, meet the stores. Types do not depend on the number of stores.
     """
-    sums = {"_revenue": "amount", "_sales": "transaction_id", "_amounts": "amount"}
-    states = stores.select("store_id", "state")
-    if is_small(states):
-        facts = transactions.join(F.broadcast(states), "store_id", "left")
-        parts = [F.sum(sums["_revenue"]), F.count(sums["_sales"]), F.count(sums["_amounts"])]
-    else:
-        facts = (
-            transactions.groupBy("store_id", DAY)
-            .agg(
-                F.sum(sums["_revenue"]).alias("_revenue"),
-                F.count(sums["_sales"]).alias("_sales"),
-                F.count(sums["_amounts"]).alias("_amounts"),
-            )
-            .join(states, "store_id", "left")
+    sold = transactions.groupBy("store_id", DAY).agg(
+        F.sum("amount").alias("_revenue"),
+        F.count("transaction_id").alias("_sales"),
+        F.count("amount").alias("_amounts"),
+    )
+    money = sold.schema["_revenue"].dataType
+    return (
+        lookup(sold, stores.select("store_id", "state"), ["store_id"], "left")
+        .groupBy("state", DAY)
+        .agg(
+            F.sum("_revenue").cast(money).alias("_revenue"),
+            F.sum("_sales").alias("_sales"),
+            F.sum("_amounts").alias("_amounts"),
         )
-        parts = [F.sum(name) for name in sums]
-    return facts.groupBy("state", DAY).agg(
-        *[part.alias(name) for part, name in zip(parts, sums)]
     )
 
 

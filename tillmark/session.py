@@ -12,9 +12,13 @@ def build_session(
     app_name: str = "tillmark",
     master: str | None = None,
     conf: dict[str, str] | None = None,
+    shuffle_partitions: int | None = None,
 ) -> SparkSession:
     """A session with the settings the operators are written for.
 
+    ``shuffle_partitions`` is the number adaptive execution starts from and can only lower: for
+    large data, the bytes of the largest shuffle over some 200 MB.
+
     Adaptive execution is what coalesces small shuffles, splits skewed join
     partitions and swaps sort-merge for broadcast joins at run time.
     """
@@ -29,6 +33,8 @@ def build_session(
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **(conf or {}),
     }
+    if shuffle_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

@@ -7,11 +7,12 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from urllib.parse import unquote, urlsplit
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.functions.dates import month_start
-from tillmark.operators.quality import check_tables, failures
+from tillmark.operators.quality import all_reports, castable, check_rows, check_tables, failures
 from tillmark.sources.contracts import NOW, TABLES, Field, Table, conform
 
 DEFAULT_LOCATION = "retail_data"
@@ -45,8 +46,12 @@ def jdbc_options(location: str) -> dict[str, str] | None:
         return {"url": f"jdbc:sqlite:{parts.path[1:]}"}
     if kind not in ("postgresql", "postgres"):
         return None
+    host = parts.hostname or "localhost"
+    if ":" in host:
+        host = f"[{host}]"
     port = f":{parts.port}" if parts.port else ""
-    options = {"url": f"jdbc:postgresql://{parts.hostname}{port}{parts.path}"}
+    query = f"?{parts.query}" if parts.query else ""
+    options = {"url": f"jdbc:postgresql://{host}{port}{parts.path}{query}"}
     if parts.username:
         options["user"] = unquote(parts.username)
     if parts.password:
@@ -112,18 +117,39 @@ def load_tables(
     """Write tables, parents first, columns matched by name and defaults filled in.
 
     ``mode`` is "append" or "overwrite" (a full refresh). With ``checked`` the
-    contracts are checked first and nothing is written when one is broken. Each
-    table is written atomically; a failure between two tables leaves the
-    earlier ones loaded.
+    contracts are checked first and nothing is written when one is broken: values
+    must convert to the declared types, references need a parent that is given or
+    stored, and appended keys must be new. The writes themselves are one after the
+    other: a failure between two tables leaves the earlier ones loaded, and an
+    overwrite of a folder deletes before it writes.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown mode {mode}")
-    ready = {name: conform(frames[name], table) for name, table in TABLES.items() if name in frames}
-    if checked:
-        broken = failures(check_tables(ready, as_of=as_of))
-        if broken:
-            raise FailedChecks("; ".join(broken))
     place = table_location(location)
+    given = {name: table for name, table in TABLES.items() if name in frames}
+    if checked and given:
+        _refuse(
+            all_reports(
+                [check_rows(frames[n], n, castable(table, frames[n])) for n, table in given.items()]
+            )
+        )
+    ready = {name: conform(frames[name], table) for name, table in given.items()}
+    if checked and given:
+        spark = next(iter(ready.values())).sparkSession
+        needed = {parent for table in given.values() for parent, _ in table.foreign_keys.values()}
+        # A table that is replaced counts as given only.
+        read = needed - set(given) if mode == "overwrite" else needed | set(given)
+        stored = {name: read_table(spark, TABLES[name], place) for name in sorted(read)
+                  if is_stored(spark, name, place)}
+        lost = [
+            f"{name}.{column}: references {parent}, which is neither given nor stored"
+            for name, table in given.items()
+            for column, (parent, _) in table.foreign_keys.items()
+            if parent not in ready and parent not in stored
+        ]
+        if lost:
+            raise FailedChecks("; ".join(lost))
+        _refuse(check_tables(ready, as_of=as_of, stored=stored))
     options = jdbc_options(place)
     for name, frame in ready.items():
         if options:
@@ -136,6 +162,26 @@ def load_tables(
             frame.write.mode(mode).parquet(os.path.join(place, name))
 
 
+def _refuse(report: DataFrame) -> None:
+    broken = failures(report)
+    if broken:
+        raise FailedChecks("; ".join(broken))
+
+
+def is_stored(spark: SparkSession, name: str, location: str | None = None) -> bool:
+    """Whether the location holds the table; a database is taken to hold all of them."""
+    place = table_location(location)
+    if jdbc_options(place):
+        return True
+    if place.startswith(CATALOG):
+        return spark.catalog.tableExists(_catalog_name(place, name))
+    try:
+        spark.read.parquet(os.path.join(place, name))
+    except AnalysisException:
+        return False
+    return True
+
+
 def create_tables(spark: SparkSession, location: str = CATALOG) -> None:
     """Drop the four catalog tables, children first, and create them empty.
 
