@@ -37,6 +37,7 @@ def differences(df, connection, sql: str) -> list[str]:
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     same = {
         "bigint": "BIGINT",
+        "int": "INTEGER",
         "double": "DOUBLE",
         "string": "VARCHAR",
         "date": "DATE",

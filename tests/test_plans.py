@@ -291,8 +291,11 @@ def test_one_shuffle_of_the_sales_for_cohorts_and_dates(stored, small_limits):
 
 def test_suite_reads_the_sales_twice(stored, small_limits):
     frames = {
-        "transactions": stored["sold"].withColumn("product_id", F.lit(1)),
-        "customers": stored["people"], "stores": stored["shops"],
+        "transactions": stored["sold"].withColumns(
+            {"product_id": F.lit(1), "unit_price": F.col("amount"), "quantity": F.lit(1)}
+        ),
+        "customers": stored["people"].withColumn("email", F.col("last_name")),
+        "stores": stored["shops"],
         "products": stored["shops"].select(F.col("store_id").alias("product_id")),
     }
     plan = executed(quality.integrity_suite(frames, AS_OF))
