@@ -136,3 +136,9 @@ def test_price_line(spark):
     total = money.line_total(F.lit(3), dec("3.35", 8))
     assert value(spark, total) == Decimal("10.05")
     assert value(spark, money.discount_amount(total, dec("0.10", 4))) == Decimal("1.01")
+
+
+def test_ratios_beyond_18_digits_raise(spark):
+    frame = spark.createDataFrame([(10**15, Decimal("0.01"))], "a bigint, b decimal(4,2)")
+    with pytest.raises(Exception, match="more than 18 digits"):
+        frame.select(money.percent(F.col("a").cast("decimal(18,2)"), F.col("b"), 2)).collect()

@@ -14,18 +14,17 @@ from pyspark.sql import functions as F
 MEAN_SCALE = 14
 
 
-def money(value: Column, precision: int = 18) -> Column:
-    return value.cast(f"decimal({precision},2)")
-
-
 def round_ratio(numerator: Column, denominator: Column, places: int) -> Column:
     """``round(numerator / denominator, places)``; NULL when the denominator is 0.
 
     Takes integral columns, or decimals with at most 38 digits left after
-    multiplying by ``2 * 10**places``.
+    multiplying by ``2 * 10**places``. A quotient beyond 18 digits raises.
     """
     top, bottom = F.abs(numerator), F.nullif(F.abs(denominator), F.lit(0))
     units = F.call_function("div", top * (2 * 10**places) + bottom, bottom * 2)
+    large = F.abs(numerator).cast("double") / bottom.cast("double") * float(10**places) >= 9e18
+    too_long = F.raise_error(F.lit("a ratio has more than 18 digits")).cast("bigint")
+    units = F.when(large, too_long).otherwise(units)
     signed = units * F.signum(numerator).cast("bigint") * F.signum(denominator).cast("bigint")
     return signed.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-places))
 

@@ -42,13 +42,28 @@ def with_ranks(
         "_local_rank", F.rank().over(Window.partitionBy(BUCKET).orderBy(ordering))
     )
     totals = [F.sum(total_of).alias("_sum")] if total_of else []
-    summary = local.groupBy(BUCKET).agg(
+    # The summary comes from the written rows by sums per task: only the ranks inside the buckets
+    # shuffle the rows themselves.
+    ends = placed.groupBy(BUCKET).agg(
         F.count("*").alias("_rows"),
         F.min_by(value, SLOT).alias("_first"),
         F.max_by(value, SLOT).alias("_last"),
-        F.max("_local_rank").alias("_last_rank"),
         *totals,
     )
+    last = ends.select(F.col(BUCKET).alias("_in"), F.col("_last").alias("_end"))
+    runs = (
+        placed.select(BUCKET, SLOT, F.col(value).alias("_own"))
+        .join(
+            F.broadcast(last),
+            (F.col(BUCKET) == F.col("_in")) & F.col("_own").eqNullSafe(F.col("_end")),
+        )
+        .groupBy(BUCKET)
+        .agg((F.min(SLOT) + 1).alias("_last_rank"))
+    )
+    both = ends.unionByName(runs, allowMissingColumns=True)
+    summary = both.groupBy(BUCKET).agg(
+        *[F.first(name, ignorenulls=True).alias(name) for name in both.columns if name != BUCKET]
+    )
 
     by_bucket = Window.orderBy(BUCKET)
     earlier = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
