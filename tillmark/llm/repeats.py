@@ -15,8 +15,8 @@ gram among those places where the gram lies inside the string (the last of equal
 
 1. Equal texts are one text: a later copy repeats the first from end to end.
 2. Each text gives its anchors, one per some 35 bytes. Grams seen at one place only cannot lead to
-   a repeat, and most are dropped here (counts are summed per task first; equal keys can be split).
-3. Around each other anchor, the bytes of its strings are cut out. Strings with the same anchor
+   a repeat, and most are dropped here (places are summed per task before the shuffle).
+3. Around each repeated anchor, the bytes of its strings are cut out. Strings with the same anchor
    gram go to one group, where suffixes are sorted, common prefixes of neighbours measured and
    previous and next smaller positions found. Groups are bounded: an anchor gram with more
    than ``group_limit`` places goes the other way, string by string, where only the first place
@@ -39,13 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm import words
+from tillmark.llm.bitsets import SIZE, bit_table, hit
 from tillmark.llm.frames import bounded, texts, whole_groups
 from tillmark.operators.ordering import with_row_number
 from tillmark.session import cut_lineage
 
 LENGTH = 100
 GRAM = 32
-GROUP_LIMIT = 8_000
+GROUP_LIMIT = 4_000
 _FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -183,10 +184,11 @@ def longest_previous(suffixes: np.ndarray, positions: np.ndarray) -> np.ndarray:
     order = np.argsort(
         np.ascontiguousarray(suffixes).view(f"V{width}").ravel(), kind="stable"
     )
-    ranked = suffixes[order]
-    differs = ranked[1:] != ranked[:-1]
     common = np.zeros(n, dtype=np.int64)
-    common[1:] = np.where(differs.any(axis=1), differs.argmax(axis=1), width)
+    for at in range(1, n, 16_384):  # in pieces: the bytes of all suffixes are large
+        end = min(n, at + 16_384)
+        differs = suffixes[order[at:end]] != suffixes[order[at - 1 : end - 1]]
+        common[at:end] = np.where(differs.any(axis=1), differs.argmax(axis=1), width)
     places = positions[order]
     previous = _nearest_smaller(places, common)
     reversed_common = np.concatenate([[0], common[1:][::-1]])
@@ -196,61 +198,88 @@ def longest_previous(suffixes: np.ndarray, positions: np.ndarray) -> np.ndarray:
     return lpf
 
 
-def _strings(part_data: list[bytes], counts: np.ndarray, length: int):
-    """All strings of the cut-out bytes: (row, offset, matrix of bytes)."""
+def _strings(part_data: list[bytes], counts: np.ndarray, group: np.ndarray, length: int):
+    """All strings of the cut-out bytes: (row, offset, matrix of bytes). The group's number leads
+    each string, so that groups do not meet in the order."""
     row = np.repeat(np.arange(len(part_data)), counts)
     begins = np.cumsum(counts) - counts
     offset = np.arange(len(row)) - np.repeat(begins, counts)
     joined = np.frombuffer(b"".join(part_data), np.uint8)
     sizes = np.fromiter(map(len, part_data), np.int64, len(part_data))
     where = np.repeat(np.cumsum(sizes) - sizes, counts) + offset
-    return row, offset, np.lib.stride_tricks.sliding_window_view(joined, length)[where]
+    out = np.empty((len(row), length + 4), dtype=np.uint8)
+    out[:, :4] = group[row].astype(">u4").view(np.uint8).reshape(-1, 4)
+    out[:, 4:] = np.lib.stride_tricks.sliding_window_view(joined, length)[where]
+    return row, offset, out
 
 
-def _runs(doc_ids: np.ndarray, starts: np.ndarray, length: int) -> pa.RecordBatch:
-    """Spans of repeated strings, with neighbours of one text joined."""
+def _runs(doc_ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+    """Spans, with those joined that meet in one text."""
     order = np.lexsort((starts, doc_ids))
-    docs, begins = doc_ids[order], starts[order]
+    docs, begins, reach = doc_ids[order], starts[order], ends[order]
     new = np.ones(len(docs), dtype=bool)
-    new[1:] = (docs[1:] != docs[:-1]) | (begins[1:] > begins[:-1] + length)
+    new[1:] = (docs[1:] != docs[:-1]) | (begins[1:] > reach[:-1])
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(docs)) - 1 if len(first) else first
+    last = np.maximum.reduceat(reach, first) if len(first) else reach
     return pa.RecordBatch.from_arrays(
-        [pa.array(docs[first]), pa.array(begins[first]), pa.array(begins[last] + length)],
+        [pa.array(docs[first]), pa.array(begins[first]), pa.array(last)],
         names=["doc_id", "start", "end"],
     )
 
 
-def _grouped_spans(length: int, rows_at_once: int = 4000):
-    """Spans of the strings in whole anchor groups that also start earlier."""
+def _grouped_spans(length: int, rows_at_once: int = 1500):
+    """Spans of the strings in whole anchor groups that also start earlier.
+
+    Of equal cut-outs in a group only the first is searched; the others repeat it throughout.
+    """
 
     def convert(batches):
         for table, bounds in whole_groups(batches, ["anchor"]):
             group = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-            cells = np.concatenate([[0], np.flatnonzero(np.diff(bounds[:-1] // rows_at_once)) + 1,
-                                    [len(bounds) - 1]])
-            for low, high in zip(cells, cells[1:]):
-                a, b = int(bounds[low]), int(bounds[high])
-                if a == b:
+            docs, begin = np.asarray(table["doc_id"]), np.asarray(table["begin"])
+            # Equal suffixes then stand in order of their places, nearly all next to the smaller
+            # place that decides.
+            order = np.lexsort((begin, docs, group))
+            docs, begin, group = docs[order], begin[order], group[order]
+            data = table["data"].take(pa.array(order)).to_pylist()
+            sizes = np.fromiter(map(len, data), np.int64, len(data))
+            seen: set[bytes] = set()
+            again = np.zeros(len(data), dtype=bool)
+            for start, end in zip(bounds.tolist(), bounds[1:].tolist()):
+                if end - start == 1:
                     continue
-                part = table.slice(a, b - a)
-                docs, begin = np.asarray(part["doc_id"]), np.asarray(part["begin"])
-                # Equal suffixes then stand in order of their places, nearly all next to the
-                # smaller place that decides.
-                order = np.lexsort((begin, docs))
-                docs, begin = docs[order], begin[order]
-                data = part["data"].take(pa.array(order)).to_pylist()
-                counts = np.fromiter(map(len, data), np.int64, len(data)) - length + 1
-                row, offset, strings = _strings(data, counts, length)
+                seen.clear()
+                for i in range(start, end):
+                    if data[i] in seen:
+                        again[i] = True
+                    else:
+                        seen.add(data[i])
+            yield _runs(docs[again], begin[again], begin[again] + sizes[again])
+            alone = np.bincount(group, ~again) < 2
+            searched = np.flatnonzero(~again & ~alone[group])
+            cells = group[searched]
+            ends = np.flatnonzero(np.diff(cells)) + 1
+            cuts, low = [0], 0
+            for end in [*ends.tolist(), len(searched)]:
+                if end - low >= rows_at_once or end == len(searched):
+                    cuts.append(end)
+                    low = end
+            for low, high in zip(cuts, cuts[1:]):
+                own = searched[low:high]
+                if not len(own):
+                    continue
+                row, offset, strings = _strings(
+                    [data[i] for i in own],
+                    sizes[own] - length + 1,
+                    group[own] - group[own[0]],
+                    length,
+                )
+                row = own[row]
                 starts = begin[row] + offset
-                own = group[a:b][order][row]
-                # The group's number leads each string, so that groups do not meet in the order.
-                lead = (own - low).astype(">u4").view(np.uint8).reshape(-1, 4)
-                keyed = np.hstack([lead, strings])
                 rank = np.empty(len(row), dtype=np.int64)
                 rank[np.lexsort((starts, docs[row]))] = np.arange(len(row))
-                again = longest_previous(keyed, rank) >= length + 4
-                yield _runs(docs[row][again], starts[again], length)
+                found = longest_previous(strings, rank) >= length + 4
+                yield _runs(docs[row][found], starts[found], starts[found] + length)
 
     return convert
 
@@ -259,7 +288,7 @@ def _single_strings(length: int):
     """Each string of the anchors with too many places: a hash of 128 bits and its start."""
 
     def convert(batches):
-        for batch in batches:
+        for batch in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
             docs, begin = np.asarray(batch.column("doc_id")), np.asarray(batch.column("begin"))
             keys, owner, starts = [], [], []
             for doc, at, data in zip(docs, begin, batch.column("data").to_pylist()):
@@ -282,37 +311,79 @@ def _single_strings(length: int):
 # The operator --------------------------------------------------------------------------------------
 
 
-def _cut_out(length: int):
-    """The bytes of each anchor's strings; ``found`` lists a text's anchors."""
-    kind = [
-        ("anchor", pa.int64()),
-        ("doc_id", pa.int64()),
-        ("begin", pa.int64()),
-        ("data", pa.binary()),
-        ("many", pa.bool_()),
-    ]
+_PIECES = "anchor long, doc_id long, begin long, data binary, many boolean"
+
+
+def _pieces_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [()] * 5
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, types)],
+        names=["anchor", "doc_id", "begin", "data", "many"],
+    )
+
+
+def _pieces_by_table(docs, repeated, firsts, length: int, gram: int) -> DataFrame:
+    """Cut-outs around the anchors that hit the table of repeated ones, in one pass over the
+    texts. A false hit is a group in which nothing repeats, or a copy that repeats its first."""
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (
+            bit_table(repeated, "anchor"),
+            bit_table(repeated.filter("many"), "anchor"),
+            bit_table(firsts, "doc_id"),
+        )
+    )
+
+    def convert(batches):
+        wanted, many, first_ids = shared.value
+        for batch in batches:
+            for part in bounded(batch):
+                part = part.filter(pa.array(hit(first_ids, np.asarray(part.column("doc_id")))))
+                out = []
+                texts_of = part.column("text").cast(pa.binary()).to_pylist()
+                for doc, data in zip(part.column("doc_id").to_pylist(), texts_of):
+                    keys, _, first, last = anchors(data, length, gram)
+                    keys = keys.view(np.int64)
+                    kept = np.flatnonzero(hit(wanted, keys))
+                    for key, a, b, m in zip(
+                        keys[kept].tolist(),
+                        first[kept].tolist(),
+                        last[kept].tolist(),
+                        hit(many, keys[kept]).tolist(),
+                    ):
+                        out.append((key, doc, a, data[a : b + length], m))
+                yield _pieces_batch(out)
+
+    return docs.mapInArrow(convert, _PIECES)
+
+
+def _pieces_by_join(docs, marks, repeated, copies, length: int) -> DataFrame:
+    """The same by joins, for more repeated anchors than a table of fixed size can tell apart."""
+    found = cut_lineage(
+        marks.select("anchor", "doc_id", "at")
+        .join(repeated, "anchor")
+        .groupBy("doc_id")
+        .agg(F.collect_list(F.struct("at", "anchor", "many")).alias("found"))
+        # Not an anti join, which would be moved below the one before, onto every anchor.
+        .join(copies.withColumn("copy", F.lit(True)), "doc_id", "left")
+        .filter("copy is null")
+        .drop("copy")
+    )
 
     def convert(batches):
         for batch in batches:
             for part in bounded(batch):
-                columns = [[] for _ in kind]
+                out = []
                 rows = part.column("text").cast(pa.binary()).to_pylist()
-                for doc, data, found in zip(
+                for doc, data, own in zip(
                     part.column("doc_id").to_pylist(), rows, part.column("found").to_pylist()
                 ):
-                    for one in found:
-                        _, first, last = _unpacked(one["at"])
-                        columns[0].append(one["anchor"])
-                        columns[1].append(doc)
-                        columns[2].append(first)
-                        columns[3].append(data[first : last + length])
-                        columns[4].append(one["many"])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, (_, t) in zip(columns, kind)],
-                    names=[name for name, _ in kind],
-                )
+                    for one in own:
+                        _, a, b = _unpacked(one["at"])
+                        out.append((one["anchor"], doc, a, data[a : b + length], one["many"]))
+                yield _pieces_batch(out)
 
-    return convert
+    return docs.join(found, "doc_id").mapInArrow(convert, _PIECES)
 
 
 def _kept(length: int):
@@ -357,43 +428,55 @@ def _kept(length: int):
     return convert
 
 
-def _spans(docs: DataFrame, copies: DataFrame, length: int, gram: int, group_limit: int):
+def _spans(docs: DataFrame, ids: DataFrame, copies: DataFrame, options: dict) -> DataFrame:
     """doc_id, start, end of repeated strings; ``docs`` has one row per id, ``copies`` the ids
     whose text stands at a smaller id already."""
+    length, gram = options["length"], options["gram"]
     marks = all_anchors(docs, length, gram)
     # A gram at one place of one text (copies of it aside) is in no repeat.
-    seen = marks.groupBy("anchor").agg(
-        F.min("sight").alias("low"), F.max("sight").alias("high"), F.count("*").alias("n")
-    )
-    repeated = seen.filter("low <> high").select("anchor", (F.col("n") > group_limit).alias("many"))
-    found = cut_lineage(
-        marks.select("anchor", "doc_id", "at")
-        .join(repeated, "anchor")
-        .join(copies, "doc_id", "left_anti")
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("at", "anchor", "many")).alias("found"))
-    )
-    pieces = docs.join(found, "doc_id").mapInArrow(
-        _cut_out(length), "anchor long, doc_id long, begin long, data binary, many boolean"
+    repeated = cut_lineage(
+        marks.groupBy("anchor")
+        .agg(F.min("sight").alias("low"), F.max("sight").alias("high"), F.count("*").alias("n"))
+        .filter("low <> high")
+        .select("anchor", (F.col("n") > options["group_limit"]).alias("many"))
     )
+    if repeated.count() <= options["table_anchors"]:
+        firsts = ids.select("doc_id").join(copies, "doc_id", "left_anti")
+        pieces = _pieces_by_table(docs, repeated, firsts, length, gram)
+    else:
+        pieces = _pieces_by_join(docs, marks, repeated, copies, length)
     few = (
         pieces.filter(~F.col("many"))
         .repartition("anchor")
         .sortWithinPartitions("anchor")
         .mapInArrow(_grouped_spans(length), "doc_id long, start long, end long")
     )
-    if not found.filter(F.exists("found", lambda x: x["many"])).limit(1).count():
+    if not repeated.filter("many").limit(1).count():
         return few
+    # Equal cut-outs repeat the first one throughout; only first ones are taken apart.
+    place = F.struct("doc_id", "begin")
+    hot = cut_lineage(pieces.filter("many").drop("many"))
+    lead = hot.groupBy("anchor", "data").agg(F.min(place).alias("lead"))
+    led = hot.join(lead, ["anchor", "data"]).select(
+        "doc_id", "begin", "data", (place == F.col("lead")).alias("first")
+    )
     strings = cut_lineage(
-        pieces.filter("many").mapInArrow(
-            _single_strings(length), "string binary, doc_id long, start long"
-        )
+        led.filter("first")
+        .select("doc_id", "begin", "data")
+        .mapInArrow(_single_strings(length), "string binary, doc_id long, start long")
     )
-    place = F.struct("doc_id", "start")
-    earliest = strings.groupBy("string").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    later = strings.join(earliest.filter("n > 1"), "string").filter(place != F.col("first"))
-    return few.unionByName(
-        later.select("doc_id", "start", (F.col("start") + length).alias("end"))
+    start = F.struct("doc_id", "start")
+    earliest = strings.groupBy("string").agg(F.min(start).alias("lead"), F.count("*").alias("n"))
+    later = strings.join(earliest.filter("n > 1"), "string").filter(start != F.col("lead"))
+    return (
+        few.unionByName(later.select("doc_id", "start", (F.col("start") + length).alias("end")))
+        .unionByName(
+            led.filter("not first").select(
+                "doc_id",
+                F.col("begin").alias("start"),
+                (F.col("begin") + F.octet_length("data")).alias("end"),
+            )
+        )
     )
 
 
@@ -404,17 +487,23 @@ def without_repeats(
     length: int = LENGTH,
     gram: int = GRAM,
     group_limit: int = GROUP_LIMIT,
+    table_anchors: int = SIZE // 12,
 ) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, removed (spans of bytes) and the kept bytes.
 
+    Up to ``table_anchors`` repeated anchors are looked up in a bit table, more by a join.
+
     Runs jobs while the frame is built. ``length`` may be up to some 16,000 bytes.
     """
+    options = dict(
+        length=length, gram=gram, group_limit=group_limit, table_anchors=table_anchors
+    )
     given = texts(docs, key, text)
     digest = F.unhex(F.sha2("text", 256))
     ids = cut_lineage(given.select("doc_id", digest.alias("digest")))
     unclear = ids.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 or doc_id is null")
     if not unclear.limit(1).count():
-        return _without(given, ids, length, gram, group_limit)
+        return _without(given, ids, options)
     # Ids that are null or repeat do not name a text: number the distinct rows in their order.
     order = [F.col("doc_id").asc_nulls_first(), F.col("digest")]
     numbered = cut_lineage(with_row_number(ids.distinct(), order, "number")).select(
@@ -431,30 +520,48 @@ def without_repeats(
     result = _without(
         work,
         numbered.select(F.col("number").alias("doc_id"), F.col("given_digest").alias("digest")),
-        length,
-        gram,
-        group_limit,
+        options,
     ).withColumnRenamed("doc_id", "number")
     return own.join(result, "number").drop("number").withColumnRenamed("given_id", "doc_id")
 
 
-def _without(docs: DataFrame, ids: DataFrame, length: int, gram: int, group_limit: int):
+_RESULT = (
+    "doc_id long, n_bytes long, n_removed long,"
+    " removed array<struct<start:long,end:long>>, kept binary"
+)
+
+
+def _without(docs: DataFrame, ids: DataFrame, options: dict) -> DataFrame:
     first = ids.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
     copies = cut_lineage(
         ids.join(first.filter("n > 1"), "digest").filter("doc_id <> first_id").select("doc_id")
     )
     removed = (
-        _spans(docs, copies, length, gram, group_limit)
+        _spans(docs, ids, copies, options)
         .groupBy("doc_id")
         .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     )
-    notes = removed.join(copies.withColumn("copy", F.lit(True)), "doc_id", "full")
-    return (
-        docs.join(notes, "doc_id", "left")
-        .select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "spans")
-        .mapInArrow(
-            _kept(length),
-            "doc_id long, n_bytes long, n_removed long,"
-            " removed array<struct<start:long,end:long>>, kept binary",
+    notes = cut_lineage(
+        removed.join(copies.withColumn("copy", F.lit(True)), "doc_id", "full").select(
+            "doc_id", F.coalesce("copy", F.lit(False)).alias("copy"), "spans"
         )
     )
+    # Texts that surely lose nothing need no join; a bit table knows most of them.
+    table = docs.sparkSession.sparkContext.broadcast(bit_table(notes, "doc_id"))
+
+    def some(wanted: bool):
+        def convert(batches):
+            for batch in batches:
+                for part in bounded(batch):
+                    noted = hit(table.value, np.asarray(part.column("doc_id")))
+                    yield part.filter(pa.array(noted == wanted))
+
+        return docs.mapInArrow(convert, "doc_id long, text string")
+
+    whole = some(False).select(
+        "*", F.lit(False).alias("copy"), F.lit(None).cast(notes.schema["spans"].dataType).alias("spans")
+    )
+    changed = some(True).join(notes, "doc_id", "left").select(
+        "doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "spans"
+    )
+    return whole.unionByName(changed).mapInArrow(_kept(options["length"]), _RESULT)
