@@ -8,6 +8,7 @@ afterwards. Its size does not depend on the data, which bounds what is collected
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,3 +32,28 @@ def hit(table: bytes, values: np.ndarray) -> np.ndarray:
     bits = np.frombuffer(table, dtype=np.uint8)
     slots = values % SIZE
     return (bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
+
+
+def without_ids(docs: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose key is not in the one column of ``dropped``; nulls are equal.
+
+    Rows that miss the table of dropped keys stay without a join; only the others are shuffled.
+    """
+    (name,) = dropped.columns
+    table = docs.sparkSession.sparkContext.broadcast(
+        bit_table(dropped.filter(F.col(name).isNotNull()), name)
+    )
+
+    def part_of(uncertain: bool) -> DataFrame:
+        def convert(batches):
+            for batch in batches:
+                keys = batch.column(key)
+                ids = np.asarray(keys.fill_null(0))
+                doubt = hit(table.value, ids) | np.asarray(keys.is_null())
+                yield batch.filter(pa.array(doubt == uncertain))
+
+        return docs.mapInArrow(convert, docs.schema)
+
+    own = dropped.distinct().withColumnRenamed(name, "_dropped")
+    looked_up = part_of(True).join(own, F.col(key).eqNullSafe(F.col("_dropped")), "left_anti")
+    return part_of(False).unionByName(looked_up)

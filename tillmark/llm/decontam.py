@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmark.llm import words
+from tillmark.llm.bitsets import without_ids
 from tillmark.llm.frames import bounded, texts
 from tillmark.session import cut_lineage
 
@@ -252,5 +253,5 @@ def contamination(
 
 def without_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of documents that are not contaminated, with their columns."""
-    bad = contamination(docs, items).filter("contaminated").select(F.col("doc_id").alias("_bad"))
-    return docs.join(bad.distinct(), F.col(key).eqNullSafe(F.col("_bad")), "left_anti")
+    bad = cut_lineage(contamination(docs, items).filter("contaminated").select("doc_id"))
+    return without_ids(docs, key, bad)
