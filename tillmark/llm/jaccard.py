@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm import words
-from tillmark.llm.bitsets import bit_table, hit
+from tillmark.llm.bitsets import bit_table, hit, without_ids
 from tillmark.llm.frames import bounded, texts, whole_groups
 from tillmark.llm.graph import components
 from tillmark.session import cut_lineage
@@ -200,50 +200,62 @@ def features(docs: DataFrame) -> DataFrame:
     )
 
 
-def all_keys(docs: DataFrame) -> DataFrame:
-    """(key, id, group, band) of every set; ``docs`` has doc_id, text and group."""
+def all_keys(
+    docs: DataFrame, carried: str, table: bytes | None = None, skipped: bytes | None = None
+) -> DataFrame:
+    """(key, carried, band) of every set; ``docs`` has doc_id, text and the long column
+    ``carried``. With bit tables: only keys that hit ``table``, and no ids that hit ``skipped``."""
+    shared = docs.sparkSession.sparkContext.broadcast((table, skipped))
 
     def convert(batches):
+        known, special = shared.value
         for batch in batches:
             for part in bounded(batch):
+                if special is not None:
+                    part = part.filter(pa.array(~hit(special, np.asarray(part.column("doc_id")))))
                 sets = shingle_sets(part.column("text").cast(pa.binary()).to_pylist())
                 keys, owners, numbers = [], [], []
                 for i, own in enumerate(sets):
                     for number in bands_of(len(own)) if len(own) else ():
-                        found = keys_of(own, number)
+                        found = keys_of(own, number).view(np.int64)
+                        if known is not None:
+                            found = found[hit(known, found)]
                         keys.append(found)
                         owners.append(np.full(len(found), i))
                         numbers.append(np.full(len(found), number, np.int32))
                 if not keys:
                     continue
-                owner = pa.array(np.concatenate(owners))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate(keys).view(np.int64)),
-                        part.column("doc_id").take(owner),
-                        part.column("grouped").take(owner),
+                        pa.array(np.concatenate(keys)),
+                        part.column(carried).take(pa.array(np.concatenate(owners))),
                         pa.array(np.concatenate(numbers)),
                     ],
-                    names=["key", "id", "grouped", "band"],
+                    names=["key", carried, "band"],
                 )
 
-    return docs.mapInArrow(convert, "key long, id long, grouped long, band int")
+    return docs.mapInArrow(convert, f"key long, {carried} long, band int")
 
 
-def _wanted(docs: DataFrame, ids: DataFrame, make, schema: str) -> DataFrame:
-    """``make`` of the texts whose id is wanted. A bit table of fixed size spares the others the
-    shuffle; the join afterwards is exact."""
-    shared = docs.sparkSession.sparkContext.broadcast(bit_table(ids, "id"))
+def _hitting(docs: DataFrame, table: bytes, make, schema: str) -> DataFrame:
+    """``make`` of the texts whose id hits the table."""
+    shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def convert(batches):
-        table = shared.value
+        known = shared.value
         for batch in batches:
             for part in bounded(batch):
-                kept = part.filter(pa.array(hit(table, np.asarray(part.column("doc_id")))))
+                kept = part.filter(pa.array(hit(known, np.asarray(part.column("doc_id")))))
                 if kept.num_rows:
                     yield from make(kept)
 
-    return docs.mapInArrow(convert, schema).join(ids, "id", "left_semi")
+    return docs.mapInArrow(convert, schema)
+
+
+def _wanted(docs: DataFrame, ids: DataFrame, make, schema: str) -> DataFrame:
+    """``make`` of the texts whose id is wanted. A bit table of fixed size spares the others the
+    shuffle; the join afterwards is exact."""
+    return _hitting(docs, bit_table(ids, "id"), make, schema).join(ids, "id", "left_semi")
 
 
 def _full_sets(part: pa.RecordBatch):
@@ -330,14 +342,30 @@ def _near(percent: int):
 
 def _candidates(docs: DataFrame, placed: DataFrame, percent: int, block: int) -> DataFrame:
     """Pairs of sets in different groups that share a key and pass the sketches."""
-    keyed = all_keys(docs.join(placed, "doc_id"))
-    split = (
-        keyed.groupBy("key")
-        .agg(F.min("grouped").alias("one"), F.max("grouped").alias("other"), F.count("*").alias("n"))
+    # A set that leads its group is its own group, known without a join; the others (copies, and
+    # members of groups) are looked up. A bit table tells most of them apart before any shuffle.
+    others = docs.select("doc_id").join(
+        placed.filter(F.col("grouped") == F.col("doc_id")), "doc_id", "left_anti"
+    )
+    special = bit_table(others, "doc_id")
+    leading = all_keys(docs.withColumn("grouped", F.col("doc_id")), "grouped", skipped=special)
+    passed = _hitting(docs, special, lambda part: [part], "doc_id long, text string")
+    looked_up = all_keys(passed.join(placed, "doc_id"), "grouped")
+    split = cut_lineage(
+        leading.unionByName(looked_up)
+        .groupBy("key")
+        .agg(F.min("grouped").alias("one"), F.max("grouped").alias("other"))
         .filter("one <> other")
-        .select("key", "n")
+        .select("key")
+    )
+    # Only sets with such a key are gathered; a bit table keeps the other keys out of the shuffle.
+    members = cut_lineage(
+        all_keys(docs, "doc_id", bit_table(split, "key"))
+        .join(split, "key")
+        .join(placed, "doc_id")
+        .withColumnRenamed("doc_id", "id")
     )
-    members = cut_lineage(keyed.join(split, "key").select("key", "id", "grouped", "band", "n"))
+    members = members.join(members.groupBy("key").agg(F.count("*").alias("n")), "key")
     sketches = _wanted(
         docs,
         members.select("id").distinct(),
@@ -392,14 +420,16 @@ def link_groups(
         .groupBy(F.col("id").alias("b"))
         .agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
     )
-    first = cut_lineage(verified(own, cut_lineage(stars), percent))
+    named = own.filter("doc_id is not null")
+    first = cut_lineage(verified(named, cut_lineage(stars), percent))
     grouped = components(first)
     placed = cut_lineage(
-        classes.select("id")
+        classes.filter("id is not null")
+        .select("id")
         .join(grouped, "id", "left")
         .select(F.col("id").alias("doc_id"), F.coalesce("root", "id").alias("grouped"))
     )
-    second = verified(own, cut_lineage(_candidates(own, placed, percent, block)), percent)
+    second = verified(named, cut_lineage(_candidates(named, placed, percent, block)), percent)
     joined = components(first.unionByName(second))
     heads = classes.join(joined, "id", "left").select(
         "set_hash", F.col("id").alias("class_id"), F.coalesce("root", "id").alias("component_id")
@@ -415,13 +445,13 @@ def link_groups(
 
 
 def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of the smallest id of each component, one row per id; rows with a null id stay
-    unless their set is that of a row with an id."""
+    """The rows of the smallest id of each component, one row per id. Rows with a null id
+    cannot be told apart, so all of them stay if one of them is a group of its own."""
     linked = link_groups(docs, key, text)
-    kept = linked.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_kept")
+    leads = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    by_id = cut_lineage(
+        linked.groupBy("doc_id").agg(F.max(leads).alias("_kept"), F.count("*").alias("_n"))
     )
-    counted = cut_lineage(kept.groupBy("_kept").agg(F.count("*").alias("_n")))
-    own = docs.join(counted, F.col(key).eqNullSafe(F.col("_kept")), "left_semi")
-    repeated = counted.filter("_n > 1 and _kept is not null").limit(1).count()
+    own = without_ids(docs, key, by_id.filter("not _kept").select("doc_id"))
+    repeated = by_id.filter("_kept and _n > 1 and doc_id is not null").limit(1).count()
     return own.dropDuplicates([key, text]) if repeated else own
