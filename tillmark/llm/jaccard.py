@@ -144,7 +144,8 @@ def keys_of(own: np.ndarray, number: int, percent: int = PERCENT) -> np.ndarray:
     # what its largest partner can differ in. Several deals per band scale with the parts.
     needed = _differ(size + largest, percent) + 1
     full = _differ(2 * (band(number, percent)[1] - 1), percent) + 1
-    emitted = min(parts, needed) if parts == full and repeats == 1 else parts
+    # With fewer parts than 100, leaving some out would let the chance of empty ones grow too far.
+    emitted = min(parts, needed) if parts == full and repeats == 1 and parts >= 100 else parts
     found = []
     for repeat in range(repeats):
         seeded = words.mixed(own + np.uint64(repeat * 1_000_003 + number * 7919 + 1))
