@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -129,21 +130,23 @@ def fit(
     table_speed, layer_speed = np.full(BUCKETS, floor), np.full(layer.shape, 1e-6)
     share = max(toxic.mean(), 1e-9)
     weight = np.where(toxic == 1, 0.5 / share, 0.5 / max(1 - share, 1e-9))
-    order = np.argsort([len(t) for t in batch], kind="stable")
+    batch = pa.array(batch, pa.binary())
+    order = np.argsort(np.asarray(pc.binary_length(batch)), kind="stable")
     chunks = [order[i : i + chunk] for i in range(0, len(order), chunk)]
     prepared = []
     for own in chunks:
-        split, subwords, window, first = _prepared([batch[i] for i in own])
+        split = words.split(batch.take(pa.array(own)).to_pylist(), words.SPACES)
+        window, first = _windows(split)
         # One entry per distinct word: texts repeat most of theirs.
         _, seen, word = np.unique(split.hashes(), return_index=True, return_inverse=True)
-        keep = np.zeros(len(split.starts), dtype=bool)
-        keep[seen] = True
-        renumber = np.cumsum(keep) - 1
-        place = renumber[seen[word]]
-        owner = np.concatenate([renumber[o[keep[o]]] for o, _ in subwords])
-        bucket = np.concatenate([b[keep[o]] for o, b in subwords]).astype(np.int32)
-        once = _once(split, window)
-        prepared.append((own, owner.astype(np.int32), bucket, place, once, window, first))
+        distinct = words.Words(split.buffer, split.starts[seen], split.ends[seen], split.first)
+        pairs = _subwords(distinct)
+        owner = np.concatenate([o for o, _ in pairs]).astype(np.int32)
+        bucket = np.concatenate([b for _, b in pairs]).astype(np.int32)
+        once = _once(split, window) > 0
+        prepared.append(
+            (own, owner, bucket, word.astype(np.int32), once, window.astype(np.int32), first)
+        )
     # Subwords in few windows stay at zero: they could only be learnt by heart.
     seen_in = np.zeros(BUCKETS)
     for _, owner, bucket, word, once, window, first in prepared:
@@ -188,7 +191,10 @@ def fit(
 def calibrate(model: Model, batch: list[bytes], toxic: np.ndarray) -> Model:
     """Move the bias to the threshold with the fewest errors on rows not used for the fit, and
     there to the middle of the widest gap."""
-    z = np.concatenate([logits(batch[i : i + 200], model) for i in range(0, len(batch), 200)])
+    batch = pa.array(batch, pa.binary())
+    z = np.concatenate(
+        [logits(batch[i : i + 100].to_pylist(), model) for i in range(0, len(batch), 100)]
+    )
     clean, bad, levels = np.sort(z[toxic == 0]), np.sort(z[toxic == 1]), np.sort(z)
     middles = (levels[1:] + levels[:-1]) / 2
     wrong = np.searchsorted(bad, middles) + len(clean) - np.searchsorted(clean, middles)
@@ -211,27 +217,25 @@ def learn(
         part = known.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id")
         part = part.limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
-    rows = [
-        (row["text"].encode(), row["toxic"])
-        for row in texts(docs).join(F.broadcast(chosen), "doc_id").select("text", "toxic").collect()
-    ]
-    rows.sort()
-    toxic = np.array([label for _, label in rows], dtype=float)
-    if not len(rows) or toxic.min() == toxic.max():
-        odds = 40.0 if len(rows) and toxic.max() == 1 else -40.0
+    rows = (
+        texts(docs).join(F.broadcast(chosen), "doc_id").select("text", "toxic").toArrow()
+    ).sort_by([("text", "ascending"), ("toxic", "ascending")])
+    batch = rows["text"].combine_chunks().cast(pa.binary())
+    toxic = np.asarray(rows["toxic"]).astype(float)
+    if not len(toxic) or toxic.min() == toxic.max():
+        odds = 40.0 if len(toxic) and toxic.max() == 1 else -40.0
         return Model(np.zeros(BUCKETS, np.float32), odds)
     # Every fifth row of each class sets the threshold, the others train.
-    order = np.lexsort((np.arange(len(rows)), toxic))
-    checks = np.zeros(len(rows), dtype=bool)
+    order = np.lexsort((np.arange(len(toxic)), toxic))
+    checks = np.zeros(len(toxic), dtype=bool)
     checks[order[::5]] = True
-    if len(rows) < 50 or len(np.unique(toxic[checks])) < 2:
+    if len(toxic) < 50 or len(np.unique(toxic[checks])) < 2:
         checks[:] = True
         train = checks
     else:
         train = ~checks
-    batch = [text for text, _ in rows]
-    model = fit([t for t, own in zip(batch, train) if own], toxic[train])
-    return calibrate(model, [t for t, own in zip(batch, checks) if own], toxic[checks])
+    model = fit(batch.filter(pa.array(train)), toxic[train])
+    return calibrate(model, batch.filter(pa.array(checks)), toxic[checks])
 
 
 def is_held_out(key, held_out: int = 5):
