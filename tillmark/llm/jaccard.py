@@ -163,7 +163,7 @@ def keys_of(own: np.ndarray, number: int, percent: int = PERCENT) -> np.ndarray:
 def bit_sketch(own: np.ndarray, number: int, percent: int = PERCENT) -> bytes:
     """One parity bit per cell: a bit is set if an odd number of shingles fall on it."""
     bits = 64
-    while bits < 2 * band(number, percent)[1] and bits < 1 << 20:
+    while 4 * bits < 3 * band(number, percent)[1] and bits < 1 << 20:
         bits *= 2
     cells = (own % np.uint64(bits)).astype(np.int64)
     odd = (np.bincount(cells, minlength=bits) & 1).astype(np.uint8)
