@@ -67,6 +67,21 @@ def test_rows_that_go(spark):
     assert kept.columns == frame.columns
 
 
+def test_null_and_repeated_ids(spark):
+    _, items = tables()
+    whole = items[0][1]
+    rows = [(None, whole), (None, "clean words"), (None, None), (7, whole), (7, "other clean words")]
+    frame = samples.documents(spark, rows)
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["n_words"]): (r["n_hit"], r["n_items"], r["contaminated"])
+           for r in decontam.contamination(frame, asked).collect()}
+    size = len(words(whole))
+    assert got[None, size] == got[7, size] == (size, 1, True)
+    assert got[None, 2] == got[None, 0] == got[7, 3] == (0, 0, False)
+    kept = {(r["doc_id"], r["text"]) for r in decontam.without_contaminated(frame, asked).collect()}
+    assert kept == {rows[1], rows[2], rows[4]}
+
+
 def test_empty_tables(spark):
     docs, items = tables()
     none = spark.createDataFrame([], "item_id long, text string")

@@ -35,11 +35,13 @@ def hit(table: bytes, values: np.ndarray) -> np.ndarray:
 
 
 def without_ids(docs: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose key is not in the one column of ``dropped``; nulls are equal.
+    """The rows of ``docs`` whose key is not in the first column of ``dropped``; nulls are equal.
+
+    Further columns of ``dropped`` must be equal too, to those of the same names.
 
     Rows that miss the table of dropped keys stay without a join; only the others are shuffled.
     """
-    (name,) = dropped.columns
+    name, *others = dropped.columns
     table = docs.sparkSession.sparkContext.broadcast(
         bit_table(dropped.filter(F.col(name).isNotNull()), name)
     )
@@ -54,6 +56,8 @@ def without_ids(docs: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
 
         return docs.mapInArrow(convert, docs.schema)
 
-    own = dropped.distinct().withColumnRenamed(name, "_dropped")
-    looked_up = part_of(True).join(own, F.col(key).eqNullSafe(F.col("_dropped")), "left_anti")
-    return part_of(False).unionByName(looked_up)
+    own = dropped.distinct().withColumnsRenamed({c: f"_dropped_{c}" for c in dropped.columns})
+    same = F.col(key).eqNullSafe(F.col(f"_dropped_{name}"))
+    for c in others:
+        same = same & F.col(c).eqNullSafe(F.col(f"_dropped_{c}"))
+    return part_of(False).unionByName(part_of(True).join(own, same, "left_anti"))

@@ -12,7 +12,9 @@ with the words around them. Everything after that is joins and sums over those h
 
 Edge cases: null texts and texts without words have no words, are never hit and hit nothing; equal
 items and equal windows count for each item id; repeated documents with the same id are one
-document per row only if their rows differ, since rows are grouped by id and text hash; empty
+document per row only if their rows differ, since rows are grouped by id and text hash; null ids are
+equal to each other, so rows without an id have their own results, told apart by their texts, and
+go by them like any other row; empty
 tables give no items or no rows; other columns are left behind.
 """
 
@@ -203,6 +205,13 @@ def occurrences(
     return scanned.select("doc_id", "row", "n_words"), found.join(owners, "whole")
 
 
+def _beside(documents: DataFrame, found: DataFrame) -> DataFrame:
+    """The documents with what was found for their id and row; null ids are equal."""
+    renamed = found.withColumnsRenamed({"doc_id": "_doc_id", "row": "_row"})
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("row") == F.col("_row"))
+    return documents.join(renamed, same, "left").drop("_doc_id", "_row")
+
+
 def contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -214,6 +223,13 @@ def contamination(
 
     ``contaminated``: words are hit, and at least one in ``share`` of all words is.
     """
+    return _judged(docs, items, window, shingle, share).drop("row")
+
+
+def _judged(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, share: int = 20
+) -> DataFrame:
+    """The columns of ``contamination``, and row."""
     documents, matches = occurrences(docs, items, window, shingle)
     own = ["doc_id", "row"]
     spans = matches.select(*own, "start", (F.col("start") + F.col("length")).alias("end"))
@@ -238,10 +254,11 @@ def contamination(
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     found = F.coalesce("found", F.array().cast("array<string>"))
     return (
-        documents.join(hit, own, "left")
-        .join(named, own, "left")
+        documents.transform(_beside, hit)
+        .transform(_beside, named)
         .select(
             "doc_id",
+            "row",
             "n_words",
             n_hit.alias("n_hit"),
             F.size(found).cast("long").alias("n_items"),
@@ -252,6 +269,8 @@ def contamination(
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of documents that are not contaminated, with their columns."""
-    bad = cut_lineage(contamination(docs, items).filter("contaminated").select("doc_id"))
-    return without_ids(docs, key, bad)
+    """The rows of documents that are not contaminated, with their columns. Rows go by id and text."""
+    bad = cut_lineage(_judged(docs, items).filter("contaminated").select("row", "doc_id"))
+    hashed = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    marked = docs.withColumn("_text_row", hashed)
+    return without_ids(marked, "_text_row", bad.withColumnRenamed("doc_id", key)).drop("_text_row")
