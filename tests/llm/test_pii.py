@@ -73,6 +73,37 @@ def test_base_spans_stay_and_more_are_found(tagger):
     assert not any(every for _, every in pii.all_spans(clean, tagger))
 
 
+SPELLED = ["{} (at) {}.{}", "{}(at){}.{}", "{} [at] {}.{}", "{} at {} dot {}"]
+
+
+def _addresses(count, seed, forms):
+    draw = random.Random(seed)
+    names = ["anna", "peter", "maria", "schmidt", "jones", "olga", "weber", "lund", "kim", "rossi"]
+    for i, text in enumerate(samples.prose(seed, count, words=40)):
+        words = text.split(" ")
+        local = f"{draw.choice(names)}.{draw.choice(names)}"
+        datum = forms[i % len(forms)].format(local, draw.choice(["example", "mailbox", "post"]),
+                                             draw.choice(["org", "net", "com"]))
+        yield datum, " ".join([*words[:9], datum, *words[9:]])
+
+
+def test_spelled_out_addresses_without_digits():
+    rng = np.random.default_rng(1)
+    known = [t for _, t in _addresses(400, 3, ["{}@{}.{}"])]
+    pairs = [p for t in known for p in pii._labelled(t, rng)]
+    model = pii.train(np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs]), epochs=10)
+    held = list(_addresses(80, 4, SPELLED))
+    assert not any(set("0123456789@") & set(t) for _, t in held)
+    assert all(pii._window_starts(t) for _, t in held)
+    assert all(pii._plausible(0, datum) for datum, _ in held)
+    found = [pii.masked(t, every) for (_, t), (_, every) in
+             zip(held, pii.all_spans([t for _, t in held], model))]
+    for form in range(len(SPELLED)):
+        own = [datum not in out and "[EMAIL]" in out
+               for (datum, _), out in list(zip(held, found))[form :: len(SPELLED)]]
+        assert sum(own) > len(own) * 0.7, (SPELLED[form], sum(own), len(own))
+
+
 def test_gradients():
     draw = np.random.default_rng(0)
     codes, tags = draw.integers(0, 130, (3, 12)), draw.integers(0, pii.TAGS, (3, 12))

@@ -4,10 +4,11 @@ The tagger is a bidirectional LSTM over characters with CRF transitions, written
 numpy on labelled spans: windows of a bounded sample of documents, labelled by the rules, some of
 them rewritten into forms the rules do not know (other separators, no leading plus, spelled-out
 signs), whose spans are known because the rewriting is. It reads overlapping windows around every
-digit and at sign, as none of the kinds does without one. Each window is decoded by itself; the
+digit, at sign and spelled-out sign ("at" or "dot" as a word or in brackets), as none of the kinds
+does without one. Each window is decoded by itself; the
 spans of all windows of a text are then reconciled by choosing the set of disjoint spans of the
 largest total score, where a span found by two windows has the sum of both. Base spans always stay;
-a tagged span is added only if it overlaps none of them and has enough digits or an at sign.
+a tagged span is added only if it overlaps none of them and has enough digits or the signs of an address.
 
 Edge cases: null and empty texts have no spans; positions are code points; repeated rows, other
 columns and empty tables do not matter; without any base span in the sample the tagger adds
@@ -39,7 +40,12 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_SEED = re.compile(r"[0-9@]")
+_AT = r"(?<![A-Za-z0-9])at(?![A-Za-z0-9])"
+_DOT = r"(?<![A-Za-z0-9])dot(?![A-Za-z0-9])"
+_SEED = re.compile(f"[0-9@]|{_AT}|{_DOT}", re.IGNORECASE | re.ASCII)
+_ADDRESS = re.compile(
+    rf"[A-Za-z0-9].*(@|{_AT}).*[A-Za-z0-9][\W_]*(\.|{_DOT})[\W_]*[A-Za-z0-9]", re.IGNORECASE
+)
 
 
 def _emails(text: str):
@@ -254,13 +260,27 @@ def train(
 # Labelled windows --------------------------------------------------------------------------------
 
 
+# How the at sign and the dots of an address are written otherwise.
+_SPELLED = [
+    ("@ ", "."),
+    ("(at)", "."),
+    (" [at] ", "."),
+    (" (at) ", "."),
+    (" at ", "."),
+    (" at ", " dot "),
+    ("(at)", "(dot)"),
+    (" [at] ", " [dot] "),
+]
+
+
 def _rewritten(kind: int, text: str, rng: np.random.Generator) -> str:
     """A form of the same datum that the rules do not match."""
     choice = int(rng.integers(0, 3))
     if kind == 0:
-        return text.replace("@", (" @ ", "(at)", " [at] ")[choice]) if choice else text.replace(
-            "@", "@ "
-        )
+        sign, dot = _SPELLED[int(rng.integers(0, len(_SPELLED)))]
+        local, _, domain = text.partition("@")
+        # The dots before the sign are spelled out in some, too.
+        return (local.replace(".", dot) if choice == 0 else local) + sign + domain.replace(".", dot)
     if kind == 1:
         return text.replace(".", (" . ", "[.]", ",")[choice])
     if kind == 2:
@@ -296,7 +316,7 @@ def _labelled(text: str, rng: np.random.Generator):
 
 
 def _window_starts(text: str) -> list[int]:
-    """Windows of SPAN characters, one each STRIDE, that have a digit or an at sign near."""
+    """Windows of SPAN characters, one each STRIDE, that have a digit or a sign of an address near."""
     wanted = set()
     for m in _SEED.finditer(text):
         cell = m.start() // STRIDE
@@ -379,7 +399,7 @@ def reconcile(spans: list[tuple[int, int, int, float]]) -> list[tuple[int, int,
 
 def _plausible(kind: int, text: str) -> bool:
     if kind == 0:
-        return bool(re.search(r"[A-Za-z0-9].*(@|\bat\b).*[A-Za-z0-9]\W*\.\W*[A-Za-z0-9]", text))
+        return bool(_ADDRESS.search(text))
     least, most = ((4, 12), (13, 19), (9, 15))[kind - 1]
     return least <= len(_digits(text)) <= most and (kind != 1 or len(re.findall(r"\d+", text)) == 4)
 
