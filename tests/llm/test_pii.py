@@ -179,3 +179,12 @@ def test_learning_needs_spans(spark):
     assert pii.learn(samples.empty(spark)) is None
     assert pii.learn(samples.documents(spark, [(1, "no data 12 here")])) is None
     assert pii.all_spans([f"mail a@b.example"], None)[0][1] == [(0, 5, 16)]
+
+
+def test_sample_has_distinct_texts_and_late_windows(spark):
+    rows = [(i, f"mail a{i % 12}@b.example") for i in range(12)] * 40
+    drawn = pii._sample(samples.documents(spark, rows), 10)
+    assert len(drawn) == len(set(drawn)) == 10
+    late = "number 12 " * 600 + "mail anna@post.example"
+    drawn = [pair for seed in range(60) for pair in pii._labelled(late, np.random.default_rng(seed))]
+    assert len(drawn) == 60 * 24 and any(tags.any() for _, tags in drawn)

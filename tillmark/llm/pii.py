@@ -290,8 +290,9 @@ def _rewritten(kind: int, text: str, rng: np.random.Generator) -> str:
     return (plain, "00" + plain, plain.replace(" ", "/"))[choice]
 
 
-def _labelled(text: str, rng: np.random.Generator):
-    """Windows around the base spans of a text, in one copy with some data rewritten."""
+def _labelled(text: str, rng: np.random.Generator, most: int = 24):
+    """Windows around the base spans of a text, in one copy with some data rewritten: ``most`` of
+    them, drawn at random from the whole text."""
     spans = sorted((s, e, k) for k, s, e in base_spans(text))
     parts, tagged, at = [], [], 0
     for start, end, kind in spans:
@@ -311,7 +312,7 @@ def _labelled(text: str, rng: np.random.Generator):
     for start, end, kind in tagged:
         tags[start:end] = 2 + 2 * kind
         tags[start] = 1 + 2 * kind
-    for start in _window_starts(whole)[:24]:
+    for start in rng.permutation(_window_starts(whole))[:most].astype(int).tolist():
         yield _padded(codes, start), _padded(tags, start)
 
 
@@ -332,19 +333,23 @@ def _padded(values: np.ndarray, start: int) -> np.ndarray:
     return out
 
 
-def learn(docs: DataFrame, sample: int = 800, windows: int = 2000) -> Tagger | None:
-    """Fit on the windows of at most ``sample`` documents with base kinds' characters, those of
-    smallest hash, and at most ``windows`` of their windows."""
-    rows = (
-        texts(docs)
-        .filter(F.col("text").rlike("[0-9]{2}|@"))
-        .orderBy(F.xxhash64("text"))
-        .limit(sample)
-        .select("text")
-        .collect()
-    )
+def _sample(docs: DataFrame, sample: int) -> list[str]:
+    """At most ``sample`` distinct texts with base kinds' characters, those of smallest hash. Hashes
+    are made distinct first, so that only the texts of the sample are shuffled."""
+    rows = texts(docs).filter(F.col("text").rlike("[0-9]{2}|@"))
+    hashed = rows.select("text", F.xxhash64("text").alias("hash"))
+    least = hashed.select("hash").distinct().orderBy("hash").limit(sample).collect()
+    drawn = hashed.filter(F.col("hash").isin([r["hash"] for r in least])).distinct()
+    return [r["text"] for r in drawn.orderBy("hash", "text").limit(sample).collect()]
+
+
+def learn(
+    docs: DataFrame, sample: int = 800, windows: int = 2000, per_text: int = 24
+) -> Tagger | None:
+    """Fit on the windows of at most ``sample`` distinct texts with base kinds' characters, those of
+    smallest hash: at most ``per_text`` windows of each, drawn at random, and ``windows`` in all."""
     rng = np.random.default_rng(5)
-    found = [pair for row in rows for pair in _labelled(row["text"], rng)]
+    found = [pair for text in _sample(docs, sample) for pair in _labelled(text, rng, per_text)]
     if not any(tags.any() for _, tags in found):
         return None
     chosen = rng.permutation(len(found))[:windows]
