@@ -52,7 +52,3 @@ def small_limits(spark):
     yield
     for name, value in before.items():
         spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
-
-
-def bag(df):
-    return sorted([tuple(row) for row in df.collect()], key=repr)

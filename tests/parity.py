@@ -13,6 +13,10 @@ TABLES = (
 ).split()
 
 
+def bag(df) -> list[tuple]:
+    return sorted([tuple(row) for row in df.collect()], key=repr)
+
+
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for name in TABLES:

@@ -4,7 +4,7 @@ import datetime
 from decimal import Decimal
 
 import pytest
-from conftest import bag
+from parity import bag
 from pyspark.sql import functions as F
 
 from tillmark.operators import quality as q

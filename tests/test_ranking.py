@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import bag
+from parity import bag
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

@@ -4,7 +4,7 @@ from collections import Counter
 from decimal import Decimal
 
 import pytest
-from conftest import bag
+from parity import bag
 from pyspark.sql import functions as F
 
 from tillmark.functions.draws import DRAW_SPACE, draw
