@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillmark.llm import bpe, chat, decontam, jaccard, licences, pii, repeats, sharding, topk, toxicity
+from tillmark.llm import (
+    bpe,
+    chat,
+    decontam,
+    jaccard,
+    licences,
+    pii,
+    repeats,
+    sharding,
+    spelling,
+    topk,
+    toxicity,
+)
 from tillmark.llm.frames import table
 
 
@@ -90,6 +102,11 @@ def op10_shards(spark, folder):
     return sharding.pack_shards(table(spark, folder, "documents"))
 
 
+def op11_spelling_variants(spark, folder):
+    words = spelling.word_counts(table(spark, folder, "documents"), slip_every=31)
+    return spelling.variants(words)
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_bpe": op2_bpe,
@@ -101,6 +118,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_shards": op10_shards,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 
 ORACLES = {
