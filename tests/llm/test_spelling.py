@@ -126,7 +126,19 @@ def test_variants_of_a_corpus(spark, partitions):
     assert {r["word"]: r["n"] for r in words.collect()} == wanted
     got = sorted((tuple(r) for r in spelling.variants(words).collect()), key=repr)
     assert got == plain_variants(wanted)
-    assert any(form and root != form for _, form, root, *_ in got)
+
+
+def test_roots_follow_forms(spark):
+    text = "waterfalls " * 2000 + "waterfall " * 150 + "waterfal " * 12 + "watrfal waterfa "
+    words = spelling.word_counts(documents(spark, [(1, text), (None, "Watrfal\twaterfa")]))
+    got = {r["word"]: (r["form"], r["root"], r["n_near"]) for r in spelling.variants(words).collect()}
+    assert got == {
+        "waterfalls": (None, "waterfalls", 1),
+        "waterfall": ("waterfalls", "waterfalls", 2),
+        "waterfal": ("waterfall", "waterfalls", 3),
+        "watrfal": (None, "watrfal", 1),
+        "waterfa": (None, "waterfa", 1),
+    }
 
 
 def test_hot_bigrams_and_equal_numbers(spark):
