@@ -15,9 +15,9 @@ The one edit also fixes where the rest of a word stands, and the join key says s
   letters of the other word, which are one, two or three letters here. The zones cover the stretch
   between the pivots once for each of these widths.
 
-What meets by key must agree in length up to one letter and is verified by edit distance. A word
-sends a number of keys in proportion to its length, however many words there are; keys travel
-with 64-bit ids, the words themselves only for verification.
+What meets by key must have an odd number of nearly the same letters and is verified by edit
+distance. A word sends a number of keys in proportion to its length, however many words there are;
+keys travel with 64-bit ids, the words themselves only for verification.
 
 Edge cases: a null text has no words, a null id counts as empty in the checksum; repeated rows
 count again; runs of any length are words (their keys grow with their length); equal numbers go
@@ -226,8 +226,17 @@ def entries(keys: _Keys, prefix: np.ndarray):
     yield np.repeat(np.arange(keys.size), zones.shape[1]), zones.ravel()
 
 
+def _odd_letters(letters: np.ndarray) -> np.ndarray:
+    """A bit for each letter (modulo 31) that a word has an odd number of times.
+
+    One edit changes at most two of them.
+    """
+    bits = np.int32(1) << (letters % np.uint8(31)).astype(np.int32)
+    return np.bitwise_xor.reduce(bits, axis=1)
+
+
 def _keyed(words: DataFrame, counts: np.ndarray, asking: bool) -> DataFrame:
-    """(key, id, length, reach) of the probes or the entries of all words."""
+    """(key, id, odd, reach) of the probes or the entries of all words."""
     order = np.lexsort((np.arange(len(counts)), counts))
     ranks = np.empty(len(counts), dtype=np.int64)
     ranks[order] = np.arange(len(counts))
@@ -242,7 +251,7 @@ def _keyed(words: DataFrame, counts: np.ndarray, asking: bool) -> DataFrame:
                 order = rank[grams]
                 reach = np.partition(order, PREFIX - 1, axis=1)[:, PREFIX - 1]
                 prefix = order <= reach[:, None]
-                keys = _Keys(letters)
+                keys, odd = _Keys(letters), _odd_letters(letters)
                 if asking:
                     found = probes(keys, *pivots(number[grams], prefix))
                 else:
@@ -254,13 +263,13 @@ def _keyed(words: DataFrame, counts: np.ndarray, asking: bool) -> DataFrame:
                         [
                             pa.array(key[i : i + KEY_ROWS].view(np.int64)),
                             pa.array(ids[places[part]]),
-                            pa.array(np.full(len(part), letters.shape[1], np.int32)),
+                            pa.array(odd[part]),
                             pa.array(reach[part].astype(np.int32)),
                         ],
-                        names=["key", "id", "length", "reach"],
+                        names=["key", "id", "odd", "reach"],
                     )
 
-    return words.mapInArrow(convert, "key long, id long, length int, reach int")
+    return words.mapInArrow(convert, "key long, id long, odd int, reach int")
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
@@ -277,7 +286,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
         asking.join(
             answering,
             (F.col("x.key") == F.col("y.key"))
-            & (F.abs(F.col("x.length") - F.col("y.length")) <= 1)
+            & (F.bit_count(F.col("x.odd").bitwiseXOR(F.col("y.odd"))) <= 2)
             & (F.col("x.reach") <= F.col("y.reach"))
             & (F.col("x.id") != F.col("y.id")),
         )
