@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test table
 
 def test_registered():
     names = registry.queries()
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14))
     assert "pipeline" in names and set(queries.ORACLES) <= set(registry.oracle_sql())
 
 
@@ -39,6 +39,10 @@ CONTRACTS = {
     " items_sha256 string, contaminated boolean",
     "op10_shards": "doc_id long, size long, text_crc32 long, law string, shard int, slot long,"
     " grown_shard int",
+    "op11_spelling_variants": "word string, form string, root string, n long, n_near long, form_n long",
+    "op12_language": "doc_id long, held_out boolean, lang_pred string, score double",
+    "op13_conversation_repair": "conv_id long, gaps long, blank long, duplicate long, truncated long,"
+    " illegal long, cost long, audit string, repaired_sha256 string",
 }
 
 

@@ -9,11 +9,13 @@ from tillmark.llm import (
     chat,
     decontam,
     jaccard,
+    langid,
     licences,
     pii,
     repeats,
     sharding,
     spelling,
+    structure,
     topk,
     toxicity,
 )
@@ -107,6 +109,21 @@ def op11_spelling_variants(spark, folder):
     return spelling.variants(words)
 
 
+def op12_language(spark, folder):
+    docs = table(spark, folder, "documents")
+    return langid.predict(docs, langid.learn(docs)).select(
+        "doc_id",
+        langid.is_held_out(F.col("doc_id")).alias("held_out"),
+        "lang_pred",
+        "score",
+    )
+
+
+def op13_conversation_repair(spark, folder):
+    turns = table(spark, folder, "conversations")
+    return structure.audit(structure.planted_damage(turns), turns)
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_bpe": op2_bpe,
@@ -119,6 +136,8 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_shards": op10_shards,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_language": op12_language,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLES = {
