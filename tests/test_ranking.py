@@ -8,7 +8,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillmark.operators import ordering
-from tillmark.operators.ranking import spend_tiers, with_ranks
+from tillmark.operators.ranking import one_tier, spend_tiers, tile_ends, with_ranks
+from tillmark.operators.selection import cuts_at, until
 
 SCHEMA = "id bigint, spend decimal(18,2)"
 
@@ -103,9 +104,75 @@ def test_last_seen_is_carried_over_buckets(spark, partitions):
         assert row.s == (None if row.id < 10 else (row.id - 10) // 333 * 333 + 10)
 
 
-def test_only_the_bucket_summary_is_ordered_in_one_task(spark):
+def test_only_bucket_summaries_are_ordered_in_one_task(spark):
     ranked = spend_tiers(table(spark, range(50)), "spend", ["id"])
     lines = ranked._jdf.queryExecution().executedPlan().toString().splitlines()
     single = [i for i, line in enumerate(lines) if "SinglePartition" in line]
-    assert single
     assert all("keys=[_bucket" in lines[i + 1] for i in single)
+
+
+def test_rows_are_shuffled_once_and_never_ordered(spark, tmp_path, small_limits):
+    table(spark, [i % 30 for i in range(400)]).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    for ranked in (spend_tiers(stored, "spend", ["id"]), one_tier(stored, "spend", ["id"])):
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan
+        assert plan.count("FileScan parquet") == 1  # the rows, joined to written ranks
+
+
+@pytest.mark.parametrize("tier", [1, 3])
+def test_one_tier_is_a_part_of_all(spark, tier):
+    rng = random.Random(tier)
+    for values in (
+        [rng.choice([None, *range(-20, 20)]) for _ in range(301)],
+        [None] * 200 + [4] * 150 + list(range(10)),
+        [1, 2],
+    ):
+        df = table(spark, values)
+        every = spend_tiers(df, "spend", ["id"], 5).filter(F.col("spend_quartile") == tier)
+        own = one_tier(df, "spend", ["id"], tier, 5)
+        assert bag(own) == bag(every.drop("spend_quartile"))
+
+
+def test_no_such_tier(spark):
+    with pytest.raises(ValueError):
+        one_tier(table(spark, [1]), "spend", ["id"], 5, 4)
+
+
+def test_tile_ends_share_out_the_rest():
+    assert [tile_ends(n, 4) for n in (0, 3, 4, 10)] == [
+        [0, 0, 0, 0], [1, 2, 3, 3], [1, 2, 3, 4], [3, 6, 8, 10],
+    ]
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_cuts_at_positions(spark, descending):
+    rng = random.Random(9)
+    values = [rng.choice([None, 0, -3, 10**15, -(10**15), *range(5)]) for _ in range(60)]
+    df = table(spark, values).cache()
+    places = [1, 7, 8, 30, 59, 60]
+    found = cuts_at(df, "spend", ["id"], lambda rows: [0, *places, rows + 1], descending)
+    order = [F.col("spend").desc_nulls_first() if descending else F.col("spend").asc_nulls_last()]
+    numbered = df.withColumn("n", F.row_number().over(Window.orderBy(*order, "id")))
+    assert found.rows == 60 and [cut.position for cut in found.cuts] == places
+    for cut in found.cuts:
+        first = numbered.filter(until(cut, "spend", ["id"], descending))
+        assert sorted(r.n for r in first.collect()) == list(range(1, cut.position + 1))
+
+
+def test_ties_are_cut_by_several_columns(spark):
+    rows = [(5, f"k{i % 3}", i) for i in range(30)]
+    df = spark.createDataFrame(rows, "v bigint, a string, b bigint")
+    (cut,) = cuts_at(df, "v", ["a", "b"], lambda n: [14]).cuts
+    kept = df.filter(until(cut, "v", ["a", "b"])).collect()
+    assert sorted((r.a, r.b) for r in kept) == sorted((a, b) for _, a, b in rows)[:14]
+    assert cut.before == 0 and cut.equal == 30
+
+
+def test_far_apart_decimals(spark):
+    from decimal import Decimal
+
+    values = [Decimal(f"{i}.0{i % 10}") * (10 ** (i % 16)) for i in range(1, 80)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v decimal(24,2)")
+    cuts = cuts_at(df, "v", ["id"], lambda n: [1, 40, n]).cuts
+    assert [cut.value for cut in cuts] == [sorted(values, reverse=True)[i] for i in (0, 39, -1)]

@@ -9,17 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmark.functions.money import percent
-from tillmark.operators.ordering import BUCKET, SLOT, before_bucket, in_buckets
-
-
-def tile_number(row_number: Column, rows: Column, tiles: int) -> Column:
-    """Tile of a 1-based row number; the first ``rows mod tiles`` tiles get one row more."""
-    size = F.call_function("div", rows, F.lit(tiles))
-    larger = rows % tiles
-    in_larger = larger * (size + 1)
-    early = F.call_function("div", row_number - 1, size + 1) + 1
-    late = larger + F.call_function("div", row_number - 1 - in_larger, F.nullif(size, F.lit(0))) + 1
-    return F.when(row_number <= in_larger, early).otherwise(late)
+from tillmark.operators.ordering import (
+    BUCKET,
+    SLOT,
+    before_bucket,
+    in_buckets,
+    with_running_total,
+)
+from tillmark.operators.selection import cuts_at, until
 
 
 def with_ranks(
@@ -106,6 +103,34 @@ def with_ranks(
     )
 
 
+def ranks_of_values(df: DataFrame, value: str, descending: bool = True) -> DataFrame:
+    """Every distinct ``value`` once, with ``rank`` (with gaps after ties).
+
+    Rows are counted per value in the tasks that read them; only the distinct values are ordered,
+    so a value shared by very many rows is one line per task.
+    """
+    ordering = F.col(value).desc_nulls_first() if descending else F.col(value).asc_nulls_last()
+    counted = df.groupBy(value).agg(F.count("*").alias("_count"))
+    reached = with_running_total(counted, [ordering], "_count", "_reached")
+    return reached.select(value, (F.col("_reached") - F.col("_count") + 1).alias("rank"))
+
+
+def tile_ends(rows: int, tiles: int) -> list[int]:
+    """The row numbers at which tiles end."""
+    size, larger = divmod(rows, tiles)
+    return [tile * size + min(tile, larger) for tile in range(1, tiles + 1)]
+
+
+def _check_exact(df: DataFrame, value: str) -> None:
+    if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
+        raise TypeError(f"cast {value} to DECIMAL first")
+
+
+def _with_rank(df: DataFrame, ranks: DataFrame, value: str) -> DataFrame:
+    own = ranks.withColumnRenamed(value, "_value")
+    return df.join(own, F.col(value).eqNullSafe(F.col("_value"))).drop("_value")
+
+
 def spend_tiers(
     df: DataFrame,
     value: str,
@@ -120,13 +145,65 @@ def spend_tiers(
 
     Equal values that straddle a tier boundary are split by ``tie_break``
     ascending. ``value`` must be DECIMAL or integral, so that shares are exact.
+    Boundaries are selected by histograms and ranks belong to values, so the rows themselves are
+    neither ordered nor written; they meet the ranks in one join. ``df`` is read several times.
     """
-    if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
-        raise TypeError(f"cast {value} to DECIMAL first")
-    ranked = with_ranks(df, value, tie_break, total_of=value)
+    _check_exact(df, value)
+    cuts = cuts_at(df, value, tie_break, lambda rows: tile_ends(rows, tiers)[:-1])
+    tier = F.lit(1)
+    for cut in cuts.cuts:
+        tier = tier + F.when(until(cut, value, tie_break), 0).otherwise(1)
+    ranked = _with_rank(df, ranks_of_values(df, value), value)
     return ranked.select(
         *[F.col(name) for name in df.columns],
-        tile_number(F.col("row_number"), F.col("rows"), tiers).alias(tier_name),
+        tier.cast("bigint").alias(tier_name),
         F.col("rank").alias(rank_name),
-        percent(F.col(value), F.col("total"), share_places).alias(share_name),
+        percent(F.col(value), _total_literal(df, value, cuts.total), share_places).alias(share_name),
     )
+
+
+def one_tier(
+    df: DataFrame,
+    value: str,
+    tie_break: Sequence[str],
+    tier: int = 1,
+    tiers: int = 4,
+    rank_name: str = "spend_rank",
+    share_name: str = "pct_of_total_revenue",
+    share_places: int = 2,
+) -> DataFrame:
+    """The rows of one tier of ``spend_tiers``, with rank and share among all rows.
+
+    Only the values inside the tier are put in order, for their ranks.
+    """
+    if not 1 <= tier <= tiers:
+        raise ValueError(f"no tier {tier} of {tiers}")
+    _check_exact(df, value)
+    cuts = cuts_at(df, value, tie_break, lambda rows: [0, *tile_ends(rows, tiers)][tier - 1 : tier + 1])
+    by_position = {cut.position: cut for cut in cuts.cuts}
+    start, end = [0, *tile_ends(cuts.rows, tiers)][tier - 1 : tier + 1]
+    inside = F.lit(start < end)
+    if end in by_position:
+        inside = inside & until(by_position[end], value, tie_break)
+    if start in by_position:
+        inside = inside & ~until(by_position[start], value, tie_break)
+    own = df.filter(inside)
+    ranks = ranks_of_values(own, value)
+    if start in by_position:
+        # A value that began in an earlier tier keeps its rank; the others come after all of it.
+        first = by_position[start]
+        begun = F.col(value).eqNullSafe(F.lit(first.value))
+        ranks = ranks.withColumn(
+            "rank", F.when(begun, F.lit(first.before + 1)).otherwise(F.col("rank") + start)
+        )
+    return _with_rank(own, ranks, value).select(
+        *[F.col(name) for name in df.columns],
+        F.col("rank").cast("bigint").alias(rank_name),
+        percent(F.col(value), _total_literal(df, value, cuts.total), share_places).alias(share_name),
+    )
+
+
+def _total_literal(df: DataFrame, value: str, total) -> Column:
+    """The grand total as the type that SUM gives."""
+    kind = df.select(F.sum(value).alias("t")).schema["t"].dataType
+    return F.lit(total).cast(kind)

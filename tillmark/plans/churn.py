@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tillmark.functions.dates import as_of_date, days_between
 from tillmark.functions.money import round_ratio
 from tillmark.functions.text import full_name
-from tillmark.operators.ranking import spend_tiers
+from tillmark.operators.ranking import one_tier, spend_tiers
+from tillmark.session import cut_lineage
 
 AsOf = str | datetime.date | Column | None
 
@@ -60,17 +61,24 @@ def risk_level(days: Column, critical_days: int = 90, high_days: int = 60) -> Co
     )
 
 
-def scored_customers(
-    customers: DataFrame, transactions: DataFrame, as_of: AsOf = None, tiers: int = 4
-) -> DataFrame:
-    """Purchases with tier, rank and revenue share among all active customers.
+def active_customers(customers: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Purchase totals of the known customers, on disk: tiers read them several times.
 
-    Only the totals go through the ranking; profiles are joined to the few
-    rows that are kept afterwards.
+    Only the totals go through the ranking; profiles are joined to the few rows that are kept
+    afterwards.
     """
-    active = purchase_totals(transactions).join(
-        customers.select("customer_id"), "customer_id", "left_semi"
+    return cut_lineage(
+        purchase_totals(transactions).join(
+            customers.select("customer_id"), "customer_id", "left_semi"
+        )
     )
+
+
+def scored_customers(
+    customers: DataFrame, transactions: DataFrame, as_of: AsOf = None, tiers: int = 4
+) -> DataFrame:
+    """Purchases with tier, rank and revenue share among all active customers."""
+    active = active_customers(customers, transactions)
     return with_averages(spend_tiers(active, "lifetime_spend", ["customer_id"], tiers), as_of)
 
 
@@ -84,9 +92,9 @@ def churn_risk(
     tiers: int = 4,
 ) -> DataFrame:
     """Customers of one spend tier who have not bought for ``min_days`` or longer."""
-    at_risk = scored_customers(customers, transactions, as_of, tiers).filter(
-        (F.col("spend_quartile") == tier) & (F.col("days_since_last_purchase") >= min_days)
-    )
+    active = active_customers(customers, transactions)
+    in_tier = one_tier(active, "lifetime_spend", ["customer_id"], tier, tiers)
+    at_risk = with_averages(in_tier, as_of).filter(F.col("days_since_last_purchase") >= min_days)
     return (
         customers.select("customer_id", *PROFILE)
         .join(at_risk, "customer_id")
