@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tillmark.functions.draws import DRAW_SPACE, happens
 from tillmark.functions.text import map_value
 from tillmark.operators.lookup import lookup
-from tillmark.operators.ordering import with_last_seen, with_row_number, with_running_total
+from tillmark.operators.ordering import with_row_number, with_running_total
 from tillmark.operators.ranking import with_ranks
 
 
@@ -103,25 +103,51 @@ def weighted_sample(
     """Append to each draw an item, with replacement, in proportion to its weight.
 
     ``weight`` is DECIMAL or integral, ``item`` unique, ``key`` identifies a draw.
-    Weights below 0 or NULL raise; those of 0 are never drawn. The weights are
-    laid end to end, draws are placed on the same line, and both are sorted
-    together: each draw takes the item that starts last before it. No pairs of
-    items and draws are formed, and an item with most of the weight has its
-    draws spread over many ranges.
+    Weights below 0 or NULL raise; those of 0 are never drawn. The weights are laid end to end and
+    the line is cut into as many equal cells as there are items; a draw looks its item up in its
+    cell (``line_cells``). Draws are neither sorted nor written, and as cells are equally long they
+    spread evenly over the cells, whatever the weights.
     """
     units = _whole_units(table, item, weight)
-    length = _total_weight(units, weight)
-    units = units.filter("_units > 0")
-    line = with_running_total(units, [F.col(item)], "_units", "_end")
-    starts = line.select((F.col("_end") - F.col("_units")).alias("_at"), item)
+    length, items = _total_weight(units, weight)
+    cells, width = line_cells(units.filter("_units > 0"), item, length, items)
     at = F.call_function("div", F.col(draw).cast("decimal(38,0)") * length, F.lit(DRAW_SPACE))
-    points = draws.withColumn("_at", at.cast(starts.schema["_at"].dataType))
-    both = starts.withColumn("_point", F.lit(0)).unionByName(
-        points.withColumn("_point", F.lit(1)), allowMissingColumns=True
+    points = draws.withColumn("_at", at)
+    own = (F.call_function("div", F.col("_at"), F.lit(width)) == F.col("_cell")) & (
+        (F.col("_at") >= F.col("_from")) & (F.col("_at") < F.col("_to"))
+    )
+    return points.join(cells, own).select(*draws.columns, item)
+
+
+_BLOCK = 4096
+
+
+def line_cells(
+    units: DataFrame, item: str, length: Decimal, items: int
+) -> tuple[DataFrame, int]:
+    """The part of each item (``item``, ``_units``) in each cell of the line: ``_cell``, ``_from``,
+    ``_to``; and the width of a cell.
+
+    Items lie in their own order. With as many cells as items there are at most twice as many parts,
+    and a point meets two of them on average. The cells of a long item come in blocks, so that no
+    row holds more than some thousand of them.
+    """
+    width = int(-(-length // items))
+    line = with_running_total(units, [F.col(item)], "_units", "_end")
+    parts = line.select(
+        item,
+        (F.col("_end") - F.col("_units")).cast("bigint").alias("_from"),
+        F.col("_end").cast("bigint").alias("_to"),
+    )
+    first = F.call_function("div", F.col("_from"), F.lit(width))
+    last = F.call_function("div", F.col("_to") - 1, F.lit(width))
+    blocks = F.sequence(F.shiftright(first, 12), F.shiftright(last, 12))
+    inside = F.sequence(
+        F.greatest(first, F.col("_block") * _BLOCK),
+        F.least(last, F.col("_block") * _BLOCK + (_BLOCK - 1)),
     )
-    order = [F.col(name) for name in ("_at", "_point", *key, item)]
-    met = with_last_seen(both, order, item, "_item")
-    return met.filter("_point = 1").select(*draws.columns, F.col("_item").alias(item))
+    cells = parts.withColumn("_block", F.explode(blocks)).withColumn("_cell", F.explode(inside))
+    return cells.drop("_block"), width
 
 
 def two_stage_pick(
@@ -164,16 +190,19 @@ def next_keys(
     return numbered.withColumn(key, highest + F.col("_number")).drop("_number")
 
 
-def _total_weight(units: DataFrame, weight: str) -> Decimal:
-    """The sum of the units; raises when a weight is below 0 or NULL, or none is left."""
-    total, wrong = units.agg(
-        F.sum("_units"), F.count_if(F.col("_units").isNull() | (F.col("_units") < 0))
+def _total_weight(units: DataFrame, weight: str) -> tuple[Decimal, int]:
+    """The sum of the units, and how many are above 0; raises when a weight is below 0 or NULL, or
+    none is left."""
+    total, items, wrong = units.agg(
+        F.sum("_units"),
+        F.count_if(F.col("_units") > 0),
+        F.count_if(F.col("_units").isNull() | (F.col("_units") < 0)),
     ).first()
     if wrong:
         raise ValueError(f"{wrong} weights in {weight} are below 0 or NULL")
     if not total:
         raise ValueError(f"no weight in {weight} is above 0")
-    return total
+    return total, items
 
 
 def _whole_units(table: DataFrame, item: str, weight: str) -> DataFrame:
