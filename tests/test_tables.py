@@ -97,6 +97,44 @@ def test_load_append_and_refresh(spark, frames, tmp_path, place):
     assert tables.read_table(spark, contracts.STORES, location).count() == 1
 
 
+@pytest.mark.parametrize("place", ["folder", "catalog"])
+@pytest.mark.parametrize("mode", ["append", "overwrite"])
+def test_failure_between_tables_leaves_the_old_state(spark, frames, tmp_path, place, mode):
+    location = str(tmp_path / "data")
+    if place == "catalog":
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS failing_{mode}")
+        location = f"catalog:failing_{mode}"
+    tables.load_tables(frames, location, as_of="2024-12-31")
+    before = {name: bag(frame) for name, frame in tables.read_tables(spark, location).items()}
+    reading = tables.read_table(spark, contracts.STORES, location)
+    fails = F.when(F.col("transaction_id") == 2, F.raise_error(F.lit("planted")).cast("int"))
+    broken = {
+        "stores": frames["stores"].withColumn("store_id", F.lit(2)),
+        "transactions": frames["transactions"].withColumn("quantity", fails.otherwise(F.lit(1))),
+    }
+    with pytest.raises(Exception, match="planted"):
+        tables.load_tables(broken, location, mode=mode, checked=False)
+    after = tables.read_tables(spark, location)
+    assert {name: bag(frame) for name, frame in after.items()} == before
+    whole = {**frames, "stores": frames["stores"].withColumn("store_id", F.lit(2))}
+    whole["transactions"] = frames["transactions"].withColumn("store_id", F.lit(2))
+    tables.load_tables(whole, location, mode="overwrite", as_of="2024-12-31")
+    assert tables.read_table(spark, contracts.STORES, location).first().store_id == 2
+    assert reading.first().store_id == 1  # a refresh deletes nothing under a reader
+
+
+def test_append_to_a_plain_folder(spark, frames, tmp_path):
+    location = str(tmp_path / "data")
+    for name, frame in frames.items():
+        tables.conform(frame, contracts.TABLES[name]).write.parquet(f"{location}/{name}")
+    for store in (2, 3):
+        tables.load_tables({"stores": frames["stores"].withColumn("store_id", F.lit(store))}, location)
+    stores = tables.read_table(spark, contracts.STORES, location)
+    assert sorted(r.store_id for r in stores.collect()) == [1, 2, 3]
+    assert tables.read_table(spark, contracts.CUSTOMERS, location).count() == 2
+    tables.load_tables({}, location)
+
+
 def test_load_refuses_broken_tables(spark, frames, tmp_path):
     location = str(tmp_path / "data")
     broken = {**frames, "customers": frames["customers"].filter("customer_id = 1")}

@@ -6,6 +6,7 @@ import os
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from urllib.parse import unquote, urlsplit
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,10 @@ from tillmark.sources.contracts import NOW, TABLES, Field, Table, conform
 DEFAULT_LOCATION = "retail_data"
 CATALOG = "catalog:"
 MONTH = "transaction_month"
+# Below a folder: what loads have written, and which of it counts.
+LOADS, LOG = "loads", "load_log"
+LOG_SCHEMA = "number long, part int, name string, begins boolean, folder string"
+PARTS = "load.parts"  # the property of a view that lists the tables under it
 
 
 class FailedChecks(ValueError):
@@ -99,7 +104,7 @@ def read_table(
     elif place.startswith(CATALOG):
         found = spark.table(_catalog_name(place, table.name))
     else:
-        found = spark.read.parquet(os.path.join(place, table.name))
+        found = spark.read.parquet(*_live_folders(spark, place, table.name))
     return conform(found, table)
 
 
@@ -119,9 +124,12 @@ def load_tables(
     ``mode`` is "append" or "overwrite" (a full refresh). With ``checked`` the
     contracts are checked first and nothing is written when one is broken: values
     must convert to the declared types, references need a parent that is given or
-    stored, and appended keys must be new. The writes themselves are one after the
-    other: a failure between two tables leaves the earlier ones loaded, and an
-    overwrite of a folder deletes before it writes.
+    stored, and appended keys must be new.
+
+    In folders and catalogs a load is all or nothing: every table is written to a
+    place of its own, and what readers see changes only after the last one is
+    written. Nothing is deleted, so whoever reads the old state goes on reading it.
+    A database gets one table after the other. One loader at a time.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown mode {mode}")
@@ -151,15 +159,103 @@ def load_tables(
             raise FailedChecks("; ".join(lost))
         _refuse(check_tables(ready, as_of=as_of, stored=stored))
     options = jdbc_options(place)
-    for name, frame in ready.items():
-        if options:
+    if options:
+        for name, frame in ready.items():
             writer = frame.write.format("jdbc").options(**options).option("dbtable", name)
             # Keeps the database's own table definition on a refresh.
             writer.option("truncate", "true").mode(mode).save()
-        elif place.startswith(CATALOG):
-            frame.write.mode(mode).saveAsTable(_catalog_name(place, name))
-        else:
-            frame.write.mode(mode).parquet(os.path.join(place, name))
+    elif place.startswith(CATALOG):
+        _load_catalog(ready, place, mode)
+    else:
+        _load_folder(ready, place, mode)
+
+
+def _load_folder(ready: Mapping[str, DataFrame], place: str, mode: str) -> None:
+    """Write each table to a fresh folder, then add one file to the log that names them all.
+
+    The log is a JSON table with a line per table and load; a single task appends a load's lines,
+    so they appear together or not at all.
+    """
+    if not ready:
+        return
+    spark = next(iter(ready.values())).sparkSession
+    number = max((line["number"] for line in _log(spark, place)), default=0) + 1
+    lines = []
+    for name, frame in ready.items():
+        folder = f"{LOADS}/{number}-{uuid4().hex}/{name}"
+        frame.write.parquet(os.path.join(place, folder))
+        own = [folder]
+        if mode == "append" and not _folders(_log(spark, place), name) and _is_folder(spark, place, name):
+            own = [name, folder]  # a plain folder from before the first load
+        for part, each in enumerate(own):
+            begins = part == 0 and (mode == "overwrite" or len(own) == 2)
+            lines.append((number, part, name, begins, each))
+    spark.createDataFrame(lines, LOG_SCHEMA).coalesce(1).write.mode("append").json(
+        os.path.join(place, LOG)
+    )
+
+
+def _log(spark: SparkSession, place: str) -> list:
+    """The lines of the load log, oldest first: some words per load and table."""
+    try:
+        log = spark.read.schema(LOG_SCHEMA).json(os.path.join(place, LOG))
+        return log.orderBy("number", "part").collect()
+    except AnalysisException:
+        return []
+
+
+def _folders(log: list, name: str) -> list[str]:
+    """The folders that hold a table now; a load that begins anew leaves the earlier ones out."""
+    folders: list[str] = []
+    for line in log:
+        if line["name"] == name:
+            folders = [*([] if line["begins"] else folders), line["folder"]]
+    return folders
+
+
+def _live_folders(spark: SparkSession, place: str, name: str) -> list[str]:
+    found = _folders(_log(spark, place), name) or [name]
+    return [os.path.join(place, folder) for folder in found]
+
+
+def _is_folder(spark: SparkSession, place: str, name: str) -> bool:
+    try:
+        spark.read.parquet(os.path.join(place, name))
+    except AnalysisException:
+        return False
+    return True
+
+
+def _load_catalog(ready: Mapping[str, DataFrame], place: str, mode: str) -> None:
+    """Write each table to a fresh one, then point the views of their names at the fresh ones.
+
+    Until the last table is written only tables of new names have come about. A table that is not
+    a view yet keeps its rows under a new name.
+    """
+    written = {}
+    for name, frame in ready.items():
+        fresh = f"{_catalog_name(place, name)}__{uuid4().hex}"
+        frame.write.saveAsTable(fresh)
+        written[name] = (frame.sparkSession, fresh)
+    for name, (spark, fresh) in written.items():
+        view = _catalog_name(place, name)
+        parts = [fresh]
+        if spark.catalog.tableExists(view):
+            if not _is_view(spark, view):
+                kept = f"{view}__{uuid4().hex}"
+                spark.sql(f"ALTER TABLE {view} RENAME TO {kept}")
+                earlier = [kept]
+            else:
+                earlier = spark.sql(f"SHOW TBLPROPERTIES {view} ('{PARTS}')").first()["value"].split(",")
+            parts = [*earlier, fresh] if mode == "append" else parts
+        rows = " UNION ALL ".join(f"SELECT * FROM {part}" for part in parts)
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('{PARTS}' = '{','.join(parts)}') AS {rows}"
+        )
+
+
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.getTable(name).tableType == "VIEW"
 
 
 def _refuse(report: DataFrame) -> None:
@@ -175,11 +271,7 @@ def is_stored(spark: SparkSession, name: str, location: str | None = None) -> bo
         return True
     if place.startswith(CATALOG):
         return spark.catalog.tableExists(_catalog_name(place, name))
-    try:
-        spark.read.parquet(os.path.join(place, name))
-    except AnalysisException:
-        return False
-    return True
+    return bool(_folders(_log(spark, place), name)) or _is_folder(spark, place, name)
 
 
 def create_tables(spark: SparkSession, location: str = CATALOG) -> None:
@@ -190,7 +282,10 @@ def create_tables(spark: SparkSession, location: str = CATALOG) -> None:
     """
     names = {name: _catalog_name(location, name) for name in TABLES}
     for name in reversed(names):
-        spark.sql(f"DROP TABLE IF EXISTS {names[name]}")
+        kind = "TABLE"
+        if spark.catalog.tableExists(names[name]) and _is_view(spark, names[name]):
+            kind = "VIEW"
+        spark.sql(f"DROP {kind} IF EXISTS {names[name]}")
     for name, table in TABLES.items():
         columns = ", ".join(_column_ddl(f) for f in table.fields)
         spark.sql(f"CREATE TABLE {names[name]} ({columns}) USING parquet")
