@@ -125,6 +125,28 @@ def test_cohort_retention(spark):
     ]  # customer 3 counts in the size; the March cohort has no activity and no row
 
 
+def test_months_of_decades(spark):
+    """Months beyond one word of bits, at the borders of words, and none at all."""
+    first = D(1995, 3, 1)
+    people = customers(spark, {1: D(1995, 3, 5), 2: D(2004, 1, 9), 3: D(1990, 1, 1)})
+    days = [D(first.year + (2 + n) // 12, (2 + n) % 12 + 1, 3) for n in (0, 1, 63, 64, 127, 128, 240)]
+    sold = sales(spark, [(c, 1, day, 1) for c in (1, 2, 3) for day in days] + [(3, 1, None, 1)])
+    got = bag(cohort.cohort_retention(people, sold).select("cohort_month", "month_number"))
+    wanted = [
+        (start, (day.year - start.year) * 12 + day.month - start.month)
+        for start in (D(1995, 3, 1), D(2004, 1, 1), D(1990, 1, 1))
+        for day in days
+        if day >= start
+    ]
+    assert got == sorted(wanted, key=repr)
+    assert cohort.cohort_retention(people, sales(spark, [(1, 1, None, 1)])).count() == 0
+
+
+def test_months_travel_as_words(stored):
+    plan = executed(cohort.cohort_retention(stored["people"], stored["sold"]))
+    assert "collect_set" not in plan and "partial_bit_or" in plan
+
+
 def test_assign_cohorts_counts_idle_customers(spark):
     people = customers(spark, {1: D(2024, 1, 20), 2: D(2024, 1, 5), 3: D(2024, 2, 1)})
     assert bag(cohort.assign_cohorts(people)) == [

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.functions.dates import month_number, month_start
+from tillmark.functions.dates import month_start
 from tillmark.functions.money import percent
 
 
@@ -42,25 +42,64 @@ def monthly_activity(transactions: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def customer_months(transactions: DataFrame) -> tuple[DataFrame, Column]:
+    """Per customer the months with a purchase as words of 64 bits, and the column that lists them.
+
+    The words span the first to the last month of the table; there are as many of them as the
+    calendar asks for, whatever the rows.
+    """
+    month = _month_ordinal(F.col("transaction_date"))
+    first, last = transactions.agg(F.min(month), F.max(month)).first()
+    if first is None:
+        first = last = 0
+    place = month - first
+    words = [f"_word{number}" for number in range((last - first) // 64 + 1)]
+    bit = F.expr("shiftleft(1L, _place % 64)")
+    bought = (
+        transactions.select("customer_id", place.alias("_place"))
+        .groupBy("customer_id")
+        .agg(
+            *[
+                F.bit_or(F.when(F.expr(f"_place div 64 = {number}"), bit)).alias(word)
+                for number, word in enumerate(words)
+            ]
+        )
+    )
+    held = F.array(*[F.coalesce(F.col(word), F.lit(0).cast("bigint")) for word in words])
+    months = F.filter(
+        F.sequence(F.lit(0), F.lit(last - first)),
+        lambda i: F.getbit(F.get(held, F.call_function("div", i, F.lit(64)).cast("int")), i % 64) == 1,
+    )
+    return bought, F.transform(months, lambda i: i + first)
+
+
+def _month_ordinal(day: Column) -> Column:
+    """Months since the year 0."""
+    return F.year(day) * 12 + F.month(day) - 1
+
+
 def cohort_retention(customers: DataFrame, transactions: DataFrame) -> DataFrame:
     """Share of each cohort that bought N months after signup, one row per month.
 
     A customer belongs to one cohort and appears once per month, so active
     customers are plain counts; the cohort size is joined to the finished
-    counts, not to the customers. The months of a customer (a set bounded by
-    the calendar) are gathered by the one shuffle of the transactions, whose
-    partitioning the join reuses.
+    counts, not to the customers. The months of a customer travel as bits: the
+    one shuffle of the transactions carries some 64-bit words per customer and
+    task, and the join reuses its partitioning.
     """
-    cohort, activity = F.col("cohort_month"), F.col("activity_month")
-    bought = transactions.groupBy("customer_id").agg(
-        F.collect_set(month_start(F.col("transaction_date"))).alias("_months")
-    )
+    cohort = _month_ordinal(F.col("signup_date"))
+    bought, months = customer_months(transactions)
     active = (
-        _with_cohort(customers)
+        customers.select(
+            "customer_id", month_start(F.col("signup_date")).alias("cohort_month"),
+            cohort.alias("_cohort"),
+        )
         .join(bought, "customer_id")
-        .select("cohort_month", F.explode("_months").alias("activity_month"))
-        .filter(activity >= cohort)
-        .groupBy(cohort, month_number(cohort, activity).alias("month_number"))
+        .select("cohort_month", "_cohort", F.explode(months).alias("_month"))
+        .filter(F.col("_month") >= F.col("_cohort"))
+        .groupBy(
+            "cohort_month", (F.col("_month") - F.col("_cohort")).cast("bigint").alias("month_number")
+        )
         .agg(F.count("*").alias("active_customers"))
     )
     return (
