@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillmark.functions.draws import DRAW_SPACE, draw
 from tillmark.operators import sampling as s
-from tillmark.operators.lookup import lookup
+from tillmark.operators.lookup import hot_keys, lookup, lookup_skewed
 
 
 def wanted(spark, n, *streams):
@@ -163,3 +163,49 @@ def test_the_item_keeps_its_type(spark, items):
     draws = spark.range(5).selectExpr("id AS draw_id", "id AS d")
     got = s.weighted_sample(draws, "d", ["draw_id"], table, "item", "weight")
     assert got.schema["item"].dataType.simpleString() == "bigint" and got.count() == 5
+
+
+def test_hot_keys_are_all_found(spark):
+    facts = spark.range(20000).select(
+        F.when(F.col("id") % 10 < 4, F.lit("a"))
+        .when(F.col("id") % 10 < 6, F.lit(None))
+        .otherwise(F.col("id").cast("string"))
+        .alias("k")
+    )
+    hot = hot_keys(facts, ["k"], 0.1)
+    wanted = facts.select(F.xxhash64("k").alias("h"), "k").filter("k = 'a' OR k IS NULL").distinct()
+    assert sorted(hot) == sorted(r.h for r in wanted.collect())
+    assert hot_keys(facts.filter("false"), ["k"], 0.1) == []
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_skewed_lookup_equals_a_plain_one(spark, how, monkeypatch):
+    facts = spark.range(3000).select(
+        "id",
+        F.when(F.col("id") % 10 < 7, 5).when(F.col("id") % 10 == 7, None)
+        .otherwise(F.col("id") % 400).cast("int").alias("k"),
+    )
+    sizes = spark.range(300).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("v"))
+    plain = bag(lookup(facts, sizes, ["k"], how))
+    assert bag(lookup_skewed(facts, sizes, ["k"], how)) == plain
+    monkeypatch.setattr("tillmark.operators.lookup.HOT_BYTES", 1)
+    assert bag(lookup_skewed(facts, sizes, ["k"], how)) == plain
+
+
+def test_hot_key_does_not_fill_one_task(spark, small_limits):
+    """70 % of the rows on one key, without adaptive execution."""
+    facts = spark.range(0, 40000, 1, 8).select(
+        "id", F.when(F.col("id") % 10 < 7, 1).otherwise(F.col("id")).alias("k")
+    )
+    sizes = spark.range(0, 40000, 1, 4).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        def tasks(df):
+            held = df.groupBy(F.spark_partition_id().alias("p")).count().collect()
+            return sorted(r["count"] for r in held)
+
+        spread = tasks(lookup_skewed(facts, sizes, ["k"]))
+        assert max(spread) <= 3 * spread[len(spread) // 2]
+        assert max(tasks(lookup(facts, sizes, ["k"]))) > 20000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

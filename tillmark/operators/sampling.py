@@ -41,6 +41,12 @@ def member_index(df: DataFrame, group: str, member: str) -> DataFrame:
     )
 
 
+def _positions(members: DataFrame, group: str, member: str) -> DataFrame:
+    """Members with their position in the whole table, by group and member."""
+    order = [F.col(group).asc_nulls_last(), F.col(member).asc()]
+    return with_row_number(members.select(group, member), order, "position")
+
+
 def group_spans(indexed: DataFrame, group: str) -> DataFrame:
     """First position and size of each group of ``member_index``."""
     return indexed.groupBy(group).agg(
@@ -56,7 +62,7 @@ def uniform_pick(
     Draws whose group has no members are dropped. ``group`` is a column of both
     tables.
     """
-    indexed = member_index(members.select(group, member), group, member)
+    indexed = _positions(members, group, member)
     spans = group_spans(indexed, group)
     placed = lookup(draws, spans, [group]).withColumn(
         "position", F.col("group_start") + F.col(draw) % F.col("group_size")
@@ -79,7 +85,7 @@ def affinity_assign(
     Groups without members always draw from all. ``chance`` and ``draw`` are
     independent draw columns.
     """
-    indexed = member_index(members.select(group, member), group, member)
+    indexed = _positions(members, group, member)
     everyone = indexed.agg(F.count("*")).scalar()
     own = happens(F.col(chance), probability) & F.col("group_size").isNotNull()
     target = F.when(own, F.col("group_start") + F.col(draw) % F.col("group_size")).otherwise(
