@@ -8,6 +8,7 @@ from parity import bag
 from pyspark.sql import functions as F
 
 from tillmark.operators import quality as q
+from tillmark.operators.incremental import incremental_report
 
 D = datetime.date
 
@@ -163,3 +164,39 @@ def test_suite_covers_the_standing_cases(spark, sales):
     assert got["transactions", "references", "product_id"] == 4
     assert got["transactions", "not_future", "transaction_date"] == 1
     assert got["transactions", "volume", "*"] == 0
+
+
+def test_only_new_files_are_read(spark, tmp_path):
+    folder, state = str(tmp_path / "sales"), str(tmp_path / "state")
+    checks = [*q.positive("amount"), *q.not_null("day"), q.not_before("day", "start")]
+    frame = spark.range(100).select(
+        (F.col("id") - 3).alias("amount"),
+        F.when(F.col("id") % 10 > 0, F.lit("2024-02-02").cast("date")).alias("day"),
+        F.lit("2024-02-03").cast("date").alias("start"),
+        (F.col("id") % 2).alias("half"),
+    )
+
+    def run(rules=checks):
+        report, read = incremental_report(spark, folder, state, "sales", rules, 150)
+        whole = q.check_rows(spark.read.parquet(folder), "sales", rules, 150)
+        assert bag(report) == bag(whole)
+        assert dict(report.dtypes) == dict(whole.dtypes)
+        return read
+
+    frame.coalesce(1).write.partitionBy("half").parquet(folder)
+    assert len(run()) == 2 and run() == []
+    frame.limit(7).coalesce(1).write.mode("append").parquet(f"{folder}/half=1")
+    assert len(run()) == 1 and run() == []
+    assert len(run(checks[:2])) == 3  # other rules know no file yet
+    (gone, *_) = (tmp_path / "sales" / "half=0").glob("*.parquet")
+    gone.unlink()
+    assert run() == []
+
+
+def test_empty_folder_breaks_the_volume_only(spark, tmp_path):
+    spark.range(0).write.parquet(str(tmp_path / "none"))
+    report, _ = incremental_report(
+        spark, str(tmp_path / "none"), str(tmp_path / "state"), "t", q.positive("id"), 2
+    )
+    got = {r.check: (r.rows_checked, r.violations, r.passed) for r in report.collect()}
+    assert got == {"volume": (0, 2, False), "positive": (0, 0, True)}
