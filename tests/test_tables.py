@@ -7,7 +7,8 @@ import pytest
 from parity import bag
 from pyspark.sql import functions as F
 
-from tillmark.operators.quality import check_tables, failures
+from tillmark.operators.quality import check_date_order, check_tables, failures
+from tillmark.plans import churn, cohort
 from tillmark.sources import contracts, tables
 
 D = datetime.date
@@ -237,6 +238,38 @@ def test_a_month_with_most_rows_is_split(spark, tmp_path):
     assert len(files) > 2
 
 
+def test_bucketed_tables_join_without_a_shuffle_of_the_sales(spark, frames, small_limits):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
+    tables.load_tables(frames, "catalog:bucketed", as_of="2024-12-31", buckets=4)
+    stored = tables.read_tables(spark, "catalog:bucketed")
+    people, sold = stored["customers"], stored["transactions"]
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    joins = {
+        "totals": churn.customer_activity(people, sold, "2024-12-31"),
+        "dates": check_date_order(
+            sold, "t", "customer_id", "transaction_date", people, "customer_id", "signup_date"
+        ),
+        "months": cohort.cohort_retention(people, sold),
+    }
+    for name, df in joins.items():
+        assert "Bucketed: true" in plan(df), name
+        assert "hashpartitioning(customer_id" not in plan(df), name
+    plain = {name: tables.conform(frames[name], contracts.TABLES[name]) for name in frames}
+    again = cohort.cohort_retention(plain["customers"], plain["transactions"])
+    assert bag(joins["months"]) == bag(again) and bag(again)
+    later = frames["transactions"].withColumn("transaction_id", F.col("transaction_id") + 10)
+    tables.load_tables({"transactions": later}, "catalog:bucketed", as_of="2024-12-31", buckets=4)
+    assert tables.read_table(spark, contracts.TRANSACTIONS, "catalog:bucketed").count() == 4
+
+
+def test_only_catalogs_are_bucketed(frames, tmp_path):
+    with pytest.raises(ValueError):
+        tables.load_tables(frames, str(tmp_path), buckets=4)
+
+
 def test_probe(frames):
     got = dict(bag(tables.probe({**frames, "none": frames["stores"].filter("false")})))
     assert got["stores"] and not got["none"]
