@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from pathlib import Path
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,12 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from oracles import ORACLES  # noqa: E402
 from tillmark.functions import dates, draws, money, text  # noqa: E402
 from tillmark.operators import quality, sampling  # noqa: E402
-from tillmark.operators.lookup import lookup  # noqa: E402
+from tillmark.operators.incremental import incremental_report  # noqa: E402
+from tillmark.operators.lookup import lookup, lookup_skewed  # noqa: E402
 from tillmark.operators.ranking import spend_tiers  # noqa: E402
 from tillmark.operators.trailing import change_percent, previous  # noqa: E402
 from tillmark.plans import churn, cohort, rolling  # noqa: E402
+from tillmark.session import ensure_checkpoint_dir  # noqa: E402
 from tillmark.sources import contracts, retail_views as views, tables  # noqa: E402
 
 try:
@@ -426,6 +429,39 @@ def dq_integrity_suite(spark, folder):
     return quality.integrity_suite(frames, AS_OF, states=["NATION_1", "NATION_2", "NATION_3"])
 
 
+@_register
+def dq_incremental(spark, folder):
+    """The first run of an incremental check; its state lies in the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    state = f"{spark.sparkContext.getCheckpointDir()}/checked-{uuid4().hex}"
+    checks = [
+        *quality.positive("l_quantity"),
+        *quality.not_null("l_shipdate"),
+        quality.RowCheck("high_discount", "l_discount", F.col("l_discount") > 0.09),
+    ]
+    report, _ = incremental_report(
+        spark, f"{folder}/lineitem.parquet", state, "lineitem", checks, 10_000
+    )
+    return report
+
+
+@_register
+def dq_contract_report(spark, folder):
+    """Every rule of the four contracts, over tables conformed to them."""
+    people, shops = views.customers(spark, folder), views.stores(spark, folder)
+    code = text.padded(F.col("customer_id") % 10000, 4)
+    frames = {
+        "customers": people.withColumn("postcode", code),
+        "stores": shops.withColumns(
+            {"suburb": F.col("store_name"), "postcode": text.padded(F.col("store_id") % 10000, 4)}
+        ),
+        "products": views.products(spark, folder),
+        "transactions": views.transactions(spark, folder),
+    }
+    ready = {name: tables.conform(frame, contracts.TABLES[name]) for name, frame in frames.items()}
+    return quality.check_tables(ready, AS_OF)
+
+
 # Sampling ------------------------------------------------------------------
 
 
@@ -449,16 +485,22 @@ def _orders(spark, folder):
     )
 
 
+def _frequencies(df, column):
+    """The values of a short column in order, with their row counts."""
+    return {row[0]: row[1] for row in df.groupBy(column).count().orderBy(column).collect()}
+
+
 @_register
 def weighted_choice(spark, folder):
+    """Values drawn as often as they occur in the tables."""
+    orders, lines = views.scan(spark, folder, "orders"), views.scan(spark, folder, "lineitem")
     choices = {
-        "payment_method": ("payment", contracts.PAYMENT_WEIGHTS),
-        "quantity": ("quantity", contracts.QUANTITY_WEIGHTS),
-        "discount_rate": ("discount", contracts.DISCOUNT_WEIGHTS),
-        "state": ("state", contracts.STATE_WEIGHTS),
+        "payment_method": ("payment", _frequencies(orders, "o_orderpriority")),
+        "line_number": ("line", _frequencies(lines, "l_linenumber")),
+        "return_flag": ("flag", _frequencies(lines, "l_returnflag")),
     }
     # Draws are columns of their own, so that each is computed once, not per branch.
-    drawn = views.scan(spark, folder, "orders").select(
+    drawn = orders.select(
         "o_orderkey", *[_draw(stream, "o_orderkey").alias(stream) for stream, _ in choices.values()]
     )
     return drawn.select(
@@ -517,7 +559,7 @@ def affinity_assign(spark, folder):
         "state",
         views.stores(spark, folder),
         "store_id",
-        contracts.OWN_STATE_SHARE,
+        "0.75",
     ).select("o_orderkey", "state", "store_id")
 
 
@@ -557,34 +599,34 @@ def date_in_range(spark, folder):
 
 @_register
 def price_line(spark, folder):
-    listed = views.products(spark, folder).selectExpr(
-        "product_id AS l_partkey", "unit_price AS listed"
-    )
+    """Order lines at list price, less the line's discount."""
+    listed = views.products(spark, folder).selectExpr("product_id AS l_partkey", "unit_price")
     key = ["l_orderkey", "l_linenumber"]
     lines = views.scan(spark, folder, "lineitem").select(
         *key,
         "l_partkey",
         F.col("l_quantity").cast("int").alias("quantity"),
-        _draw("price", *key).alias("price_draw"),
-        _draw("discount", *key).alias("discount_draw"),
+        F.col("l_discount").cast("decimal(4,2)").alias("discount_rate"),
     )
-    spread = draws.uniform_decimal(F.col("price_draw"), *contracts.PRICE_SPREAD)
-    rates = contracts.DISCOUNT_WEIGHTS
-    rate = draws.weighted_choice(F.col("discount_draw"), list(rates), list(rates.values()))
+    total, discount = F.col("line_total"), F.col("discount_amount")
     return (
         lookup(lines, listed, ["l_partkey"])
-        .select(
-            *key,
-            "l_partkey",
-            "quantity",
-            F.round(F.col("listed") * spread.cast("decimal(8,6)"), 2).alias("unit_price"),
-            rate.cast("decimal(4,2)").alias("discount_rate"),
-        )
+        .select(*key, "l_partkey", "quantity", "unit_price", "discount_rate")
         .withColumn("line_total", money.line_total(F.col("quantity"), F.col("unit_price")))
-        .withColumn(
-            "discount_amount", money.discount_amount(F.col("line_total"), F.col("discount_rate"))
-        )
-        .withColumn("amount", F.col("line_total") - F.col("discount_amount"))
+        .withColumn("discount_amount", money.discount_amount(total, F.col("discount_rate")))
+        .withColumn("amount", total - discount)
+    )
+
+
+@_register
+def sales_by_group(spark, folder):
+    """Sales looked up in the stores, of which one in ten sales goes to the first."""
+    sales = views.store_sales(spark, folder).withColumn(
+        "store_id", F.when(F.col("transaction_id") % 10 == 0, 1).otherwise(F.col("store_id"))
+    )
+    met = lookup_skewed(sales, views.stores(spark, folder), ["store_id"], share=0.05)
+    return met.groupBy("state", "parent_group").agg(
+        F.count("*").alias("sales"), F.sum("amount").alias("revenue")
     )
 
 
@@ -599,33 +641,14 @@ def next_keys(spark, folder):
 
 @_register
 def contact_details(spark, folder):
-    people = views.customers(spark, folder).join(
-        views.scan(spark, folder, "customer").selectExpr(
-            "c_custkey AS customer_id", "c_nationkey % 4 AS place"
-        ),
-        "customer_id",
-    )
-    streams = ("area", "middle", "end", "range", "code")
-    drawn = people.withColumns({name: _draw(name, "customer_id") for name in streams})
-    postcode = F.lit(None)
-    for place, ranges in enumerate(contracts.POSTCODE_RANGES.values()):
-        picked = draws.pick_in_ranges(F.col("range"), F.col("code"), ranges)
-        postcode = F.when(F.col("place") == place, picked).otherwise(postcode)
-    return drawn.select(
+    people = views.customers(spark, folder)
+    return people.select(
         "customer_id",
         text.full_name(F.col("first_name"), F.col("last_name")).alias("customer_name"),
-        text.email_address(
-            F.col("first_name"), F.col("last_name"), F.col("customer_id"), "example.com.au"
-        ).alias("email"),
-        text.mobile_number(
-            draws.uniform_int(F.col("area"), 0, 99),
-            draws.uniform_int(F.col("middle"), 0, 999),
-            draws.uniform_int(F.col("end"), 0, 999),
-        ).alias("phone"),
-        text.padded(postcode, 4).alias("postcode"),
-        text.region_type(
-            F.col("last_name"), draws.happens(_draw("metro", "customer_id"), "0.75"), "7"
-        ).alias("region_type"),
+        text.initials(F.col("first_name"), F.col("last_name")).alias("initials"),
+        text.after(F.col("email"), "@").alias("mail_host"),
+        text.padded(F.col("customer_id") % 10000, 4).alias("postcode"),
+        dates.from_iso(dates.iso_text(F.col("signup_date"))).alias("signup_date"),
     )
 
 

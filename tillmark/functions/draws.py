@@ -28,17 +28,6 @@ def happens(draw_column: Column, probability: float | str | Decimal) -> Column:
     return draw_column < ceil(Fraction(str(probability)) * DRAW_SPACE)
 
 
-def uniform_int(draw_column: Column, low: int, high: int) -> Column:
-    """An integer from ``low`` to ``high``, both included."""
-    return low + draw_column % (high - low + 1)
-
-
-def uniform_decimal(draw_column: Column, low: str, high: str) -> Column:
-    """A six-place decimal from ``low`` to ``high``, both included."""
-    ends = [int(Decimal(end).scaleb(6)) for end in (low, high)]
-    return uniform_int(draw_column, *ends).cast("decimal(18,0)") * F.lit(Decimal("0.000001"))
-
-
 def thresholds(weights: Sequence[float | str | int | Decimal]) -> list[int]:
     """The smallest draw beyond each item's share, in item order."""
     shares = [Fraction(str(weight)) for weight in weights]
@@ -59,15 +48,3 @@ def weighted_choice(draw_column: Column, items: Sequence, weights: Sequence) ->
         hit = draw_column < bound
         chosen = F.when(hit, F.lit(item)) if chosen is None else chosen.when(hit, F.lit(item))
     return chosen
-
-
-def pick_in_ranges(
-    range_draw: Column, value_draw: Column, ranges: Sequence[tuple[int, int]]
-) -> Column:
-    """First one of the integer ranges, each equally likely, then a value inside it."""
-    picked = None
-    for index, (low, high) in enumerate(ranges):
-        hit = (range_draw % len(ranges)) == index
-        value = uniform_int(value_draw, low, high)
-        picked = F.when(hit, value) if picked is None else picked.when(hit, value)
-    return picked
