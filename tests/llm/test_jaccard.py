@@ -103,7 +103,30 @@ def test_one_row_per_group(spark):
     ids = [r["doc_id"] for r in kept.collect()]
     wanted = [i for i, (_, root) in plain(corpus()).items() if i == root]
     assert sorted(i for i in ids if i is not None) == sorted([*wanted, 500])
-    assert ids.count(None) == 2
+    assert ids.count(None) == 1  # "one" stands under ids too
+
+
+def test_rows_without_ids_link_like_others(spark):
+    text = samples.prose(3, 1, words=200)[0] + " and so on to the end of it"
+    near = [text, samples.edited(text, 1, 1), samples.edited(text, 1, 2)]
+    lone = samples.prose(4, 1, words=200)[0]
+    rows = [(None, near[0]), (7, near[1]), (None, near[2]), (None, lone), (None, lone), (None, None)]
+    got = jaccard.link_groups(samples.documents(spark, rows)).collect()
+    ids = sorted(((r["doc_id"], r["component_id"], r["n_shingles"] > 0) for r in got), key=repr)
+    assert ids == sorted(
+        [(None, 7, True), (7, 7, True), (None, 7, True), (None, None, True), (None, None, True),
+         (None, None, False)], key=repr,
+    )
+    kept = jaccard.one_per_group(samples.documents(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept if r["doc_id"]) == [(7, near[1])]
+    assert sorted(map(str, [r["text"] for r in kept if not r["doc_id"]])) == sorted(["None", lone])
+
+
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_rounds_change_no_component(spark, rounds):
+    rows = corpus()
+    got = jaccard.link_groups(samples.documents(spark, rows), rounds=rounds).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain(rows)
 
 
 def test_empty(spark):

@@ -41,23 +41,35 @@ def without_ids(docs: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
 
     Rows that miss the table of dropped keys stay without a join; only the others are shuffled.
     """
-    name, *others = dropped.columns
+    missed, hit_rows, own, same = _split(docs, key, dropped)
+    return missed.unionByName(hit_rows.join(own, same, "left_anti"))
+
+
+def with_ids(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose key is in the first column of ``wanted``, as in ``without_ids``."""
+    _, hit_rows, own, same = _split(docs, key, wanted)
+    return hit_rows.join(own, same, "left_semi")
+
+
+def _split(docs: DataFrame, key: str, ids: DataFrame):
+    """Rows that miss the table of the ids, rows that hit it, the ids, and when a row has one."""
+    name, *others = ids.columns
     table = docs.sparkSession.sparkContext.broadcast(
-        bit_table(dropped.filter(F.col(name).isNotNull()), name)
+        bit_table(ids.filter(F.col(name).isNotNull()), name)
     )
 
     def part_of(uncertain: bool) -> DataFrame:
         def convert(batches):
             for batch in batches:
                 keys = batch.column(key)
-                ids = np.asarray(keys.fill_null(0))
-                doubt = hit(table.value, ids) | np.asarray(keys.is_null())
+                values = np.asarray(keys.fill_null(0))
+                doubt = hit(table.value, values) | np.asarray(keys.is_null())
                 yield batch.filter(pa.array(doubt == uncertain))
 
         return docs.mapInArrow(convert, docs.schema)
 
-    own = dropped.distinct().withColumnsRenamed({c: f"_dropped_{c}" for c in dropped.columns})
-    same = F.col(key).eqNullSafe(F.col(f"_dropped_{name}"))
+    own = ids.distinct().withColumnsRenamed({c: f"_own_{c}" for c in ids.columns})
+    same = F.col(key).eqNullSafe(F.col(f"_own_{name}"))
     for c in others:
-        same = same & F.col(c).eqNullSafe(F.col(f"_dropped_{c}"))
-    return part_of(False).unionByName(part_of(True).join(own, same, "left_anti"))
+        same = same & F.col(c).eqNullSafe(F.col(f"_own_{c}"))
+    return part_of(False), part_of(True), own, same

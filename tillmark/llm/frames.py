@@ -27,6 +27,14 @@ def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     )
 
 
+def free_name(docs: DataFrame, wanted: str) -> str:
+    """A column name that the frame does not have, whatever its case."""
+    taken = {name.lower() for name in docs.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def bounded(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
     """Slices of a batch with a bounded amount of text (or one row)."""
     lengths = np.asarray(pyarrow.compute.binary_length(batch.column(text)).fill_null(0))

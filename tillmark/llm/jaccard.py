@@ -19,15 +19,20 @@ Work is kept linear in large groups of copies:
 2. Each set offers its few smallest keys. Sets that share one are verified against the smallest
    id offering it, one pair per set: this already connects most near copies.
 3. Each set offers all its keys, with the group it is in by now. Only keys seen in two groups
-   matter; on those, sets of different groups are compared by bit parity sketches (their Hamming
-   distance too is a lower bound), in blocks of bounded size, and survivors are verified.
+   matter. In each of a few rounds every such key names one of its sets, and each set is verified
+   against some of the sets its keys name in other groups; groups that meet become one, and keys
+   left with one group are dropped.
+4. On the keys that remain, sets of different groups are compared by bit parity sketches (their
+   Hamming distance too is a lower bound), in blocks of bounded size, and survivors are verified.
 
 Verification intersects whole shingle sets. Links already implied by connection are not verified;
 every pair of sets that is linked ends in one component.
 
 Edge cases: null texts and texts without words have no shingles and are linked with nothing; a
-text of fewer words than a shingle is one shingle; repeated rows join the same class; an empty
-table gives an empty result; columns other than key and text are left behind.
+text of fewer words than a shingle is one shingle; repeated rows join the same class; rows without
+an id take part under a number from their text, above all ids (ids reach up to 2^62); texts of any
+length are taken whole, one at a time; an empty table gives an empty result; columns other than key
+and text are left behind.
 """
 
 from __future__ import annotations
@@ -37,12 +42,12 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmark.llm import words
-from tillmark.llm.bitsets import bit_table, hit, without_ids
-from tillmark.llm.frames import bounded, texts, whole_groups
+from tillmark.llm.bitsets import bit_table, hit, with_ids, without_ids
+from tillmark.llm.frames import bounded, free_name, texts, whole_groups
 from tillmark.llm.graph import components
 from tillmark.session import cut_lineage
 
@@ -51,6 +56,9 @@ PERCENT = 80
 OFFERED = 8
 BAND_RATIO = 1.7
 BLOCK = 2000
+ROUNDS = 2
+# Ids from here on are kept for rows that have none.
+UNNAMED = 1 << 62
 
 
 # Shingle sets ------------------------------------------------------------------------------
@@ -201,41 +209,34 @@ def features(docs: DataFrame) -> DataFrame:
     )
 
 
-def all_keys(
-    docs: DataFrame, carried: str, table: bytes | None = None, skipped: bytes | None = None
-) -> DataFrame:
-    """(key, carried, band) of every set; ``docs`` has doc_id, text and the long column
-    ``carried``. With bit tables: only keys that hit ``table``, and no ids that hit ``skipped``."""
-    shared = docs.sparkSession.sparkContext.broadcast((table, skipped))
+def all_keys(docs: DataFrame, carried: str, skipped: bytes | None = None) -> DataFrame:
+    """(key, carried) of every set; ``docs`` has doc_id, text and the long column ``carried``. With
+    a bit table: no ids that hit ``skipped``."""
+    shared = docs.sparkSession.sparkContext.broadcast(skipped)
 
     def convert(batches):
-        known, special = shared.value
+        special = shared.value
         for batch in batches:
             for part in bounded(batch):
                 if special is not None:
                     part = part.filter(pa.array(~hit(special, np.asarray(part.column("doc_id")))))
                 sets = shingle_sets(part.column("text").cast(pa.binary()).to_pylist())
-                keys, owners, numbers = [], [], []
+                keys, owners = [], []
                 for i, own in enumerate(sets):
                     for number in bands_of(len(own)) if len(own) else ():
-                        found = keys_of(own, number).view(np.int64)
-                        if known is not None:
-                            found = found[hit(known, found)]
-                        keys.append(found)
-                        owners.append(np.full(len(found), i))
-                        numbers.append(np.full(len(found), number, np.int32))
+                        keys.append(keys_of(own, number).view(np.int64))
+                        owners.append(np.full(len(keys[-1]), i))
                 if not keys:
                     continue
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(keys)),
                         part.column(carried).take(pa.array(np.concatenate(owners))),
-                        pa.array(np.concatenate(numbers)),
                     ],
-                    names=["key", carried, "band"],
+                    names=["key", carried],
                 )
 
-    return docs.mapInArrow(convert, f"key long, {carried} long, band int")
+    return docs.mapInArrow(convert, f"key long, {carried} long")
 
 
 def _hitting(docs: DataFrame, table: bytes, make, schema: str) -> DataFrame:
@@ -267,17 +268,31 @@ def _full_sets(part: pa.RecordBatch):
     )
 
 
-def _sketches(part: pa.RecordBatch):
-    sets = shingle_sets(part.column("text").cast(pa.binary()).to_pylist())
-    rows = [
-        (doc, number, len(s), bit_sketch(s, number))
-        for doc, s in zip(part.column("doc_id").to_pylist(), sets)
-        for number in (bands_of(len(s)) if len(s) else ())
-    ]
-    columns = list(zip(*rows)) if rows else [()] * 4
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, types)], names=["id", "band", "size", "sketch"]
+def _members(docs: DataFrame, table: bytes) -> DataFrame:
+    """(id, band, size, sketch, keys) of the sets that have keys in the table, from one pass."""
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+
+    def convert(batches):
+        known = shared.value
+        for batch in batches:
+            for part in bounded(batch):
+                sets = shingle_sets(part.column("text").cast(pa.binary()).to_pylist())
+                rows = []
+                for doc, own in zip(part.column("doc_id").to_pylist(), sets):
+                    for number in bands_of(len(own)) if len(own) else ():
+                        keys = keys_of(own, number).view(np.int64)
+                        keys = keys[hit(known, keys)]
+                        if len(keys):
+                            rows.append((doc, number, len(own), bit_sketch(own, number), keys))
+                if rows:
+                    types = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                        names=["id", "band", "size", "sketch", "keys"],
+                    )
+
+    return docs.mapInArrow(
+        convert, "id long, band int, size long, sketch binary, keys array<long>"
     )
 
 
@@ -341,38 +356,72 @@ def _near(percent: int):
     return compare
 
 
-def _candidates(docs: DataFrame, placed: DataFrame, percent: int, block: int) -> DataFrame:
-    """Pairs of sets in different groups that share a key and pass the sketches."""
+def _shared_keys(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """The keys that sets of different groups have."""
     # A set that leads its group is its own group, known without a join; the others (copies, and
     # members of groups) are looked up. A bit table tells most of them apart before any shuffle.
     others = docs.select("doc_id").join(
         placed.filter(F.col("grouped") == F.col("doc_id")), "doc_id", "left_anti"
     )
     special = bit_table(others, "doc_id")
-    leading = all_keys(docs.withColumn("grouped", F.col("doc_id")), "grouped", skipped=special)
+    leading = all_keys(docs.withColumn("grouped", F.col("doc_id")), "grouped", special)
     passed = _hitting(docs, special, lambda part: [part], "doc_id long, text string")
     looked_up = all_keys(passed.join(placed, "doc_id"), "grouped")
-    split = cut_lineage(
+    return cut_lineage(
         leading.unionByName(looked_up)
         .groupBy("key")
         .agg(F.min("grouped").alias("one"), F.max("grouped").alias("other"))
         .filter("one <> other")
         .select("key")
     )
-    # Only sets with such a key are gathered; a bit table keeps the other keys out of the shuffle.
-    members = cut_lineage(
-        all_keys(docs, "doc_id", bit_table(split, "key"))
-        .join(split, "key")
-        .join(placed, "doc_id")
-        .withColumnRenamed("doc_id", "id")
+
+
+def _proposed(members: DataFrame, number: int, most: int = 4) -> DataFrame:
+    """Pairs (a, b) that may join groups: each set with up to ``most`` sets of other groups.
+
+    Every key names one of its sets, another one in each round; a set is paired with the sets that
+    most of its keys name. The rows are as many as the keys of the sets, whatever their groups.
+    """
+    order = F.struct(F.xxhash64("id", "key", F.lit(number)), "id", "grouped")
+    named = members.groupBy("key").agg(F.min(order).alias("named"))
+    own = (
+        members.join(named, "key")
+        .filter(F.col("grouped") != F.col("named.grouped"))
+        .groupBy("id", F.col("named.id").alias("other"))
+        .agg(F.count("*").alias("keys"))
+    )
+    best = Window.partitionBy("id").orderBy(F.desc("keys"), "other")
+    return (
+        own.withColumn("place", F.row_number().over(best))
+        .filter(F.col("place") <= most)
+        .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+        .distinct()
+    )
+
+
+def _placed(ids: DataFrame, links: DataFrame) -> DataFrame:
+    """(doc_id, grouped): the smallest id that links lead to, for every id."""
+    return cut_lineage(
+        ids.join(components(links), "id", "left").select(
+            F.col("id").alias("doc_id"), F.coalesce("root", "id").alias("grouped")
+        )
     )
-    members = members.join(members.groupBy("key").agg(F.count("*").alias("n")), "key")
-    sketches = _wanted(
-        docs,
-        members.select("id").distinct(),
-        _sketches,
-        "id long, band int, size long, sketch binary",
+
+
+def _grouped(keys: DataFrame, placed: DataFrame) -> DataFrame:
+    """(id, band, key, grouped) of the keys that still lie in several groups. On disk."""
+    held = keys.join(placed.withColumnRenamed("doc_id", "id"), "id")
+    split = (
+        held.groupBy("key")
+        .agg(F.min("grouped").alias("one"), F.max("grouped").alias("other"), F.count("*").alias("n"))
+        .filter("one <> other")
+        .select("key", "n")
     )
+    return cut_lineage(held.join(split, "key"))
+
+
+def _candidates(members: DataFrame, sketches: DataFrame, percent: int, block: int) -> DataFrame:
+    """Pairs of sets in different groups that share a key and pass the sketches."""
     # A key with many sets is compared block by block: a set meets every block of its key once.
     blocks = F.expr(f"cast(ceil(n / {block}) as int)")
     dealt = (
@@ -398,13 +447,34 @@ def link_groups(
     text: str = "text",
     percent: int = PERCENT,
     block: int = BLOCK,
+    rounds: int = ROUNDS,
 ) -> DataFrame:
     """doc_id, n_shingles, class_id, component_id of every row.
 
     ``class_id`` is the smallest id with the same set, ``component_id`` the smallest id reachable
-    by links. Runs jobs while the frame is built.
+    by links; both are null where only rows without an id are reachable. Runs jobs while the frame
+    is built.
     """
-    own = texts(docs, key, text)
+    linked = _linked(_named(docs, key, text), percent, block, rounds)
+    ids = ["doc_id", "class_id", "component_id"]
+    return linked.withColumns(
+        {name: F.when(F.col(name) < UNNAMED, F.col(name)) for name in ids}
+    )
+
+
+def _named(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """doc_id and text; a row without an id gets one above all others, from its text."""
+    return texts(docs, key, text).withColumn("doc_id", _number("doc_id", "text"))
+
+
+def _number(key: str, text: str) -> Column:
+    content = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    own = F.xxhash64(content).bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(UNNAMED)
+    return F.coalesce(F.col(key).cast("long"), own)
+
+
+def _linked(own: DataFrame, percent: int, block: int, rounds: int) -> DataFrame:
+    """``link_groups`` of rows that all have ids."""
     known = cut_lineage(features(own))
     classes = cut_lineage(
         known.filter("n_shingles > 0")
@@ -421,17 +491,23 @@ def link_groups(
         .groupBy(F.col("id").alias("b"))
         .agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
     )
-    named = own.filter("doc_id is not null")
-    first = cut_lineage(verified(named, cut_lineage(stars), percent))
-    grouped = components(first)
-    placed = cut_lineage(
-        classes.filter("id is not null")
-        .select("id")
-        .join(grouped, "id", "left")
-        .select(F.col("id").alias("doc_id"), F.coalesce("root", "id").alias("grouped"))
+    links = cut_lineage(verified(own, cut_lineage(stars), percent))
+    ids = classes.select("id")
+    placed = _placed(ids, links)
+    table = bit_table(_shared_keys(own, placed), "key")
+    held = cut_lineage(
+        _members(own, table).join(ids, "id", "left_semi")
     )
-    second = verified(named, cut_lineage(_candidates(named, placed, percent, block)), percent)
-    joined = components(first.unionByName(second))
+    keys = held.select("id", "band", F.explode("keys").alias("key"))
+    members = _grouped(keys, placed)
+    for number in range(rounds):
+        pairs = cut_lineage(_proposed(members, number))
+        links = cut_lineage(links.unionByName(verified(own, pairs, percent)))
+        placed = _placed(ids, links)
+        members = _grouped(members.select("id", "band", "key"), placed)
+    sketches = held.select("id", "band", "size", "sketch")
+    second = verified(own, cut_lineage(_candidates(members, sketches, percent, block)), percent)
+    joined = components(links.unionByName(second))
     heads = classes.join(joined, "id", "left").select(
         "set_hash", F.col("id").alias("class_id"), F.coalesce("root", "id").alias("component_id")
     )
@@ -446,13 +522,18 @@ def link_groups(
 
 
 def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of the smallest id of each component, one row per id. Rows with a null id
-    cannot be told apart, so all of them stay if one of them is a group of its own."""
-    linked = link_groups(docs, key, text)
-    leads = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    """The rows of the smallest id of each component, with their columns; of rows with the same id
+    and text one. Rows without an id come after all others."""
+    number = free_name(docs, "number")
+    named = _named(docs, key, text)
+    linked = _linked(named, PERCENT, BLOCK, ROUNDS)
+    leads = F.col("doc_id") == F.col("component_id")
     by_id = cut_lineage(
         linked.groupBy("doc_id").agg(F.max(leads).alias("_kept"), F.count("*").alias("_n"))
     )
-    own = without_ids(docs, key, by_id.filter("not _kept").select("doc_id"))
-    repeated = by_id.filter("_kept and _n > 1 and doc_id is not null").limit(1).count()
-    return own.dropDuplicates([key, text]) if repeated else own
+    marked = docs.withColumn(number, _number(key, text))
+    gone = by_id.filter("not _kept").select(F.col("doc_id").alias(number))
+    again = by_id.filter("_kept and _n > 1").select(F.col("doc_id").alias(number))
+    single = without_ids(marked, number, gone.unionByName(again))
+    several = with_ids(marked, number, again).dropDuplicates([number, text])
+    return single.unionByName(several).drop(number)
