@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pytest
 import samples
 
 from tillmark.llm import repeats
+from tillmark.llm.ordered import with_again
 
 
 def plain(texts: list[str], length: int) -> list[bytes]:
@@ -90,3 +93,26 @@ def test_long_texts_choose_the_same_anchors():
     shift = len(data) - 5000
     inner = [(k, p + shift) for k, p in zip(tail[0].tolist(), tail[1].tolist())][2:]
     assert set(inner) <= set(zip(keys.tolist(), place.tolist()))
+
+
+def test_passage_with_thousands_of_copies(spark):
+    """More places of one anchor than a group may hold, against plain marking."""
+    passage = " ".join(samples.prose(9, 3, words=40))[:260]
+    texts = [hashlib.sha256(b"%d" % i).hexdigest() + passage + hashlib.md5(b"%d" % i).hexdigest()
+             for i in range(4500)]
+    texts += ["b" * 20_000, passage, passage * 3]
+    got = result(samples.documents(spark, list(enumerate(texts))))
+    wanted = plain(texts, 100)
+    assert [bytes(got[i]["kept"]) for i in range(len(texts))] == wanted
+
+
+def test_rows_that_repeat_an_earlier_one(spark, partitions):
+    rows = [(i % 3 if i % 2 else 7, bytes([i % 2]), i) for i in range(400)]
+    frame = spark.createDataFrame(rows, "a long, b binary, place long").repartition(5)
+    got = {r["place"]: r["again"] for r in with_again(frame, ["a", "b"], ["place"]).collect()}
+    seen, wanted = set(), {}
+    for a, b, place in rows:
+        wanted[place] = (a, b) in seen
+        seen.add((a, b))
+    assert got == wanted
+    assert with_again(frame.filter("false"), ["a", "b"], ["place"]).collect() == []

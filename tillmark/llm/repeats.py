@@ -19,8 +19,10 @@ gram among those places where the gram lies inside the string (the last of equal
 3. Around each repeated anchor, the bytes of its strings are cut out. Strings with the same anchor
    gram go to one group, where suffixes are sorted, common prefixes of neighbours measured and
    previous and next smaller positions found. Groups are bounded: an anchor gram with more
-   than ``group_limit`` places goes the other way, string by string, where only the first place
-   of each string is gathered (again summed per task first).
+   than ``group_limit`` places goes the other way: its cut-outs, then the strings of the first
+   of equal ones, are put in one order by their bytes and places over all tasks, where whatever
+   starts earlier stands next to what repeats it. That is the suffix order cut at ``length``, and
+   having such a neighbour is having an LPF of ``length``; the two ways find the same strings.
 4. Spans are merged per text and cut from it.
 
 Edge cases: null and empty texts stay empty; texts shorter than ``length`` keep every byte; a text
@@ -32,6 +34,7 @@ an empty result; other columns are left behind.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,7 @@ from pyspark.sql import functions as F
 from tillmark.llm import words
 from tillmark.llm.bitsets import SIZE, bit_table, hit
 from tillmark.llm.frames import bounded, texts, whole_groups
+from tillmark.llm.ordered import with_again
 from tillmark.operators.ordering import with_row_number
 from tillmark.session import cut_lineage
 
@@ -290,19 +294,22 @@ def _single_strings(length: int):
     def convert(batches):
         for batch in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
             docs, begin = np.asarray(batch.column("doc_id")), np.asarray(batch.column("begin"))
-            keys, owner, starts = [], [], []
-            for doc, at, data in zip(docs, begin, batch.column("data").to_pylist()):
-                for i in range(len(data) - length + 1):
-                    keys.append(hashlib.blake2b(data[i : i + length], digest_size=16).digest())
-                    owner.append(doc)
-                    starts.append(at + i)
+            found = [np.frombuffer(data, np.uint8) for data in batch.column("data").to_pylist()]
+            if not found:
+                continue
+            counts = np.array([len(data) - length + 1 for data in found])
+            begins = np.cumsum(counts) - counts
+            offset = np.arange(counts.sum()) - np.repeat(begins, counts)
+            low = np.concatenate([gram_hashes(data, length) for data in found])
+            high = np.concatenate([gram_hashes(data ^ np.uint8(0xA5), length) for data in found])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(keys, pa.binary()),
-                    pa.array(owner, pa.int64()),
-                    pa.array(starts, pa.int64()),
+                    pa.array(low.view(np.int64)),
+                    pa.array(high.view(np.int64)),
+                    pa.array(np.repeat(docs, counts)),
+                    pa.array(np.repeat(begin, counts) + offset),
                 ],
-                names=["string", "doc_id", "start"],
+                names=["low", "high", "doc_id", "start"],
             )
 
     return convert
@@ -453,31 +460,38 @@ def _spans(docs: DataFrame, ids: DataFrame, copies: DataFrame, options: dict) ->
     )
     if not repeated.filter("many").limit(1).count():
         return few
-    # Equal cut-outs repeat the first one throughout; only first ones are taken apart.
-    place = F.struct("doc_id", "begin")
-    hot = cut_lineage(pieces.filter("many").drop("many"))
-    lead = hot.groupBy("anchor", "data").agg(F.min(place).alias("lead"))
-    led = hot.join(lead, ["anchor", "data"]).select(
-        "doc_id", "begin", "data", (place == F.col("lead")).alias("first")
+    # Equal cut-outs repeat the first one throughout; only first ones are taken apart. In the order
+    # of their bytes and places, whatever repeats stands behind an equal one.
+    hot = cut_lineage(
+        pieces.filter("many").select(
+            "anchor", F.md5("data").alias("digest"), "doc_id", "begin", "data"
+        )
     )
-    strings = cut_lineage(
-        led.filter("first")
+    led = with_again(hot, ["anchor", "digest"], ["doc_id", "begin"])
+    strings = (
+        led.filter("not again")
         .select("doc_id", "begin", "data")
-        .mapInArrow(_single_strings(length), "string binary, doc_id long, start long")
+        .mapInArrow(_single_strings(length), "low long, high long, doc_id long, start long")
     )
-    start = F.struct("doc_id", "start")
-    earliest = strings.groupBy("string").agg(F.min(start).alias("lead"), F.count("*").alias("n"))
-    later = strings.join(earliest.filter("n > 1"), "string").filter(start != F.col("lead"))
-    return (
-        few.unionByName(later.select("doc_id", "start", (F.col("start") + length).alias("end")))
-        .unionByName(
-            led.filter("not first").select(
-                "doc_id",
-                F.col("begin").alias("start"),
-                (F.col("begin") + F.octet_length("data")).alias("end"),
-            )
-        )
+    later = with_again(strings, ["low", "high"], ["doc_id", "start"]).filter("again")
+    repeats = [
+        later.select("doc_id", "start", (F.col("start") + length).alias("end")),
+        led.filter("again").select(
+            "doc_id",
+            F.col("begin").alias("start"),
+            (F.col("begin") + F.octet_length("data")).alias("end"),
+        ),
+    ]
+    joined = reduce(DataFrame.unionByName, repeats).mapInArrow(
+        _met, "doc_id long, start long, end long"
     )
+    return few.unionByName(joined)
+
+
+def _met(batches):
+    """Spans, with those of a batch joined that meet in one text."""
+    for batch in batches:
+        yield _runs(*(np.asarray(batch.column(name)) for name in ("doc_id", "start", "end")))
 
 
 def without_repeats(
