@@ -188,3 +188,31 @@ def test_sample_has_distinct_texts_and_late_windows(spark):
     late = "number 12 " * 600 + "mail anna@post.example"
     drawn = [pair for seed in range(60) for pair in pii._labelled(late, np.random.default_rng(seed))]
     assert len(drawn) == 60 * 24 and any(tags.any() for _, tags in drawn)
+
+
+@pytest.mark.parametrize("length", [20, 48, 60, 95, 96, 150, 400])
+def test_spans_cut_by_windows_are_joined(length):
+    """A datum at every offset, tagged rightly in every window, is found once and whole."""
+    kind = 2
+    for begin in (*range(0, 100), 250):
+        end, size = begin + length, begin + length + 37
+        tags = np.zeros(size + 2 * pii.SPAN, dtype=np.int64)
+        tags[pii.SPAN + begin : pii.SPAN + end] = 2 + 2 * kind
+        tags[pii.SPAN + begin] = 1 + 2 * kind
+        pieces = []
+        for cell in range(begin // pii.STRIDE - 1, end // pii.STRIDE + 1):
+            start = cell * pii.STRIDE
+            own = tags[pii.SPAN + start : 2 * pii.SPAN + start]
+            pieces += pii._window_spans(own, np.ones(pii.SPAN), start, size)
+        found = pii.reconcile(pii.whole_spans(pieces))
+        assert found == [(begin, end, kind)], (begin, length, found)
+
+
+def test_unfinished_pieces_are_no_spans():
+    ends = [(0, 48, 1, 1.0, True, False), (60, 96, 1, 1.0, False, True), (60, 96, 0, 1.0, True, False)]
+    assert pii.whole_spans(ends) == []
+
+
+def test_single_precision_scores(tagger):
+    codes = np.random.default_rng(3).integers(0, pii.LETTERS, (7, pii.SPAN))
+    assert np.allclose(tagger.scores(codes).transpose(1, 0, 2), tagger.emissions(codes), atol=1e-3)
