@@ -41,6 +41,20 @@ def test_brute_force(spark, block):
     assert {tuple(r) for r in got.collect()} == plain(vectors, wanted, 5)
 
 
+def test_ids_beyond_doubles(spark):
+    big = 2**53
+    df = frame(spark, [(0, [0.5]), (big, [1.0]), (big + 1, [1.0]), (big + 1, [1.0])])
+    got = topk.top_k(df, df.filter("vec_id = 0")).collect()
+    assert [(r["rank"], r["vec_id"]) for r in got] == [(1, big), (2, big + 1)]
+
+
+def test_scores_beyond_a_long(spark):
+    rows = [(1, [1e18]), (2, [1e18]), (3, [-1e18])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(df, df.filter("vec_id = 1")).collect()
+    assert [(r["vec_id"], r["score"]) for r in got] == [(2, 2**63 - 1), (3, -(2**63))]
+
+
 def test_scores_beyond_doubles():
     query = np.array([[2.0**40, 1.0]])
     vectors = np.array([[2.0**40, 1.0], [2.0**40, 3.0], [2.0**40, 2.0]])

@@ -13,7 +13,8 @@ query block, queries once per vector block.
 Edge cases: vectors that are null or hold a null or non-finite component take no part; vectors
 are compared with vectors of their own length only; fully equal rows (id and vector) count once;
 an id with several vectors has a list for each; equal scores go to the smaller id; an empty table
-gives an empty result. Scores beyond 2^53 are summed in whole numbers, not doubles.
+gives an empty result; other columns, whatever their names, are left behind. Scores beyond 2^53 are
+summed in whole numbers, not doubles; those beyond a long are given, and ranked, as the nearest long.
 """
 
 from __future__ import annotations
@@ -91,6 +92,10 @@ def _rows_of(column: pa.ChunkedArray, rows: int, width: int) -> np.ndarray:
     return np.asarray(flat.flatten(), dtype=np.float64).reshape(rows, width)
 
 
+def _as_long(score) -> int:
+    return max(-(1 << 63), min((1 << 63) - 1, int(score)))
+
+
 def _search_group(k: int, scale: float):
     def search(group: pa.Table) -> pa.Table:
         wanted = np.asarray(group["is_query"]).astype(bool)
@@ -98,9 +103,6 @@ def _search_group(k: int, scale: float):
         width = group["width"][0].as_py()
         vectors = np.floor(_rows_of(group["vector"], len(ids), width) * scale)
         data, data_ids = vectors[~wanted], ids[~wanted]
-        if len(np.unique(data_ids)) < len(data_ids):
-            both = np.unique(np.column_stack([data_ids.astype(float), data]), axis=0, return_index=True)
-            data, data_ids = data[both[1]], data_ids[both[1]]
         places = np.flatnonzero(wanted)
         hits = search_block(vectors[places], ids[places], data, data_ids, k)
         counts = [len(h[1]) for h in hits]
@@ -109,7 +111,7 @@ def _search_group(k: int, scale: float):
                 "query_id": np.repeat(ids[places], counts),
                 "query_hash": np.repeat(np.asarray(group["hash"])[places], counts),
                 "vec_id": np.concatenate([h[1] for h in hits] or [np.zeros(0, np.int64)]),
-                "score": pa.array([int(s) for h in hits for s in h[2]], pa.int64()),
+                "score": pa.array([_as_long(s) for h in hits for s in h[2]], pa.int64()),
             }
         )
 
@@ -147,7 +149,7 @@ def top_k(
             {"width": F.size("vector"), "hash": F.xxhash64("vector")}
         )
 
-    data, asked = usable(vectors), usable(queries).dropDuplicates(["vec_id", "hash"])
+    data, asked = (usable(df).dropDuplicates(["vec_id", "hash"]) for df in (vectors, queries))
     blocks = max(1, -(-data.count() // block_rows))
     query_blocks = max(1, -(-asked.count() // query_rows))
     block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks))
