@@ -275,14 +275,12 @@ def learn(
         is_held_out(F.col(key)).alias("held_out"),
     ).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~F.col("held_out"))
     known = known.select("lang", "text", F.xxhash64("text").alias("hash"))
-    first = Window.partitionBy("lang").orderBy("hash")
-    chosen = (
-        known.select("lang", "hash")
-        .distinct()
-        .withColumn("number", F.row_number().over(first))
-        .filter(F.col("number") <= rows)
-        .drop("number")
-    )
+    chosen = known.select("lang", "hash").distinct().withColumn("part", F.shiftright("hash", 56))
+    # First in 256 parts of each language, so that one with most rows is not ranked in one task.
+    for group in (["lang", "part"], ["lang"]):
+        first = Window.partitionBy(*group).orderBy("hash")
+        chosen = chosen.withColumn("number", F.row_number().over(first))
+        chosen = chosen.filter(F.col("number") <= rows).drop("number")
 
     def cut(batches):
         for batch in batches:
