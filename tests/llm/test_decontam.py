@@ -82,6 +82,17 @@ def test_null_and_repeated_ids(spark):
     assert kept == {rows[1], rows[2], rows[4]}
 
 
+def test_other_names_for_id_and_text(spark):
+    docs, items = tables()
+    frame = samples.documents(spark, docs)
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    renamed = frame.withColumnsRenamed({"doc_id": "page", "text": "body"})
+    kept = decontam.without_contaminated(renamed, asked, key="page", text="body")
+    wanted = decontam.without_contaminated(frame, asked)
+    assert kept.columns == renamed.columns
+    assert sorted(r["page"] for r in kept.collect()) == sorted(r["doc_id"] for r in wanted.collect())
+
+
 def test_empty_tables(spark):
     docs, items = tables()
     none = spark.createDataFrame([], "item_id long, text string")

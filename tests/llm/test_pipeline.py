@@ -77,3 +77,14 @@ def test_empty_documents(spark, folder, tmp_path):
     docs = spark.read.parquet(f"{folder[0]}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, folder[0]).count() == 0
+
+
+def test_columns_of_any_name(spark, folder):
+    names = ["masked", "toxicity", "text_row", "number", "_toxicity", "_masked", "_text_row", "_kept"]
+    docs = spark.read.parquet(f"{folder[0]}/documents.parquet").selectExpr(
+        "*", *[f"doc_id AS {name}" for name in names]
+    )
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, folder[0])
+        assert kept.columns == docs.columns
+        assert kept.filter(" or ".join(f"{name} <> doc_id" for name in names)).isEmpty()

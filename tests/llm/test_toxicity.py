@@ -83,3 +83,29 @@ def test_without_both_classes(spark, frames):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     scores = toxicity.score(docs.limit(5), toxicity.learn(docs, none)).collect()
     assert all(r["score"] < 0.01 for r in scores)
+
+
+def plain_logit(text, model):
+    """The largest window of a text, word by word."""
+    own = [w for w in text.encode().translate(toxicity.words.SPACES).split(b" ") if w]
+    values = []
+    for word in own:
+        pairs = toxicity._subwords(toxicity.words.split([word], toxicity.words.SPACES))
+        buckets = np.concatenate([bucket for _, bucket in pairs])
+        # The word itself, and its n-grams of three to five bytes.
+        assert len(buckets) == 1 + sum(max(len(word) - n + 1, 0) for n in (3, 4, 5))
+        values.append(float(np.mean([float(model.subwords[b]) for b in buckets])))
+    size, number = toxicity.WINDOW, max(len(own) // toxicity.WINDOW, 1)
+    windows = []
+    for i in range(number):
+        end = len(own) if i == number - 1 else (i + 1) * size
+        held = dict(zip(own[i * size : end], values[i * size : end]))
+        windows.append(sum(held.values()) / max(end - i * size, size))
+    return max(windows) + model.bias
+
+
+def test_logits_against_plain_loops(frames, model):
+    texts = [r[1] for r in frames[0][:40]]
+    texts += ["", "  \n ", "a", "ab\tcd", "Éé ÜÜ", "same " * 55, " ".join(texts[:9]), "x" * 300]
+    got = toxicity.logits([t.encode() for t in texts], model)
+    assert np.allclose(got, [plain_logit(t, model) for t in texts], atol=1e-5)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tillmark.llm import words
 from tillmark.llm.bitsets import without_ids
-from tillmark.llm.frames import bounded, texts
+from tillmark.llm.frames import bounded, free_name, texts
 from tillmark.session import cut_lineage
 
 WINDOW = 13
@@ -268,9 +268,14 @@ def _judged(
     )
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id") -> DataFrame:
+def without_contaminated(
+    docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """The rows of documents that are not contaminated, with their columns. Rows go by id and text."""
-    bad = cut_lineage(_judged(docs, items).filter("contaminated").select("row", "doc_id"))
-    hashed = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    marked = docs.withColumn("_text_row", hashed)
-    return without_ids(marked, "_text_row", bad.withColumnRenamed("doc_id", key)).drop("_text_row")
+    own = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    row = free_name(docs, "text_row")
+    bad = cut_lineage(
+        _judged(own, items).filter("contaminated").select(F.col("row").alias(row), F.col("doc_id").alias(key))
+    )
+    hashed = F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+    return without_ids(docs.withColumn(row, hashed), row, bad).drop(row)

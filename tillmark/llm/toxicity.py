@@ -13,7 +13,8 @@ and the rest are averages, scoring needs one number per table entry, which is wh
 
 Edge cases: null and empty texts score by the bias alone; labels other than 0 and 1 are ignored;
 without labelled rows of both classes every score is the share of toxic rows among those there
-are (0 if none); repeated rows and other columns do not matter.
+are (0 if none); texts of any length are scored whole; repeated rows and other columns, whatever
+their names, do not matter.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm import words
-from tillmark.llm.frames import bounded, texts, with_text_column
+from tillmark.llm.frames import bounded, free_name, texts, with_text_column
 
 GRAMS = (3, 4, 5)
 BUCKETS = 1 << 17
@@ -267,5 +268,6 @@ def without_toxic(docs: DataFrame, model: Model, text: str = "text", limit: floa
         z = logits([row.encode() for row in rows], shared.value)
         return pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
-    scored = with_text_column(docs, text, "_toxicity", "double", compute)
-    return scored.filter(F.col("_toxicity") < limit).drop("_toxicity")
+    name = free_name(docs, "toxicity")
+    scored = with_text_column(docs, text, name, "double", compute)
+    return scored.filter(F.col(name) < limit).drop(name)
