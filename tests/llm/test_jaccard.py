@@ -122,10 +122,11 @@ def test_rows_without_ids_link_like_others(spark):
     assert sorted(map(str, [r["text"] for r in kept if not r["doc_id"]])) == sorted(["None", lone])
 
 
-@pytest.mark.parametrize("rounds", [0, 3])
-def test_rounds_change_no_component(spark, rounds):
+@pytest.mark.parametrize("rounds, crowd", [(0, 8), (3, 2)])
+def test_rounds_change_no_component(spark, rounds, crowd):
     rows = corpus()
-    got = jaccard.link_groups(samples.documents(spark, rows), rounds=rounds).collect()
+    own = jaccard._named(samples.documents(spark, rows), "doc_id", "text")
+    got = jaccard._linked(own, jaccard.PERCENT, jaccard.BLOCK, rounds, crowd).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain(rows)
 
 

@@ -19,9 +19,9 @@ Work is kept linear in large groups of copies:
 2. Each set offers its few smallest keys. Sets that share one are verified against the smallest
    id offering it, one pair per set: this already connects most near copies.
 3. Each set offers all its keys, with the group it is in by now. Only keys seen in two groups
-   matter. In each of a few rounds every such key names one of its sets, and each set is verified
+   matter. Where more than a few sets have a key, it names one of them, and each set is verified
    against some of the sets its keys name in other groups; groups that meet become one, and keys
-   left with one group are dropped.
+   left with one group are dropped. This is repeated, each time with other names.
 4. On the keys that remain, sets of different groups are compared by bit parity sketches (their
    Hamming distance too is a lower bound), in blocks of bounded size, and survivors are verified.
 
@@ -57,6 +57,7 @@ OFFERED = 8
 BAND_RATIO = 1.7
 BLOCK = 2000
 ROUNDS = 2
+CROWD = 8
 # Ids from here on are kept for rows that have none.
 UNNAMED = 1 << 62
 
@@ -357,7 +358,7 @@ def _near(percent: int):
 
 
 def _shared_keys(docs: DataFrame, placed: DataFrame) -> DataFrame:
-    """The keys that sets of different groups have."""
+    """The keys that sets of different groups have, and how many sets have each (``n``)."""
     # A set that leads its group is its own group, known without a join; the others (copies, and
     # members of groups) are looked up. A bit table tells most of them apart before any shuffle.
     others = docs.select("doc_id").join(
@@ -370,9 +371,9 @@ def _shared_keys(docs: DataFrame, placed: DataFrame) -> DataFrame:
     return cut_lineage(
         leading.unionByName(looked_up)
         .groupBy("key")
-        .agg(F.min("grouped").alias("one"), F.max("grouped").alias("other"))
+        .agg(F.min("grouped").alias("one"), F.max("grouped").alias("other"), F.count("*").alias("n"))
         .filter("one <> other")
-        .select("key")
+        .select("key", "n")
     )
 
 
@@ -408,16 +409,18 @@ def _placed(ids: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def _grouped(keys: DataFrame, placed: DataFrame) -> DataFrame:
-    """(id, band, key, grouped) of the keys that still lie in several groups. On disk."""
-    held = keys.join(placed.withColumnRenamed("doc_id", "id"), "id")
+def _still_split(members: DataFrame, placed: DataFrame) -> DataFrame:
+    """The members with the groups they are in by now, without keys left with one group. On disk."""
+    held = cut_lineage(
+        members.drop("grouped").join(placed.withColumnRenamed("doc_id", "id"), "id")
+    )
     split = (
         held.groupBy("key")
-        .agg(F.min("grouped").alias("one"), F.max("grouped").alias("other"), F.count("*").alias("n"))
+        .agg(F.min("grouped").alias("one"), F.max("grouped").alias("other"))
         .filter("one <> other")
-        .select("key", "n")
+        .select("key")
     )
-    return cut_lineage(held.join(split, "key"))
+    return held.join(split, "key")
 
 
 def _candidates(members: DataFrame, sketches: DataFrame, percent: int, block: int) -> DataFrame:
@@ -473,7 +476,9 @@ def _number(key: str, text: str) -> Column:
     return F.coalesce(F.col(key).cast("long"), own)
 
 
-def _linked(own: DataFrame, percent: int, block: int, rounds: int) -> DataFrame:
+def _linked(
+    own: DataFrame, percent: int, block: int, rounds: int, crowd: int = CROWD
+) -> DataFrame:
     """``link_groups`` of rows that all have ids."""
     known = cut_lineage(features(own))
     classes = cut_lineage(
@@ -494,19 +499,23 @@ def _linked(own: DataFrame, percent: int, block: int, rounds: int) -> DataFrame:
     links = cut_lineage(verified(own, cut_lineage(stars), percent))
     ids = classes.select("id")
     placed = _placed(ids, links)
-    table = bit_table(_shared_keys(own, placed), "key")
-    held = cut_lineage(
-        _members(own, table).join(ids, "id", "left_semi")
+    split = _shared_keys(own, placed)
+    held = cut_lineage(_members(own, bit_table(split, "key")).join(ids, "id", "left_semi"))
+    members = cut_lineage(
+        held.select("id", "band", F.explode("keys").alias("key"))
+        .join(split, "key")
+        .join(placed.withColumnRenamed("doc_id", "id"), "id")
     )
-    keys = held.select("id", "band", F.explode("keys").alias("key"))
-    members = _grouped(keys, placed)
+    crowded = members.filter(F.col("n") > crowd)
     for number in range(rounds):
-        pairs = cut_lineage(_proposed(members, number))
+        pairs = cut_lineage(_proposed(crowded, number))
+        if pairs.isEmpty():
+            break
         links = cut_lineage(links.unionByName(verified(own, pairs, percent)))
-        placed = _placed(ids, links)
-        members = _grouped(members.select("id", "band", "key"), placed)
+        crowded = _still_split(crowded, _placed(ids, links))
+    left = members.filter(F.col("n") <= crowd).unionByName(crowded, allowMissingColumns=True)
     sketches = held.select("id", "band", "size", "sketch")
-    second = verified(own, cut_lineage(_candidates(members, sketches, percent, block)), percent)
+    second = verified(own, cut_lineage(_candidates(left, sketches, percent, block)), percent)
     joined = components(links.unionByName(second))
     heads = classes.join(joined, "id", "left").select(
         "set_hash", F.col("id").alias("class_id"), F.coalesce("root", "id").alias("component_id")
