@@ -57,7 +57,7 @@ OFFERED = 8
 BAND_RATIO = 1.7
 BLOCK = 2000
 ROUNDS = 2
-CROWD = 8
+CROWD = 64
 # Ids from here on are kept for rows that have none.
 UNNAMED = 1 << 62
 
