@@ -142,11 +142,6 @@ def test_months_of_decades(spark):
     assert cohort.cohort_retention(people, sales(spark, [(1, 1, None, 1)])).count() == 0
 
 
-def test_months_travel_as_words(stored):
-    plan = executed(cohort.cohort_retention(stored["people"], stored["sold"]))
-    assert "collect_set" not in plan and "partial_bit_or" in plan
-
-
 def test_assign_cohorts_counts_idle_customers(spark):
     people = customers(spark, {1: D(2024, 1, 20), 2: D(2024, 1, 5), 3: D(2024, 2, 1)})
     assert bag(cohort.assign_cohorts(people)) == [
