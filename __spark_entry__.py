@@ -624,22 +624,40 @@ def date_in_range(spark, folder):
 
 @_register
 def price_line(spark, folder):
-    """Order lines at list price, less the line's discount."""
-    listed = views.products(spark, folder).selectExpr("product_id AS l_partkey", "unit_price")
+    """Order lines at a drawn price and discount, next to list price and the line's own discount."""
+    listed = views.products(spark, folder).selectExpr(
+        "product_id AS l_partkey", "unit_price AS listed_price"
+    )
     key = ["l_orderkey", "l_linenumber"]
     lines = views.scan(spark, folder, "lineitem").select(
         *key,
         "l_partkey",
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_discount").cast("decimal(4,2)").alias("discount_rate"),
-    )
-    total, discount = F.col("line_total"), F.col("discount_amount")
+        _draw("price", *key).alias("price_draw"),
+        _draw("discount", *key).alias("discount_draw"),
+        F.col("l_discount").cast("decimal(4,2)").alias("listed_rate"),
+    )
+    spread = draws.uniform_decimal(F.col("price_draw"), *contracts.PRICE_SPREAD)
+    rates = contracts.DISCOUNT_WEIGHTS
+    rate = draws.weighted_choice(F.col("discount_draw"), list(rates), list(rates.values()))
+    total, listed_total = F.col("line_total"), F.col("listed_total")
     return (
         lookup(lines, listed, ["l_partkey"])
-        .select(*key, "l_partkey", "quantity", "unit_price", "discount_rate")
+        .select(
+            *key,
+            "l_partkey",
+            "quantity",
+            F.round(F.col("listed_price") * spread.cast("decimal(8,6)"), 2).alias("unit_price"),
+            rate.cast("decimal(4,2)").alias("discount_rate"),
+            "listed_price",
+            "listed_rate",
+        )
         .withColumn("line_total", money.line_total(F.col("quantity"), F.col("unit_price")))
         .withColumn("discount_amount", money.discount_amount(total, F.col("discount_rate")))
-        .withColumn("amount", total - discount)
+        .withColumn("amount", total - F.col("discount_amount"))
+        .withColumn("listed_total", money.line_total(F.col("quantity"), F.col("listed_price")))
+        .withColumn("listed_discount", money.discount_amount(listed_total, F.col("listed_rate")))
+        .withColumn("listed_amount", listed_total - F.col("listed_discount"))
     )
 
 
