@@ -684,13 +684,33 @@ def next_keys(spark, folder):
 
 @_register
 def contact_details(spark, folder):
-    people = views.customers(spark, folder)
-    return people.select(
+    """Contact details drawn for every customer, and parts of the names, mails and dates held."""
+    known = F.col("customer_id").isNotNull()
+    streams = ("area", "middle", "end", "range", "code", "metro")
+    drawn = views.contacts(spark, folder).withColumns(
+        {name: F.when(known, _draw(name, "customer_id")) for name in streams}
+    )
+    postcode = F.lit(None)
+    for place, ranges in enumerate(contracts.POSTCODE_RANGES.values()):
+        picked = draws.pick_in_ranges(F.col("range"), F.col("code"), ranges)
+        postcode = F.when(F.col("c_nationkey") % 4 == place, picked).otherwise(postcode)
+    first, last = F.col("first_name"), F.col("last_name")
+    return drawn.withColumn("drawn_code", postcode).select(
         "customer_id",
-        text.full_name(F.col("first_name"), F.col("last_name")).alias("customer_name"),
-        text.initials(F.col("first_name"), F.col("last_name")).alias("initials"),
+        text.full_name(first, last).alias("customer_name"),
+        text.email_address(first, last, F.col("customer_id"), "example.com.au").alias("email"),
+        text.mobile_number(
+            draws.uniform_int(F.col("area"), 0, 99),
+            draws.uniform_int(F.col("middle"), 0, 999),
+            draws.uniform_int(F.col("end"), 0, 999),
+        ).alias("phone"),
+        F.when(F.col("drawn_code").isNotNull(), text.padded(F.col("drawn_code"), 4)).alias(
+            "postcode"
+        ),
+        text.region_type(last, draws.happens(F.col("metro"), "0.75"), "7").alias("region_type"),
+        text.initials(first, last).alias("initials"),
         text.after(F.col("email"), "@").alias("mail_host"),
-        text.padded(F.col("customer_id") % 10000, 4).alias("postcode"),
+        F.when(known, text.padded(F.col("customer_id") % 10000, 4)).alias("short_code"),
         dates.from_iso(dates.iso_text(F.col("signup_date"))).alias("signup_date"),
     )
 

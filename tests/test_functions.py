@@ -113,6 +113,21 @@ def test_weighted_choice_rejects_bad_lists():
         draws.weighted_choice(None, ["a"], [])
 
 
+def test_pick_in_ranges(spark):
+    picked = draws.pick_in_ranges(F.col("id") % 2, F.col("id"), [(10, 12), (20, 20)])
+    values = {row[0] for row in spark.range(20).select(picked).collect()}
+    assert values == {10, 11, 12, 20}
+
+
+def test_contact_text(spark):
+    first, last, none = F.lit("Ann"), F.lit("Lee"), F.lit(None).cast("int")
+    assert value(spark, text.email_address(first, last, F.lit(7), "x.au")) == "ann.lee7@x.au"
+    assert value(spark, text.mobile_number(F.lit(3), F.lit(4), F.lit(56))) == "0403 004 056"
+    assert value(spark, text.mobile_number(F.lit(3), none, F.lit(56))) is None
+    assert value(spark, text.region_type(F.lit("Sydney CBD"), F.lit(False))) == "Metro"
+    assert value(spark, text.region_type(F.lit("Logan"), F.lit(False))) == "Regional"
+
+
 def test_text(spark):
     first, last = F.lit("Ann"), F.lit("Lee")
     assert value(spark, text.full_name(first, last)) == "Ann Lee"

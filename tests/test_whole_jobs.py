@@ -36,3 +36,20 @@ def test_price_line_draws_prices_and_discounts(spark, tmp_path):
     assert {r["listed_rate"] for r in rows} == {0.05}
     spreads = [r["unit_price"] / r["listed_price"] for r in rows]
     assert min(spreads) < 0.97 and max(spreads) > 1.03 and 0.949 < min(spreads) < max(spreads) < 1.051
+
+
+def test_contact_details_are_drawn_for_every_customer(spark, tmp_path):
+    people = [(n, f"Customer#{n:09d}", n % 7, 1.0, "BUILDING") for n in range(1, 200)]
+    people += [(7, "Customer#000000007", None, 1.0, "BUILDING"), (None, "Ann#Lee", 0, 1.0, None)]
+    folder = write(spark, tmp_path, customer=people)
+    df = registry.queries()["contact_details"](spark, folder)
+    sql = registry.oracle_sql()["contact_details"]
+    assert parity.differences(df, parity.connect(folder), sql) == []
+    rows = df.collect()
+    assert len(rows) == 201
+    assert all(r["phone"].startswith("04") for r in rows if r["customer_id"] is not None)
+    assert {r["postcode"][0] for r in rows if r["postcode"]} == {"2", "3", "4", "5"}
+    assert {r["region_type"] for r in rows} == {"Metro", "Regional"}
+    row, = [r for r in rows if r["customer_id"] == 12]
+    assert row["email"] == "customer.00000001212@example.com.au"
+    assert (row["initials"], row["mail_host"], row["short_code"]) == ("C0", "example.com.au", "0012")

@@ -59,3 +59,15 @@ def weighted_choice(draw_column: Column, items: Sequence, weights: Sequence) ->
         hit = draw_column < bound
         chosen = F.when(hit, F.lit(item)) if chosen is None else chosen.when(hit, F.lit(item))
     return chosen
+
+
+def pick_in_ranges(
+    range_draw: Column, value_draw: Column, ranges: Sequence[tuple[int, int]]
+) -> Column:
+    """First one of the integer ranges, each equally likely, then a value inside it."""
+    picked = None
+    for index, (low, high) in enumerate(ranges):
+        hit = (range_draw % len(ranges)) == index
+        value = uniform_int(value_draw, low, high)
+        picked = F.when(hit, value) if picked is None else picked.when(hit, value)
+    return picked

@@ -50,27 +50,44 @@ _LINE_COLUMNS = [
 ]
 
 
+_CUSTOMER_COLUMNS = {
+    "customer_id": "c_custkey",
+    "first_name": "split(c_name, '#')[0]",
+    "last_name": "split(c_name, '#')[1]",
+    "email": "lower(c_name) || '@example.com.au'",
+    "signup_date": "date_add(DATE '1994-07-01', cast(c_custkey * 7919 % 910 as int))",
+}
+
+
 def scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
+def _customer_columns(*names: str) -> list[str]:
+    return [f"{_CUSTOMER_COLUMNS[name]} AS {name}" for name in names]
+
+
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     nation = scan(spark, folder, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
     return (
         scan(spark, folder, "customer")
         .join(nation, "c_nationkey")
         .selectExpr(
-            "c_custkey AS customer_id",
-            "split(c_name, '#')[0] AS first_name",
-            "split(c_name, '#')[1] AS last_name",
-            "lower(c_name) || '@example.com.au' AS email",
+            *_customer_columns("customer_id", "first_name", "last_name", "email"),
             "n_name AS state",
             "c_mktsegment AS loyalty_program",
-            "date_add(DATE '1994-07-01', cast(c_custkey * 7919 % 910 as int)) AS signup_date",
+            *_customer_columns("signup_date"),
         )
     )
 
 
+def contacts(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers with the number of their nation instead of its name; none is left out."""
+    return scan(spark, folder, "customer").selectExpr(
+        *_customer_columns(*_CUSTOMER_COLUMNS), "c_nationkey"
+    )
+
+
 def stores(spark: SparkSession, folder: str) -> DataFrame:
     region = scan(spark, folder, "region").selectExpr("r_regionkey AS n_regionkey", "r_name")
     places = (
