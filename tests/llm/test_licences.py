@@ -102,3 +102,24 @@ def test_wrapped_notices(spark, fitted):
 def test_empty(spark, fitted):
     assert licences.per_document(samples.empty(spark), fitted).collect() == []
     assert licences.learn(samples.empty(spark))[2] >= 0.5
+
+
+def test_learns_from_every_line(spark, monkeypatch):
+    lines = [f"copyright {t}" for t in samples.prose(54, 4500, words=5)]
+    held = []
+    scored = licences._scored
+    monkeypatch.setattr(
+        licences, "_scored", lambda frame, *rest: held.append(frame.count()) or scored(frame, *rest)
+    )
+    rows = [(i, "\n".join(lines[i::50])) for i in range(50)]
+    licences.learn(samples.documents(spark, rows))
+    assert held[0] > 0.2 * len(set(lines)) > 500
+
+
+def test_percentile(spark):
+    for values in ([0.25], [0.1, 0.2], [i / 977 for i in range(977)], [0.5] * 7 + [0.50001, 1.0]):
+        frame = spark.createDataFrame([(v,) for v in values] + [(None,)], "chance double")
+        for share in (0.99, 0.5, 0.0):
+            expected = frame.agg(F.percentile("chance", share)).first()[0]
+            assert licences._percentile(frame, share) == pytest.approx(expected, abs=1e-15)
+    assert licences._percentile(frame.filter("chance > 2"), 0.99) == 0.0
