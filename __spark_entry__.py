@@ -464,6 +464,7 @@ def _contract_frames(spark, folder):
 def dq_contract_report(spark, folder):
     """Every rule of the four contracts, over tables conformed to them."""
     frames = _contract_frames(spark, folder)
+    frames["transactions"] = views.transaction_parts(spark, folder)
     ready = {name: tables.conform(frame, contracts.TABLES[name]) for name, frame in frames.items()}
     return quality.check_tables(ready, AS_OF)
 

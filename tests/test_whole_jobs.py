@@ -7,7 +7,8 @@ import datetime
 import parity
 
 import __spark_entry__ as registry
-from tillmark.sources import retail_views as views
+from tillmark.operators import quality as q
+from tillmark.sources import contracts, retail_views as views, tables
 
 
 def write(spark, folder, **rows):
@@ -53,3 +54,51 @@ def test_contact_details_are_drawn_for_every_customer(spark, tmp_path):
     row, = [r for r in rows if r["customer_id"] == 12]
     assert row["email"] == "customer.00000001212@example.com.au"
     assert (row["initials"], row["mail_host"], row["short_code"]) == ("C0", "example.com.au", "0012")
+
+
+def odd_tables():
+    """Sales whose keys are NULL, lost or repeated, and customers whose rows repeat."""
+    day = datetime.datetime(1995, 1, 2)
+    people = [(n, f"Customer#{n}", 0, 1.0, "None") for n in (1, 2, 2, 3, 4)]
+    people += [(3, "Customer#33", 0, 1.0, None), (None, "Customer#9", 0, 1.0, "None")]
+    orders = [(n, n % 6, "O", 1.0, day, "1-URGENT") for n in range(1, 30)]
+    orders += [(7, 2, "O", 1.0, day, None), (8, None, "O", 1.0, day, "Cash"), (None, 1, "O", 1.0, day, "Cash")]
+    lines = [line(n, k, part=n % 4, supplier=k, day=1 + n) for n in range(1, 31) for k in (1, 2)]
+    lines += [line(5, 1), line(7, 1, part=None), line(None), line(9, 3, quantity=None, price=None)]
+    lines = [(*row[:10], None if n % 9 == 0 else datetime.datetime(1994, 7, 1) + datetime.timedelta(11 * n))
+             for n, row in enumerate(lines)]
+    return {
+        "customer": people, "orders": orders, "lineitem": lines,
+        "nation": [(0, "NSW", 0)], "region": [(0, "ASIA")],
+        "part": [(n, f"part {n}", "b", "SMALL", 1, 1.0) for n in (1, 2, 2)],
+        "supplier": [(1, "shop", 0, 1.0), (None, "none", 0, 1.0)],
+    }
+
+
+def checked_apart(frames, as_of):
+    """The reports on transactions, each check by itself over the joined rows."""
+    sales, table = frames["transactions"], contracts.TRANSACTIONS
+    reports = [q.check_rows(sales, "transactions", q.contract_checks(table, as_of), 1),
+               q.check_unique(sales, "transactions", ["transaction_id"])]
+    for column, (parent, own) in table.foreign_keys.items():
+        reports.append(q.check_references(sales, "transactions", column, frames[parent], own))
+    reports.append(
+        q.check_date_order(sales, "transactions", "customer_id", "transaction_date",
+                           frames["customers"], "customer_id", "signup_date")
+    )
+    return parity.bag(q.all_reports(reports))
+
+
+def test_contract_report_scans_the_sales_once(spark, tmp_path, small_limits):
+    folder = write(spark, tmp_path, **odd_tables())
+    report = registry.queries()["dq_contract_report"](spark, folder)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    frames = registry._contract_frames(spark, folder)
+    ready = {n: tables.conform(f, contracts.TABLES[n]) for n, f in frames.items()}
+    got = [row for row in parity.bag(report) if row[1] == "transactions"]
+    assert got == checked_apart(ready, registry.AS_OF)
+    early, = [row for row in got if row[0] == "date_order"]
+    assert early[3] > early[4] > 0
+    whole = parity.bag(q.check_tables(ready, registry.AS_OF))
+    assert whole == parity.bag(report)
+    assert plan.count("FileScan parquet [l_orderkey") == plan.count("FileScan parquet [o_orderkey") == 1

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tillmark.functions.dates import as_of_date
 from tillmark.functions.money import line_total
+from tillmark.operators.joined import Joined
 from tillmark.operators.lookup import lookup
 from tillmark.session import cut_lineage
 from tillmark.sources.contracts import (
@@ -32,25 +33,32 @@ from tillmark.sources.contracts import (
 class RowCheck:
     """A condition that marks a bad row; NULL conditions pass, as in a CHECK constraint.
 
-    With ``among`` only the rows that meet it count as checked.
+    With ``among`` only the rows that meet it count as checked. ``reads`` names the columns of both,
+    if known: a table in two parts is then checked before they meet.
     """
 
     check: str
     column: str
     violation: Column
     among: Column | None = None
+    reads: tuple[str, ...] | None = None
+
+
+def _own(check: str, column: str, violation: Column) -> RowCheck:
+    """A check that reads its column only."""
+    return RowCheck(check, column, violation, reads=(column,))
 
 
 def not_null(*columns: str) -> list[RowCheck]:
-    return [RowCheck("not_null", name, F.col(name).isNull()) for name in columns]
+    return [_own("not_null", name, F.col(name).isNull()) for name in columns]
 
 
 def positive(*columns: str) -> list[RowCheck]:
-    return [RowCheck("positive", name, F.col(name) <= 0) for name in columns]
+    return [_own("positive", name, F.col(name) <= 0) for name in columns]
 
 
 def not_negative(*columns: str) -> list[RowCheck]:
-    return [RowCheck("not_negative", name, F.col(name) < 0) for name in columns]
+    return [_own("not_negative", name, F.col(name) < 0) for name in columns]
 
 
 def within_line_total(
@@ -60,11 +68,12 @@ def within_line_total(
     tolerance: str = LINE_TOTAL_TOLERANCE,
 ) -> RowCheck:
     limit = line_total(F.col(quantity), F.col(unit_price)) + F.lit(tolerance).cast("decimal(8,2)")
-    return RowCheck("within_line_total", amount, F.col(amount) > limit)
+    reads = (amount, quantity, unit_price)
+    return RowCheck("within_line_total", amount, F.col(amount) > limit, reads=reads)
 
 
 def in_domain(column: str, domain: Sequence) -> RowCheck:
-    return RowCheck("in_domain", column, ~F.col(column).isin(list(domain)))
+    return _own("in_domain", column, ~F.col(column).isin(list(domain)))
 
 
 def matches_group(column: str, group: str, members: Mapping[str, Sequence[str]]) -> RowCheck:
@@ -81,11 +90,11 @@ def not_before(column: str, earliest: str) -> RowCheck:
 
 
 def not_future(column: str, as_of=None) -> RowCheck:
-    return RowCheck("not_future", column, F.col(column) > as_of_date(as_of))
+    return _own("not_future", column, F.col(column) > as_of_date(as_of))
 
 
 def max_length(column: str, length: int) -> RowCheck:
-    return RowCheck("max_length", column, F.char_length(column) > length)
+    return _own("max_length", column, F.char_length(column) > length)
 
 
 def fits_numeric(column: str, precision: int, scale: int, text: bool = False) -> RowCheck:
@@ -292,52 +301,181 @@ def contract_checks(table: Table, as_of=None) -> list[RowCheck]:
 
 
 def check_key_references(
-    child: DataFrame, table: str, parents: Mapping[str, tuple[DataFrame, str]]
+    child: DataFrame | Joined, table: str, parents: Mapping[str, tuple[DataFrame, str]]
 ) -> DataFrame:
     """``check_references`` of several short-keyed columns in one scan of the child.
 
-    ``parents`` maps a column to its parent and the parent's key. Keys are counted per task
-    before the shuffle, so only distinct keys are shuffled.
+    ``parents`` maps a column to its parent and the parent's key.
     """
-    columns = list(parents)
-    held = child.groupingSets([[c] for c in columns], *columns).agg(
-        F.count("*").alias("_n"), *[F.grouping(c).alias(f"_g_{c}") for c in columns]
+    known = {column: _keys(parent, own, column) for column, (parent, own) in parents.items()}
+    return check_once(child, table, [], references=known)
+
+
+@dataclass(frozen=True)
+class Dated:
+    """Rows must not be dated before the start of what their ``key`` names.
+
+    ``starts`` has one row per key: key, rows (that have it), start, and more, an array of
+    (start, rows) if these differ, else NULL. With ``known`` every key must be there, too.
+    """
+
+    key: str
+    date: str
+    column: str
+    starts: DataFrame
+    known: bool = False
+
+
+def starts(parent: DataFrame, key: str, start: str) -> DataFrame:
+    """What ``Dated`` needs of a parent whose keys may repeat."""
+    held = parent.groupBy(key, start).agg(F.count("*").alias("_n"))
+    dates = F.collect_list(F.struct(F.col(start).alias("start"), F.col("_n").alias("rows")))
+    return held.groupBy(key).agg(
+        F.sum("_n").alias("rows"),
+        F.min(start).alias("start"),
+        F.when(F.count("*") > 1, dates).alias("more"),
     )
-    name, key = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for column in columns:
-        own = F.col(f"_g_{column}") == 0
-        name = F.when(own, column).otherwise(name)
-        key = F.when(own, F.col(column).cast("string")).otherwise(key)
-    known = reduce(
-        DataFrame.unionByName,
-        [
-            parent.select(F.lit(column).alias("column"), F.col(own).cast("string").alias("_key"))
-            for column, (parent, own) in parents.items()
-        ],
-    ).distinct()
-    counts = (
-        held.select(name.alias("column"), key.alias("_key"), "_n")
-        .join(known.withColumn("_known", F.lit(True)), ["column", "_key"], "left")
-        .groupBy("column")
-        .agg(
-            F.sum("_n").alias("_rows"),
-            F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0)).alias("_bad"),
+
+
+def check_once(
+    rows: DataFrame | Joined,
+    table: str,
+    checks: Sequence[RowCheck],
+    minimum: int | None = None,
+    unique: Sequence[str] = (),
+    references: Mapping[str, DataFrame] | None = None,
+    dated: Dated | None = None,
+) -> DataFrame:
+    """Checks of rows, unique keys, references and dates in one scan of a large table.
+
+    What row checks find becomes one number per row, before the row meets anything else; of a table
+    in two parts, in the part that has the columns. The dates are looked up for the part with their
+    key. Then the numbers and keys are counted per task, and only distinct ones are shuffled, next
+    to the keys of the parents (``references`` maps a column to a frame of them).
+    """
+    references = references or {}
+    marks = [(c.violation, c.reads) for c in checks]
+    marks += [(c.among, c.reads) for c in checks if c.among is not None]
+    if len(marks) > 62:
+        raise ValueError("at most 62 conditions fit a number")
+    keys = [*unique, *references]
+    needed = list(dict.fromkeys([*keys, *([dated.key, dated.date] if dated else [])]))
+    frame = _marked(rows, marks, needed, dated)
+    none = F.lit(0).cast("bigint")
+    held, early = none, none
+    if dated:
+        day = F.col(dated.date)
+        several = F.aggregate(
+            F.filter("_more", lambda s: day < s["start"]), none, lambda n, s: n + s["rows"]
+        )
+        alike = F.when(day < F.col("_start"), F.col("_rows"))
+        held = F.coalesce("_rows", none)
+        early = F.coalesce(F.when(F.col("_more").isNull(), alike).otherwise(several), none)
+    whole = {"tinyint", "smallint", "int", "bigint"}
+    kinds = [dict(frame.dtypes)[name] for name in keys] + [p.dtypes[0][1] for p in references.values()]
+    kind = "bigint" if set(kinds) <= whole else "string"
+
+    def counted(number: int, key: Column, held: Column = none, early: Column = none) -> Column:
+        return F.struct(
+            F.lit(number).alias("kind"), key.cast(kind).alias("key"), held.alias("held"), early.alias("early")
+        )
+
+    seen = frame.select(
+        F.inline(
+            F.array(
+                counted(0, F.col("_marks"), held, early),
+                *[counted(i, F.col(name)) for i, name in enumerate(keys, 1)],
+            )
+        )
+    ).withColumns({"rows": F.lit(1), "known": F.lit(False)})
+    for i, parent in enumerate(references.values(), len(unique) + 1):
+        own = parent.select(F.col(parent.columns[0])).toDF("key").filter(F.col("key").isNotNull())
+        seen = seen.unionByName(
+            own.select(F.inline(F.array(counted(i, F.col("key"))))).withColumns(
+                {"rows": F.lit(0), "known": F.lit(True)}
+            )
         )
+    groups = seen.groupBy("kind", "key", "held", "early").agg(
+        F.sum("rows").alias("rows"), F.max("known").alias("known")
     )
-    # One line for each column, also when the child has no rows.
-    lines = F.array(*[F.lit(c) for c in columns])
-    totals = counts.agg(
-        F.map_from_entries(F.collect_list(F.struct("column", F.struct("_rows", "_bad")))).alias("m")
+
+    def total(number: int, value: Column, when: Column | None = None) -> Column:
+        own = F.col("kind") == number
+        return F.coalesce(F.sum(F.when(own if when is None else own & when, value)), none)
+
+    def marked(bit: int) -> Column:
+        return total(0, n, F.col("key").cast("bigint").bitwiseAND(F.lit(1 << bit)) != 0)
+
+    n = F.col("rows")
+    every = total(0, n)
+    lines = [("volume", "*", every, _missing(every, minimum))] if minimum is not None else []
+    amongst = iter(range(len(checks), len(marks)))
+    for bit, c in enumerate(checks):
+        rows_checked = every if c.among is None else marked(next(amongst))
+        lines.append((c.check, c.column, rows_checked, marked(bit)))
+    for i, name in enumerate(unique, 1):
+        distinct = total(i, F.lit(1), F.col("key").isNotNull() & (n > 0))
+        lines.append(("unique", name, every, every - distinct))
+    for i, name in enumerate(references, len(unique) + 1):
+        lines.append(("references", name, every, total(i, n, ~F.col("known"))))
+    if dated and dated.known:
+        lines.append(("references", dated.key, every, total(0, n, F.col("held") == 0)))
+    if dated:
+        lines.append(
+            ("date_order", dated.column, total(0, n * F.col("held")), total(0, n * F.col("early")))
+        )
+    counts = groups.agg(
+        *[line[2].alias(f"_r{i}") for i, line in enumerate(lines)],
+        *[line[3].alias(f"_v{i}") for i, line in enumerate(lines)],
     )
-    zero = F.lit(0).cast("bigint")
-    found = totals.select("m", F.explode(lines).alias("column"))
-    return found.select(
-        F.lit("references").alias("check"),
-        F.lit(table).alias("table"),
-        "column",
-        F.coalesce(F.col("m")[F.col("column")]["_rows"], zero).alias("rows_checked"),
-        F.coalesce(F.col("m")[F.col("column")]["_bad"], zero).alias("violations"),
-    ).withColumn("passed", F.col("violations") == 0)
+    report = [
+        F.struct(
+            F.lit(check).alias("check"),
+            F.lit(table).alias("table"),
+            F.lit(column).alias("column"),
+            F.col(f"_r{i}").cast("bigint").alias("rows_checked"),
+            F.col(f"_v{i}").cast("bigint").alias("violations"),
+        )
+        for i, (check, column, *_) in enumerate(lines)
+    ]
+    return counts.select(F.inline(F.array(*report))).withColumn("passed", F.col("violations") == 0)
+
+
+def _marked(
+    rows: DataFrame | Joined,
+    marks: Sequence[tuple[Column, tuple[str, ...] | None]],
+    needed: Sequence[str],
+    dated: Dated | None,
+) -> DataFrame:
+    """The needed columns, the conditions a row meets as bits of ``_marks``, and its ``Dated``."""
+
+    def part(df: DataFrame, own: Sequence[str], bits: Sequence[int], name: str) -> DataFrame:
+        zero = F.lit(0).cast("bigint")
+        met = [F.when(marks[bit][0], F.lit(1 << bit).cast("bigint")).otherwise(zero) for bit in bits]
+        narrow = df.select(*own, reduce(Column.bitwiseOR, met, zero).alias(name))
+        if dated is None or dated.key not in own:
+            return narrow
+        at = dated.starts.select(
+            F.col(dated.key), *[F.col(c).alias(f"_{c}") for c in ("rows", "start", "more")]
+        )
+        return narrow.join(at, dated.key, "left")
+
+    if not isinstance(rows, Joined):
+        return part(rows, needed, range(len(marks)), "_marks")
+
+    def inside(df: DataFrame) -> list[int]:
+        return [i for i, (_, reads) in enumerate(marks) if reads and set(reads) <= set(df.columns)]
+
+    on_heads = inside(rows.heads)
+    on_lines = [bit for bit in inside(rows.lines) if bit not in on_heads]
+    if len(on_lines) + len(on_heads) < len(marks):
+        return part(rows.rows(), needed, range(len(marks)), "_marks")
+    of_heads = [name for name in needed if name in rows.heads.columns]
+    of_lines = [name for name in needed if name not in of_heads]
+    heads = part(rows.heads, [rows.key, *of_heads], on_heads, "_head_marks")
+    lines = part(rows.lines, [rows.key, *of_lines], on_lines, "_line_marks")
+    met = F.col("_line_marks").bitwiseOR(F.col("_head_marks"))
+    return lines.join(heads, rows.key).withColumn("_marks", met)
 
 
 def castable(table: Table, df: DataFrame) -> list[RowCheck]:
@@ -354,7 +492,7 @@ def castable(table: Table, df: DataFrame) -> list[RowCheck]:
 
 
 def check_tables(
-    frames: Mapping[str, DataFrame],
+    frames: Mapping[str, DataFrame | Joined],
     as_of=None,
     minimum_transactions: int = 1,
     stored: Mapping[str, DataFrame] | None = None,
@@ -362,41 +500,45 @@ def check_tables(
     """Every contract check of the given tables, in one report.
 
     References are checked against the parents that are given, together with the rows that are
-    ``stored`` already; new keys must also differ from the stored ones.
+    ``stored`` already; new keys must also differ from the stored ones. A table with references is
+    scanned once for all its checks but those of new keys.
     """
     stored = stored or {}
     reports = []
     for name, frame in frames.items():
         table = TABLES[name]
         minimum = minimum_transactions if name == "transactions" else 1
-        reports.append(check_rows(frame, name, contract_checks(table, as_of), minimum))
-        for key in (table.primary_key, *table.unique):
-            reports.append(check_unique(frame, name, [key]))
-        for column, (parent, parent_column) in table.foreign_keys.items():
-            known = [t[parent].select(parent_column) for t in (frames, stored) if parent in t]
-            if known:
-                parents = reduce(DataFrame.union, known)
-                reports.append(check_references(frame, name, column, parents, parent_column))
+        keys = (table.primary_key, *table.unique)
+        checks = contract_checks(table, as_of)
+        if table.foreign_keys:
+            known = {
+                column: [t[parent].select(own) for t in (frames, stored) if parent in t]
+                for column, (parent, own) in table.foreign_keys.items()
+            }
+            parents = {column: reduce(DataFrame.union, own) for column, own in known.items() if own}
+            dated = None
+            if name == "transactions" and "customers" in frames:
+                dated = Dated(
+                    "customer_id",
+                    "transaction_date",
+                    "transaction_date, signup_date",
+                    starts(frames["customers"], "customer_id", "signup_date"),
+                    known="customers" not in stored,
+                )
+                if dated.known:
+                    del parents["customer_id"]
+            reports.append(check_once(frame, name, checks, minimum, keys, parents, dated))
+        else:
+            reports.append(check_rows(frame, name, checks, minimum))
+            reports += [check_unique(frame, name, [key]) for key in keys]
         if name in stored:
-            for key in (table.primary_key, *table.unique):
-                reports.append(check_new_keys(frame, name, key, stored[name]))
-    if "transactions" in frames and "customers" in frames:
-        reports.append(
-            check_date_order(
-                frames["transactions"],
-                "transactions",
-                "customer_id",
-                "transaction_date",
-                frames["customers"],
-                "customer_id",
-                "signup_date",
-            )
-        )
+            own = frame.rows() if isinstance(frame, Joined) else frame
+            reports += [check_new_keys(own, name, key, stored[name]) for key in keys]
     return all_reports(reports)
 
 
 def integrity_suite(
-    frames: Mapping[str, DataFrame],
+    frames: Mapping[str, DataFrame | Joined],
     as_of=None,
     minimum_transactions: int = 10_000,
     states: Sequence[str] = STATES,
@@ -404,8 +546,7 @@ def integrity_suite(
     """The standing integrity checks of a loaded database, as one report.
 
     All four tables must be given; columns no check reads may be absent. The transactions are
-    scanned twice: once next to their customers, for every check on rows, customers and dates, and
-    once for the distinct keys of stores and products.
+    scanned once.
     """
     sales, customers = frames["transactions"], frames["customers"]
     sales_checks = [
@@ -414,33 +555,34 @@ def integrity_suite(
         within_line_total(),
         not_future("transaction_date", as_of),
     ]
-    read = ["customer_id", "store_id", "product_id", "amount", "transaction_date"]
-    signups = customers.groupBy("customer_id").agg(F.min("signup_date").alias("_signup"))
-    dated = sales.select(*read, "unit_price", "quantity").join(
-        signups.withColumn("_known", F.lit(True)), "customer_id", "left"
+    dates = F.array().cast("array<struct<start:date,rows:bigint>>")
+    signups = customers.groupBy("customer_id").agg(
+        F.lit(1).cast("bigint").alias("rows"),
+        F.min("signup_date").alias("start"),
+        F.when(F.lit(False), dates).alias("more"),
+    )
+    dated = Dated(
+        "customer_id", "transaction_date", "transaction_date, signup_date", signups, known=True
     )
-    sales_checks += [
-        RowCheck("references", "customer_id", F.col("_known").isNull()),
-        RowCheck(
-            "date_order",
-            "transaction_date, signup_date",
-            F.col("transaction_date") < F.col("_signup"),
-            F.col("_known").isNotNull(),
-        ),
-    ]
     others = {
-        column: (frames[parent], key)
+        column: _keys(frames[parent], key, column)
         for column, (parent, key) in TABLES["transactions"].foreign_keys.items()
         if column != "customer_id"
     }
     return all_reports(
         [
-            check_rows(dated, "transactions", sales_checks, minimum_transactions),
+            check_once(
+                sales,
+                "transactions",
+                sales_checks,
+                minimum_transactions,
+                references=others,
+                dated=dated,
+            ),
             check_rows(customers, "customers", [in_domain("state", states)], 1),
             check_volume(frames["stores"], "stores"),
             check_volume(frames["products"], "products"),
             check_unique(customers, "customers", ["email"]),
-            check_key_references(sales, "transactions", others),
         ]
     )
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillmark.operators.joined import Joined
+
 # The domains the tables allow.
 STATES = ("NSW", "VIC", "QLD", "WA", "SA", "TAS", "ACT", "NT")
 LOYALTY_PROGRAMS = ("Everyday Rewards", "Flybuys", "None")
@@ -161,12 +163,12 @@ TRANSACTIONS = Table(
 TABLES = {table.name: table for table in (CUSTOMERS, STORES, PRODUCTS, TRANSACTIONS)}
 
 
-def conform(df: DataFrame, table: Table) -> DataFrame:
+def conform(df: DataFrame | Joined, table: Table) -> DataFrame | Joined:
     """Select the table's columns by name, cast to its types.
 
     A column that is absent gets its default, or NULL where NULLs are allowed.
     Text dates and binary-float money, as simpler databases keep them, come out
-    as DATE and DECIMAL.
+    as DATE and DECIMAL. A table in two parts stays one.
     """
     missing = [
         f.name
@@ -175,7 +177,19 @@ def conform(df: DataFrame, table: Table) -> DataFrame:
     ]
     if missing:
         raise ValueError(f"{table.name} lacks {', '.join(missing)}")
-    return df.select([_value(f, f.name in df.columns).alias(f.name) for f in table.fields])
+    if isinstance(df, Joined):
+        heads = [f for f in table.fields if f.name in df.heads.columns]
+        lines = [f for f in table.fields if f not in heads]
+        return Joined(
+            df.lines.select(df.key, *_values(lines, df.columns)),
+            df.heads.select(df.key, *_values(heads, df.columns)),
+            df.key,
+        )
+    return df.select(_values(table.fields, df.columns))
+
+
+def _values(fields, given: list[str]) -> list:
+    return [_value(f, f.name in given).alias(f.name) for f in fields]
 
 
 def _value(f: Field, present: bool):

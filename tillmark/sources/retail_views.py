@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillmark.operators.joined import Joined
+
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -125,6 +127,17 @@ def store_sales(spark: SparkSession, folder: str) -> DataFrame:
     return scan(spark, folder, "lineitem").selectExpr(*_LINE_COLUMNS)
 
 
+def transaction_parts(spark: SparkSession, folder: str) -> Joined:
+    """The rows of ``transactions``, as the lines and the orders they are joined from."""
+    return Joined(
+        scan(spark, folder, "lineitem").selectExpr("l_orderkey", *_LINE_COLUMNS),
+        scan(spark, folder, "orders").selectExpr(
+            "o_orderkey AS l_orderkey", "o_custkey AS customer_id", "o_orderpriority AS payment_method"
+        ),
+        "l_orderkey",
+    )
+
+
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions with customer and payment method."""
     orders = scan(spark, folder, "orders").selectExpr(
