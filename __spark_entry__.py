@@ -425,7 +425,7 @@ def dq_violating_rows(spark, folder):
 
 @_register
 def dq_integrity_suite(spark, folder):
-    frames = _retail(spark, folder, views.transactions)
+    frames = _retail(spark, folder, views.transaction_parts)
     return quality.integrity_suite(frames, AS_OF, states=["NATION_1", "NATION_2", "NATION_3"])
 
 

@@ -102,3 +102,18 @@ def test_contract_report_scans_the_sales_once(spark, tmp_path, small_limits):
     whole = parity.bag(q.check_tables(ready, registry.AS_OF))
     assert whole == parity.bag(report)
     assert plan.count("FileScan parquet [l_orderkey") == plan.count("FileScan parquet [o_orderkey") == 1
+
+
+def test_integrity_suite_scans_the_sales_once(spark, tmp_path, small_limits):
+    folder = write(spark, tmp_path, **odd_tables())
+    report = registry.queries()["dq_integrity_suite"](spark, folder)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    frames = registry._retail(spark, folder, views.transactions)
+    plain = q.integrity_suite(frames, registry.AS_OF, states=["NATION_1", "NATION_2", "NATION_3"])
+    assert parity.bag(report) == parity.bag(plain)
+    got = {row[:3]: row[3:5] for row in parity.bag(report)}
+    sales = views.transactions(spark, folder)
+    for column, (parent, own) in contracts.TRANSACTIONS.foreign_keys.items():
+        lost = q.check_references(sales, "transactions", column, frames[parent], own).first()
+        assert got["references", "transactions", column] == tuple(lost[3:5])
+    assert plan.count("FileScan parquet [l_orderkey") == plan.count("FileScan parquet [o_orderkey") == 1
