@@ -64,3 +64,15 @@ def test_frames(spark):
         (i, wanted(t or ""), t or "") for i, t in rows
     ]
     assert bpe.round_trip(samples.empty(spark), PATH).count() == 0
+
+
+def test_latin_words_are_those_of_the_full_pattern():
+    draw = random.Random(6)
+    letters = [chr(i) for i in range(256)]
+    kinds = ["a", "Z", "é", "ß", "µ", "0", "²", "¼", " ", " ", "\n", "\xa0", "\x85", "\x1c", "'", "s", "'ll", ".", "×"]
+    texts = [a + b + c for a in letters for b in letters for c in (" ", "a")]
+    texts += ["".join(draw.choice(kinds) for _ in range(40)) for _ in range(3000)]
+    for text in texts:
+        assert bpe._words(text) is bpe._LATIN_WORDS
+        assert bpe._LATIN_WORDS.findall(text) == bpe._WORDS.findall(text)
+    assert bpe._words("a’b") is bpe._WORDS
