@@ -630,12 +630,13 @@ def price_line(spark, folder):
         "product_id AS l_partkey", "unit_price AS listed_price"
     )
     key = ["l_orderkey", "l_linenumber"]
+    complete = F.col("l_orderkey").isNotNull() & F.col("l_linenumber").isNotNull()
     lines = views.scan(spark, folder, "lineitem").select(
         *key,
         "l_partkey",
         F.col("l_quantity").cast("int").alias("quantity"),
-        _draw("price", *key).alias("price_draw"),
-        _draw("discount", *key).alias("discount_draw"),
+        F.when(complete, _draw("price", *key)).alias("price_draw"),
+        F.when(complete, _draw("discount", *key)).alias("discount_draw"),
         F.col("l_discount").cast("decimal(4,2)").alias("listed_rate"),
     )
     spread = draws.uniform_decimal(F.col("price_draw"), *contracts.PRICE_SPREAD)

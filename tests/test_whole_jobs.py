@@ -28,11 +28,13 @@ def line(order, number=1, part=1, supplier=1, quantity=2.0, price=20.0, day=1):
 def test_price_line_draws_prices_and_discounts(spark, tmp_path):
     parts = [(n, f"part {n}", "brand", "SMALL", n, 100.0 * n + 0.35) for n in range(1, 6)]
     lines = [line(n // 4, n % 4, 1 + n % 6, quantity=1.0 + n % 7) for n in range(400)]
+    lines += [line(None), line(3, None), line(3, part=None), line(5, quantity=None)]
     folder = write(spark, tmp_path, part=parts, lineitem=lines)
     df = registry.queries()["price_line"](spark, folder)
     assert parity.differences(df, parity.connect(folder), registry.oracle_sql()["price_line"]) == []
     rows = df.collect()
-    assert len(rows) == sum(1 + n % 6 <= 5 for n in range(400))
+    assert len(rows) == sum(1 + n % 6 <= 5 for n in range(400)) + 3
+    rows = [r for r in rows if r["unit_price"] is not None]
     assert {r["discount_rate"] for r in rows} == {0.0, 0.10, 0.15, 0.20, 0.30}
     assert {r["listed_rate"] for r in rows} == {0.05}
     spreads = [r["unit_price"] / r["listed_price"] for r in rows]
