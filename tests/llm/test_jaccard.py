@@ -141,3 +141,39 @@ def test_components(spark):
     got = components(spark.createDataFrame(pairs, "a long, b long")).collect()
     ids = {i for p in pairs for i in p if p[0] != p[1]}
     assert {r["id"]: r["root"] for r in got} == roots(pairs, ids) and len(got) == len(ids)
+
+
+def test_pairs_are_named_once(spark, monkeypatch):
+    """Near copies share many keys; the comparison names a pair at the smallest one only."""
+    text = samples.prose(21, 1, words=400)[0]
+    rows = [(i, samples.edited(text, 30, i)) for i in range(30)]
+    named = []
+    real = jaccard._near
+
+    def counted(percent):
+        compare = real(percent)
+
+        def counting(batches):
+            for batch in compare(batches):
+                found.add(batch.num_rows)
+                yield batch
+
+        found = spark.sparkContext.accumulator(0)
+        named.append(found)
+        return counting
+
+    monkeypatch.setattr(jaccard, "_near", counted)
+    got = jaccard.link_groups(samples.documents(spark, rows)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain(rows)
+    bands = 2  # a set may take part in two of them
+    assert named[0].value <= bands * 30 * 29 // 2
+
+
+def test_batches_of_sets_equal_single_ones():
+    rows = [t.encode() for t in [*samples.prose(31, 30, words=60), "", "one", "a b", "a b a b a b a b a b"]]
+    together = jaccard.shingle_sets(rows)
+    for i, row in enumerate(rows):
+        alone = jaccard.shingle_sets([row])
+        assert together[i].tolist() == alone[0].tolist() == sorted(set(alone[0].tolist()))
+        assert jaccard.set_hashes(together)[i] == jaccard.set_hashes(alone)[0]
+        assert len(alone[0]) == len(shingles(row.decode()))

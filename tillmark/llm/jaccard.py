@@ -19,11 +19,13 @@ Work is kept linear in large groups of copies:
 2. Each set offers its few smallest keys. Sets that share one are verified against the smallest
    id offering it, one pair per set: this already connects most near copies.
 3. Each set offers all its keys, with the group it is in by now. Only keys seen in two groups
-   matter. Where more than a few sets have a key, it names one of them, and each set is verified
-   against some of the sets its keys name in other groups; groups that meet become one, and keys
-   left with one group are dropped. This is repeated, each time with other names.
-4. On the keys that remain, sets of different groups are compared by bit parity sketches (their
-   Hamming distance too is a lower bound), in blocks of bounded size, and survivors are verified.
+   matter. On these, sets of different groups are compared by bit parity sketches (their Hamming
+   distance too is a lower bound), in blocks of bounded size. A pair is named at the smallest key
+   it shares, as far as the few smallest keys of both sets tell, and verified.
+4. Before that, ``rounds`` can join more groups: where more than a few sets have a key, it names
+   one of them, and each set is verified against some of the sets its keys name in other groups;
+   groups that meet become one, and keys left with one group are dropped. Every round names others.
+   It pays where the first keys leave many linked groups apart.
 
 Verification intersects whole shingle sets. Links already implied by connection are not verified;
 every pair of sets that is linked ends in one component.
@@ -37,6 +39,7 @@ and text are left behind.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import lru_cache
 from math import ceil, log
 
@@ -56,8 +59,9 @@ PERCENT = 80
 OFFERED = 8
 BAND_RATIO = 1.7
 BLOCK = 2000
-ROUNDS = 2
+ROUNDS = 0
 CROWD = 64
+LEAST = 16
 # Ids from here on are kept for rows that have none.
 UNNAMED = 1 << 62
 
@@ -65,26 +69,61 @@ UNNAMED = 1 << 62
 # Shingle sets ------------------------------------------------------------------------------
 
 
-def shingle_sets(batch: list[bytes], shingle: int = SHINGLE) -> list[np.ndarray]:
+@dataclass
+class Sets:
+    """Sets of a batch, one after the other: sorted distinct shingle hashes, and where each begins."""
+
+    hashes: np.ndarray
+    first: np.ndarray
+
+    @property
+    def sizes(self) -> np.ndarray:
+        return np.diff(self.first)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.hashes[self.first[i] : self.first[i + 1]]
+
+    def chosen(self, wanted: np.ndarray) -> Sets:
+        sizes = self.sizes
+        return Sets(self.hashes[np.repeat(wanted, sizes)], _edges(sizes[wanted]))
+
+
+def _edges(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)])
+
+
+def shingle_sets(batch: list[bytes], shingle: int = SHINGLE) -> Sets:
     """The sorted distinct shingle hashes of each text."""
     split = words.split(batch, words.SPACES)
     hashes = split.hashes()
     keys, places = words.runs(hashes, split.first, shingle)
     edges = np.searchsorted(places, split.first)
-    sets = []
-    for i, count in enumerate(np.diff(split.first)):
-        if count >= shingle:
-            sets.append(np.unique(keys[edges[i] : edges[i + 1]]))
-        else:
-            own = hashes[split.first[i] : split.first[i + 1]]
-            short, _ = words.runs(own, np.array([0, count]), max(int(count), 1))
-            sets.append(words.mixed(short + np.uint64(count)))
-    return sets
-
-
-def set_hash(own: np.ndarray) -> int:
-    total = words.mixed(own * np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64)
-    return int((words.mixed(np.array([total + np.uint64(len(own))]))[0]).astype(np.int64))
+    for start, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        keys[start:end].sort()
+    owner = np.repeat(np.arange(len(batch)), np.diff(edges))
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+    sizes = np.bincount(owner[new], minlength=len(batch))
+    keys = keys[new]
+    counts = np.diff(split.first)
+    short = np.flatnonzero((counts > 0) & (counts < shingle))
+    whole = []
+    for i in short.tolist():
+        own = hashes[split.first[i] : split.first[i + 1]]
+        one, _ = words.runs(own, np.array([0, len(own)]), len(own))
+        whole.append(words.mixed(one + np.uint64(len(own)))[0])
+    if whole:
+        keys = np.insert(keys, _edges(sizes)[short], np.array(whole, np.uint64))
+        sizes[short] = 1
+    return Sets(keys, _edges(sizes))
+
+
+def set_hashes(sets: Sets) -> np.ndarray:
+    sums = np.concatenate(
+        [[np.uint64(0)], np.cumsum(words.mixed(sets.hashes * np.uint64(0x9E3779B97F4A7C15)))]
+    )
+    total = sums[sets.first[1:]] - sums[sets.first[:-1]]
+    return words.mixed(total + sets.sizes.astype(np.uint64)).view(np.int64)
 
 
 # Size bands and parts -----------------------------------------------------------------------
@@ -134,6 +173,7 @@ def _differ(sizes: int, percent: int) -> int:
     return (100 - percent) * sizes // (100 + percent)
 
 
+@lru_cache(maxsize=100_000)
 def bands_of(size: int, percent: int = PERCENT) -> list[int]:
     """The bands a set takes part in: its own and those of larger partners."""
     number, found = 0, []
@@ -145,28 +185,51 @@ def bands_of(size: int, percent: int = PERCENT) -> list[int]:
 
 
 def keys_of(own: np.ndarray, number: int, percent: int = PERCENT) -> np.ndarray:
-    """The join keys of a set in one band: its first parts' XORs, empty parts left out."""
-    _, _, parts, repeats = band(number, percent)
-    size = len(own)
-    largest = size * 100 // percent
+    """The join keys of one set in one band."""
+    return band_keys(Sets(own, np.array([0, len(own)])), number, percent)[0]
+
+
+def band_keys(sets: Sets, number: int, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """The join keys of sets in one band, and the place of each one's set: their first parts'
+    XORs, empty parts left out."""
+    _, high, parts, repeats = band(number, percent)
+    sizes = sets.sizes
+    largest = sizes * 100 // percent
     # Parts are emitted in order, so the smaller set's are those both emit; its count must exceed
     # what its largest partner can differ in. Several deals per band scale with the parts.
-    needed = _differ(size + largest, percent) + 1
-    full = _differ(2 * (band(number, percent)[1] - 1), percent) + 1
+    needed = _differ(sizes + largest, percent) + 1
+    full = _differ(2 * (high - 1), percent) + 1
     # With fewer parts than 100, leaving some out would let the chance of empty ones grow too far.
-    emitted = min(parts, needed) if parts == full and repeats == 1 and parts >= 100 else parts
-    found = []
+    fewer = parts == full and repeats == 1 and parts >= 100
+    emitted = np.minimum(parts, needed) if fewer else np.full(len(sizes), parts)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    values = words.mixed(sets.hashes)
+    found, owners = [], []
     for repeat in range(repeats):
-        seeded = words.mixed(own + np.uint64(repeat * 1_000_003 + number * 7919 + 1))
-        part = ((seeded >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        chosen = part < emitted
-        part = part[chosen].astype(np.int64)
-        xors = np.zeros(emitted, dtype=np.uint64)
-        np.bitwise_xor.at(xors, part, words.mixed(seeded[chosen]))
-        filled = np.bincount(part, minlength=emitted) > 0
-        place = np.arange(emitted, dtype=np.uint64) + np.uint64((number * 128 + repeat) << 32)
-        found.append(words.mixed(xors[filled] + words.mixed(place[filled])))
-    return np.concatenate(found)
+        # The first deal is by the upper bits of the hashes themselves, which are in order already.
+        dealt = words.mixed(sets.hashes + np.uint64(repeat * 1_000_003)) if repeat else sets.hashes
+        part = (((dealt >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+        slot, own_values = owner * parts + part, values
+        if repeat:
+            order = np.argsort(slot, kind="stable")
+            slot, own_values = slot[order], values[order]
+        starts = np.flatnonzero(np.diff(slot, prepend=-1))
+        whose, part = np.divmod(slot[starts], parts)
+        place = part.astype(np.uint64) + np.uint64((number * 128 + repeat) << 32)
+        xors = np.bitwise_xor.reduceat(own_values, starts) if len(starts) else own_values
+        within = part < emitted[whose]
+        found.append(words.mixed(xors + words.mixed(place))[within])
+        owners.append(whose[within])
+    return np.concatenate(found), np.concatenate(owners)
+
+
+def _keys_by_band(sets: Sets):
+    """(band, its sets' places, keys, each key's set among them) of the bands sets take part in."""
+    sizes = sets.sizes
+    taken = [bands_of(size) if size else () for size in sizes.tolist()]
+    for number in sorted({n for own in taken for n in own}):
+        wanted = np.fromiter((number in own for own in taken), bool, len(taken))
+        yield np.flatnonzero(wanted), number, *band_keys(sets.chosen(wanted), number)
 
 
 def bit_sketch(own: np.ndarray, number: int, percent: int = PERCENT) -> bytes:
@@ -185,22 +248,28 @@ def bit_sketch(own: np.ndarray, number: int, percent: int = PERCENT) -> bytes:
 def features(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set_hash and the few smallest keys of the set's own band."""
 
+    def offered(sets: Sets) -> list[list[int]]:
+        few = [[] for _ in sets.sizes]
+        own_band = [bands_of(size)[0] if size else -1 for size in sets.sizes.tolist()]
+        for rows, number, keys, owner in _keys_by_band(sets):
+            order = np.argsort(owner, kind="stable")
+            keys = keys[order]
+            edges = _edges(np.bincount(owner, minlength=len(rows))).tolist()
+            for i, start, end in zip(rows.tolist(), edges, edges[1:]):
+                if own_band[i] == number:
+                    few[i] = np.sort(keys[start:end])[:OFFERED].view(np.int64).tolist()
+        return few
+
     def convert(batches):
         for batch in batches:
             for part in bounded(batch):
                 sets = shingle_sets(part.column("text").cast(pa.binary()).to_pylist())
-                offered = [
-                    np.sort(keys_of(s, bands_of(len(s))[0]))[:OFFERED].view(np.int64).tolist()
-                    if len(s)
-                    else []
-                    for s in sets
-                ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([set_hash(s) for s in sets], pa.int64()),
-                        pa.array(offered, pa.list_(pa.int64())),
+                        pa.array(sets.sizes, pa.int64()),
+                        pa.array(set_hashes(sets)),
+                        pa.array(offered(sets), pa.list_(pa.int64())),
                     ],
                     names=["doc_id", "n_shingles", "set_hash", "offered"],
                 )
@@ -222,20 +291,14 @@ def all_keys(docs: DataFrame, carried: str, skipped: bytes | None = None) -> Dat
                 if special is not None:
                     part = part.filter(pa.array(~hit(special, np.asarray(part.column("doc_id")))))
                 sets = shingle_sets(part.column("text").cast(pa.binary()).to_pylist())
-                keys, owners = [], []
-                for i, own in enumerate(sets):
-                    for number in bands_of(len(own)) if len(own) else ():
-                        keys.append(keys_of(own, number).view(np.int64))
-                        owners.append(np.full(len(keys[-1]), i))
-                if not keys:
-                    continue
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(keys)),
-                        part.column(carried).take(pa.array(np.concatenate(owners))),
-                    ],
-                    names=["key", carried],
-                )
+                for rows, _, keys, owner in _keys_by_band(sets):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(keys.view(np.int64)),
+                            part.column(carried).take(pa.array(rows[owner])),
+                        ],
+                        names=["key", carried],
+                    )
 
     return docs.mapInArrow(convert, f"key long, {carried} long")
 
@@ -264,13 +327,17 @@ def _wanted(docs: DataFrame, ids: DataFrame, make, schema: str) -> DataFrame:
 def _full_sets(part: pa.RecordBatch):
     sets = shingle_sets(part.column("text").cast(pa.binary()).to_pylist())
     yield pa.RecordBatch.from_arrays(
-        [part.column("doc_id"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
+        [
+            part.column("doc_id"),
+            pa.ListArray.from_arrays(sets.first.astype(np.int32), pa.array(sets.hashes.view(np.int64))),
+        ],
         names=["id", "shingles"],
     )
 
 
 def _members(docs: DataFrame, table: bytes) -> DataFrame:
-    """(id, band, size, sketch, keys) of the sets that have keys in the table, from one pass."""
+    """(id, band, size, sketch, keys, least) of the sets that have keys in the table, from one pass.
+    ``least`` are the few smallest of the keys."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def convert(batches):
@@ -278,22 +345,37 @@ def _members(docs: DataFrame, table: bytes) -> DataFrame:
         for batch in batches:
             for part in bounded(batch):
                 sets = shingle_sets(part.column("text").cast(pa.binary()).to_pylist())
-                rows = []
-                for doc, own in zip(part.column("doc_id").to_pylist(), sets):
-                    for number in bands_of(len(own)) if len(own) else ():
-                        keys = keys_of(own, number).view(np.int64)
-                        keys = keys[hit(known, keys)]
-                        if len(keys):
-                            rows.append((doc, number, len(own), bit_sketch(own, number), keys))
+                rows, ids = [], part.column("doc_id").to_pylist()
+                for places, number, keys, owner in _keys_by_band(sets):
+                    kept = hit(known, keys.view(np.int64))
+                    keys, owner = keys.view(np.int64)[kept], owner[kept]
+                    order = np.argsort(owner, kind="stable")
+                    keys, owner = keys[order], owner[order]
+                    starts = np.flatnonzero(np.diff(owner, prepend=-1))
+                    for i, own_keys in zip(owner[starts], np.split(keys, starts[1:])):
+                        place = places[i]
+                        own = sets[place]
+                        rows.append(
+                            (
+                                ids[place],
+                                number,
+                                len(own),
+                                bit_sketch(own, number),
+                                own_keys,
+                                np.sort(own_keys)[:LEAST],
+                            )
+                        )
                 if rows:
-                    types = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+                    several = pa.list_(pa.int64())
+                    types = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), several, several]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                        names=["id", "band", "size", "sketch", "keys"],
+                        names=["id", "band", "size", "sketch", "keys", "least"],
                     )
 
     return docs.mapInArrow(
-        convert, "id long, band int, size long, sketch binary, keys array<long>"
+        convert,
+        "id long, band int, size long, sketch binary, keys array<long>, least array<long>",
     )
 
 
@@ -326,6 +408,8 @@ def _near(percent: int):
             sizes, side = np.asarray(rows["size"]), np.asarray(rows["block"])
             low, high = np.asarray(rows["low_block"]), np.asarray(rows["high_block"])
             sketches = rows["sketch"].to_pylist()
+            keys, least_keys = np.asarray(rows["key"]), rows["least"].combine_chunks()
+            offsets, values = np.asarray(least_keys.offsets), np.asarray(least_keys.values)
             a_out, b_out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for start, end in zip(bounds, bounds[1:]):
                 own = slice(start, end)
@@ -347,6 +431,15 @@ def _near(percent: int):
                         axis=1, dtype=np.int64
                     )
                     near = other[apart <= (100 - percent) * both // (100 + percent)]
+                    # A pair is named at the smallest key it is seen to share, not at all of them.
+                    mine = values[offsets[i] : offsets[i + 1]]
+                    mine = mine[mine < keys[start]]
+                    if len(near) and len(mine):
+                        counts = offsets[near + 1] - offsets[near]
+                        edges = _edges(counts)
+                        at = np.arange(edges[-1]) + np.repeat(offsets[near] - edges[:-1], counts)
+                        met = np.repeat(np.arange(len(near)), counts)[np.isin(values[at], mine)]
+                        near = np.delete(near, met)
                     a_out.append(np.minimum(ids[near], ids[i]))
                     b_out.append(np.maximum(ids[near], ids[i]))
             yield pa.RecordBatch.from_arrays(
@@ -506,15 +599,18 @@ def _linked(
         .join(split, "key")
         .join(placed.withColumnRenamed("doc_id", "id"), "id")
     )
-    crowded = members.filter(F.col("n") > crowd)
-    for number in range(rounds):
-        pairs = cut_lineage(_proposed(crowded, number))
-        if pairs.isEmpty():
-            break
-        links = cut_lineage(links.unionByName(verified(own, pairs, percent)))
-        crowded = _still_split(crowded, _placed(ids, links))
-    left = members.filter(F.col("n") <= crowd).unionByName(crowded, allowMissingColumns=True)
-    sketches = held.select("id", "band", "size", "sketch")
+    left = members
+    if rounds:
+        crowded = members.filter(F.col("n") > crowd)
+        for number in range(rounds):
+            pairs = cut_lineage(_proposed(crowded, number))
+            if pairs.isEmpty():
+                break
+            links = cut_lineage(links.unionByName(verified(own, pairs, percent)))
+            crowded = _still_split(crowded, _placed(ids, links))
+        few = members.filter(F.col("n") <= crowd)
+        left = few.unionByName(crowded, allowMissingColumns=True)
+    sketches = held.select("id", "band", "size", "sketch", "least")
     second = verified(own, cut_lineage(_candidates(left, sketches, percent, block)), percent)
     joined = components(links.unionByName(second))
     heads = classes.join(joined, "id", "left").select(

@@ -26,7 +26,7 @@ SYMBOLS = table(bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80
     bytes(range(65, 91)), b""
 ))
 
-_PERIOD = 256
+_PERIOD = 256  # a power of two
 _rng = np.random.default_rng(20240607)
 _FACTORS = _rng.integers(0, 1 << 63, _PERIOD, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEPS = _rng.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -57,14 +57,15 @@ class Words:
             return np.zeros(0, dtype=np.uint64)
         lengths = self.ends - self.starts
         total = int(lengths.sum())
-        shift = np.repeat(self.starts - (np.cumsum(lengths) - lengths), lengths)
-        place = np.arange(total) + shift
-        inside = place - np.repeat(self.starts, lengths)
-        factors = _FACTORS[inside % _PERIOD]
+        begins = np.cumsum(lengths) - lengths
+        small = np.int32 if len(self.buffer) < 1 << 31 else np.int64
+        inside = np.arange(total, dtype=small) - np.repeat(begins.astype(small), lengths)
+        held = self.buffer[inside + np.repeat(self.starts.astype(small), lengths)]
+        values = _FACTORS[inside & (_PERIOD - 1)]
         if lengths.max() > _PERIOD:
-            factors = factors * (np.uint64(2) * (inside // _PERIOD).astype(np.uint64) + np.uint64(1))
-        values = (self.buffer[place].astype(np.uint64) + np.uint64(1)) * factors
-        sums = np.add.reduceat(values, np.cumsum(lengths) - lengths)
+            values *= np.uint64(2) * (inside // _PERIOD).astype(np.uint64) + np.uint64(1)
+        values *= held + np.uint64(1)
+        sums = np.add.reduceat(values, begins)
         return mixed(sums + lengths.astype(np.uint64))
 
 
