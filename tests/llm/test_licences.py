@@ -123,3 +123,12 @@ def test_percentile(spark):
             expected = frame.agg(F.percentile("chance", share)).first()[0]
             assert licences._percentile(frame, share) == pytest.approx(expected, abs=1e-15)
     assert licences._percentile(frame.filter("chance > 2"), 0.99) == 0.0
+
+
+def test_fit_runs_in_as_few_tasks_as_hold_the_rows(spark):
+    rows = spark.range(0, 95, 1, 37)
+    packed = licences._packed(rows, 20)
+    assert packed.rdd.getNumPartitions() == 5
+    assert sorted(r["id"] for r in packed.collect()) == list(range(95))
+    assert licences._packed(rows).rdd.getNumPartitions() == 1
+    assert licences._packed(rows.limit(0)).count() == 0

@@ -363,7 +363,7 @@ def learn(docs: DataFrame, leak: float = 0.01):
     rows = _examples(spark).unionByName(unknown.filter(~aside))
     train = rows.select(label.alias("label"), _features(F.col("words")).alias("grams"))
     weights = train.groupBy("label").agg((1.0 / F.count("*")).alias("weight"))
-    train = cut_lineage(train.join(F.broadcast(weights), "label"))
+    train = _packed(cut_lineage(train.join(F.broadcast(weights), "label")))
     model = Pipeline(
         stages=[
             HashingTF(inputCol="grams", outputCol="features", numFeatures=BUCKETS, binary=True),
@@ -376,6 +376,12 @@ def learn(docs: DataFrame, leak: float = 0.01):
     return model, names, max(0.5, min(0.99, _percentile(held, 1 - leak)))
 
 
+def _packed(train: DataFrame, rows_at_once: int = 20_000) -> DataFrame:
+    """The rows in as few tasks as hold them: in each step of the fit every task, even one without
+    rows, sends a gradient of the model's size."""
+    return train.coalesce(max(1, -(-train.count() // rows_at_once)))
+
+
 def _percentile(held: DataFrame, share: float) -> float:
     """The exact percentile of the chances, between neighbours in proportion; 0 without any.
 
