@@ -116,3 +116,27 @@ def test_rows_that_repeat_an_earlier_one(spark, partitions):
         seen.add((a, b))
     assert got == wanted
     assert with_again(frame.filter("false"), ["a", "b"], ["place"]).collect() == []
+
+
+def test_strings_of_hot_anchors_grow_with_their_places(spark, monkeypatch):
+    passage = " ".join(samples.prose(51, 1, words=12))
+    real, made = repeats._single_strings, []
+
+    def counted(length):
+        def convert(batches):
+            for batch in real(length)(batches):
+                rows.add(batch.num_rows)
+                yield batch
+
+        rows = spark.sparkContext.accumulator(0)
+        made.append(rows)
+        return convert
+
+    monkeypatch.setattr(repeats, "_single_strings", counted)
+    for places in (40, 80, 160):
+        around = samples.prose(52, 2 * places, words=25)
+        rows = [(i, f"{around[2 * i]} {passage} {around[2 * i + 1]}") for i in range(places)]
+        options = {"group_limit": 10, "length": 40, "gram": 16}
+        repeats.without_repeats(samples.documents(spark, rows), **options).collect()
+    few, more, most = (rows.value for rows in made)
+    assert 0 < few and more < 2.5 * few and most < 2.5 * more

@@ -471,6 +471,8 @@ def _spans(docs: DataFrame, ids: DataFrame, copies: DataFrame, options: dict) ->
     strings = (
         led.filter("not again")
         .select("doc_id", "begin", "data")
+        # Equal cut-outs fill some tasks and leave few first ones there: these are dealt anew.
+        .repartition("doc_id", "begin")
         .mapInArrow(_single_strings(length), "low long, high long, doc_id long, start long")
     )
     later = with_again(strings, ["low", "high"], ["doc_id", "start"]).filter("again")
