@@ -80,8 +80,8 @@ def _packed(ids) -> bytes:
 
 
 class Vocabulary:
-    """Tokens, merges and the tests on them. ``words`` caches the ids of words, ``packed`` the same
-    ids as bytes, which are joined faster."""
+    """Tokens, merges and the tests on them. ``packed`` caches the ids of words as bytes, which are
+    smaller than tuples and joined faster."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -117,10 +117,14 @@ class Vocabulary:
         usable = [*self.byte_ids, *merged[ok].tolist()]
         self.tokens = {self.bytes[i]: i for i in usable}
         self.longest = max(map(len, self.tokens))
-        self.words: dict[str, tuple[int, ...]] = {}
         self.packed: dict[str, bytes] = {}
         self._special = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
 
+    @property
+    def words(self) -> dict[str, tuple[int, ...]]:
+        """The cached words with their ids."""
+        return {word: tuple(array("i", ids)) for word, ids in self.packed.items()}
+
     def compatible(self, a, b, limit=None) -> np.ndarray:
         """Whether no merge crosses the boundary between a and b (before ``limit``, a rank)."""
         a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
@@ -192,8 +196,7 @@ class Vocabulary:
         inner = np.flatnonzero(owner[1:] == owner[:-1])
         bad = set(owner[inner[~self.compatible(flat[inner], flat[inner + 1])]].tolist())
         for i, word in enumerate(fresh):
-            ids = self.merge(spelled[i]) if i in bad else proposed[i]
-            self.words[word], self.packed[word] = ids, _packed(ids)
+            self.packed[word] = _packed(self.merge(spelled[i]) if i in bad else proposed[i])
 
     def runs(self, text: str) -> Iterator[list[str] | int]:
         """Bounded runs of words, and the ids of special strings, in order."""
@@ -214,9 +217,8 @@ class Vocabulary:
         out: list[np.ndarray] = []
         runs = [list(self.runs(text)) for text in batch]
         seen = set().union(*[run for own in runs for run in own if isinstance(run, list)])
-        unseen = seen.difference(self.words)
-        if len(self.words) + len(unseen) > CACHED_WORDS:
-            self.words.clear()
+        unseen = seen.difference(self.packed)
+        if len(self.packed) + len(unseen) > CACHED_WORDS:
             self.packed.clear()
             unseen = seen
         self.learn(unseen)

@@ -103,10 +103,7 @@ def _hits(docs: DataFrame, tables: dict[int, bytes], window: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(tables)
 
     def convert(batches):
-        known = {
-            size: np.unpackbits(np.frombuffer(own, np.uint8), bitorder="little")
-            for size, own in shared.value.items()
-        }
+        known = {size: np.frombuffer(own, np.uint8) for size, own in shared.value.items()}
         for batch in batches:
             for part in bounded(batch):
                 rows = part.column("text").cast(pa.binary()).to_pylist()
@@ -116,7 +113,8 @@ def _hits(docs: DataFrame, tables: dict[int, bytes], window: int) -> DataFrame:
                 hits: list[list[dict]] = [[] for _ in rows]
                 for size, table in known.items():
                     keys, places = words.runs(hashes, split.first, size)
-                    likely = np.flatnonzero(table[_bits(keys)])
+                    slots = _bits(keys)
+                    likely = np.flatnonzero((table[slots >> 3] >> (slots & 7)) & 1)
                     for key, place in zip(
                         keys[likely].view(np.int64).tolist(), places[likely].tolist()
                     ):

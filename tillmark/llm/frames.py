@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from tillmark.session import ensure_small_batches
 
 # Small enough for the arrays made from a slice to stay in a core's cache.
 BATCH_BYTES = 1 << 19
@@ -22,6 +23,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the key and the text, null texts as empty ones; clashing names are left behind."""
+    ensure_small_batches(docs.sparkSession)
     return docs.select(
         F.col(key).cast("long").alias("doc_id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
@@ -48,6 +50,7 @@ def bounded(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatc
 
 def with_text_column(docs: DataFrame, text: str, name: str, kind: str, compute) -> DataFrame:
     """All columns of ``docs`` and one more, computed in batches from its texts (null as empty)."""
+    ensure_small_batches(docs.sparkSession)
 
     def convert(batches):
         for batch in batches:

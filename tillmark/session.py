@@ -7,6 +7,11 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Bytes of rows that go to a Python worker at once, or one row. Both sides hold whole batches, and
+# Spark's own bound of 64 MB (or 10,000 rows) counts for every task and every step of one.
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH = "4m"
+
 
 def build_session(
     app_name: str = "tillmark",
@@ -31,6 +36,7 @@ def build_session(
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        BATCH_SETTING: BATCH,
         **(conf or {}),
     }
     if shuffle_partitions:
@@ -57,6 +63,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def ensure_small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of a batch for Python, unless the session names a bound."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once in the shared checkpoint folder.
 
